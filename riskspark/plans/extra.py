@@ -1 +1,247 @@
-"""Rows-only catalog entries (file formats, models, streams); filled in below."""
+"""Rows-only catalog entries: file formats, versioned datasets, models, the report and
+streams. Each reads the driver tables (or data Spark derives from them), writes under
+the shared scratch folder where it needs storage, and returns a DataFrame."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from riskspark.operators import clean, drift, fusion, iforest, models, split
+from riskspark.plans import monitoring, training
+from riskspark.plans.catalog import AS_OF, DRIFT_FEATURES, LOOKBACK_DAYS, register
+from riskspark.session import scratch_path
+from riskspark.sources import io, views
+from riskspark.streaming import scoring
+
+_TRAINED: dict = {}
+
+
+def _scratch(spark, name: str) -> str:
+    return scratch_path(spark, f"riskspark/{name}/{uuid.uuid4().hex}")
+
+
+def trained(spark, sf_dir):
+    """M5 on view T, fitted once per session and data directory."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TRAINED:
+        _TRAINED[key] = training.run_training(views.transactions(spark, sf_dir), optimize=True)
+    return _TRAINED[key]
+
+
+@register("io1_csv_scan")
+def io1_csv_scan(spark, sf_dir):
+    """IO1-IO3: T written as CSV with a header, read back with an explicit schema."""
+    path = _scratch(spark, "csv")
+    t = views.transactions(spark, sf_dir)
+    t.select(F.col("TransactionID").alias("Transaction ID"), F.col("TransactionAmount").alias("Transaction.Amount"),
+             F.col("TransactionDate").cast("string").alias("TransactionDate"), "Channel", "Fraud") \
+        .write.option("header", True).mode("overwrite").csv(path)
+    schema = "`Transaction ID` string, `Transaction.Amount` double, TransactionDate string, Channel string, Fraud int"
+    return io.read_transactions_csv(spark, path, schema=spark.createDataFrame([], schema).schema)
+
+
+@register("io5_overwrite_table")
+def io5_overwrite_table(spark, sf_dir):
+    """IO5: a table replaced on each run (second write wins)."""
+    path = _scratch(spark, "table")
+    e = views.events(spark, sf_dir)
+    io.write_table(e.where(F.col("Fraud") == 1), path)
+    io.write_table(e, path)
+    return spark.read.parquet(path)
+
+
+@register("io7_io8_versioned_dataset")
+def io7_io8_versioned_dataset(spark, sf_dir):
+    """IO7 + IO8: two split versions written by partition; the newest is read back pruned."""
+    base = _scratch(spark, "processed")
+    s = split.stratified_split(views.transactions(spark, sf_dir)).select("TransactionID", "TransactionAmount", "Fraud", "split")
+    io.write_versioned(s.where(F.col("split") == "train"), base, "20240101_000000")
+    io.write_versioned(s, base, "20240102_000000")
+    return io.read_latest(spark, base)
+
+
+@register("io9_io10_feedback_json")
+def io9_io10_feedback_json(spark, sf_dir):
+    """IO9 + IO10: feedback appended in two batches, read back with the feedback schema."""
+    path = _scratch(spark, "feedback")
+    missing = io.read_feedback(spark, path)  # absent -> empty frame
+    fb = views.feedback(spark, sf_dir)
+    cut = F.lit(views.DRIFT_SPLIT).cast("timestamp_ntz")
+    io.append_feedback_json(fb.where(F.col("Timestamp") < cut), path)
+    io.append_feedback_json(fb.where(F.col("Timestamp") >= cut), path)
+    return missing.unionByName(io.read_feedback(spark, path))
+
+
+@register("c7_column_kinds")
+def c7_column_kinds(spark, sf_dir):
+    """Numeric vs categorical columns of T (schema walk), with non-null counts."""
+    t = views.transactions(spark, sf_dir)
+    numeric, categorical = clean.column_kinds(t, exclude=("Fraud",))
+    counts = t.agg(*[F.count(c).alias(c) for c in numeric + categorical])
+    pairs = [F.struct(F.lit(c).alias("column"), F.lit(k).alias("kind"), F.col(c).alias("non_null"))
+             for k, cols in (("numeric", numeric), ("categorical", categorical)) for c in cols]
+    return counts.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
+
+
+@register("d1_shared_numeric_columns")
+def d1_shared_numeric_columns(spark, sf_dir):
+    """Numeric columns shared by the reference and current frames."""
+    r, c = views.reference_window(spark, sf_dir), views.current_window(spark, sf_dir)
+    cols = drift.shared_numeric_columns(r, clean.drop_if_present(c))
+    n = r.agg(F.count(F.lit(1))).scalar()
+    return spark.createDataFrame([(x,) for x in cols], "feature string").withColumn("reference_rows", n)
+
+
+@register("x5_x7_assembled_features")
+def x5_x7_assembled_features(spark, sf_dir):
+    """Features and preprocessing fitted on train, applied to all splits."""
+    prep = trained(spark, sf_dir).prepared
+    return prep.data.select(prep.key, prep.label, "split", "weight", "features")
+
+
+@register("m1_random_forest")
+def m1_random_forest(spark, sf_dir):
+    """M1 + M6: forest class-1 probability on the test split."""
+    tr = trained(spark, sf_dir)
+    d = tr.forest.transform(tr.prepared.data.where(F.col("split") == "test"))
+    return models.positive_probability(d, "rf_probability", "rf_score").select(
+        "TransactionID", "Fraud", "rf_score", F.col("rf_prediction").cast("int").alias("rf_prediction"))
+
+
+@register("m2_boosted_trees")
+def m2_boosted_trees(spark, sf_dir):
+    """M2 + M6: boosted-trees class-1 probability on the test split."""
+    tr = trained(spark, sf_dir)
+    d = tr.boosted.transform(tr.prepared.data.where(F.col("split") == "test"))
+    return models.positive_probability(d, "xgb_probability", "xgb_score").select(
+        "TransactionID", "Fraud", "xgb_score", F.col("xgb_prediction").cast("int").alias("xgb_prediction"))
+
+
+@register("m3_isolation_forest")
+def m3_isolation_forest(spark, sf_dir):
+    """M3: isolation-forest score, decision and anomaly flag on the test split."""
+    tr = trained(spark, sf_dir)
+    d = tr.iforest.transform(tr.prepared.data.where(F.col("split") == "test"))
+    return d.select("TransactionID", "Fraud", "anomaly_score", "iso_decision", "iso_prediction")
+
+
+@register("m4_forest_search")
+def m4_forest_search(spark, sf_dir):
+    """M4: 50-trial seeded random search over the forest space, ranked by validation AUC."""
+    tr = trained(spark, sf_dir)
+    d = tr.prepared.data
+    est = models.random_forest(label_col=tr.prepared.label)
+
+    def score_fn(model, df):
+        return models.positive_probability(model.transform(df), "rf_probability", "_score")
+
+    res = models.search(est, models.FOREST_SPACE, d.where(F.col("split") == "train"), d.where(F.col("split") == "val"),
+                        score_fn, tr.prepared.label, n_trials=50, parallelism=4)
+    return models.search_table(spark, res)
+
+
+@register("m5_s9_model_evaluation")
+def m5_s9_model_evaluation(spark, sf_dir):
+    """M5 + S9: the training run's per-model test metrics."""
+    return training.evaluate_models(trained(spark, sf_dir))
+
+
+@register("s8_s10_ensemble")
+def s8_s10_ensemble(spark, sf_dir):
+    """S8 + S10: ensemble built on validation (weights, threshold) and its test metrics."""
+    tr = trained(spark, sf_dir)
+    m = training.evaluate_ensemble(tr)
+    return m.select(
+        F.lit(tr.weights["random_forest"]).alias("w_rf"), F.lit(tr.weights["xgboost"]).alias("w_xgb"),
+        F.lit(tr.weights["isolation_forest"]).alias("w_if"), F.lit(tr.threshold).alias("threshold"), "*")
+
+
+@register("io12_model_roundtrip")
+def io12_model_roundtrip(spark, sf_dir):
+    """IO12: models and ensemble config saved, the latest loaded back and used to score."""
+    from pyspark.ml.classification import RandomForestClassificationModel
+
+    tr = trained(spark, sf_dir)
+    base = _scratch(spark, "models")
+    path = training.save(tr, spark, base, "20240101_000000")
+    cfg = io.load_latest_config(spark, f"{base}/ensemble")
+    forest = RandomForestClassificationModel.load(f"{cfg['model_path']}/random_forest")
+    d = forest.transform(tr.prepared.data.where(F.col("split") == "test"))
+    return models.positive_probability(d, "rf_probability", "rf_score").select(
+        "TransactionID", "rf_score", F.lit(cfg["threshold"]).alias("threshold"))
+
+
+@register("h2_monitoring_report")
+def h2_monitoring_report(spark, sf_dir):
+    """H2 + IO11: report over recent predictions, written as JSON and read back."""
+    r = monitoring.generate_report(
+        views.predictions(spark, sf_dir), views.events(spark, sf_dir),
+        views.reference_window(spark, sf_dir).withColumn("TransactionHour", F.hour("TransactionDate")),
+        views.feedback(spark, sf_dir), AS_OF, LOOKBACK_DAYS,
+    )
+    path = _scratch(spark, "report")
+    monitoring.write_report(r, path, AS_OF, LOOKBACK_DAYS)
+    return spark.read.json(path)
+
+
+def _history_fit(spark, sf_dir):
+    from riskspark.operators import features
+
+    hist = views.reference_window(spark, sf_dir)
+    fm = features.TransactionFeatures(keep=("TransactionID", "TransactionDate")).fit(hist)
+    b = views.raw_model_scores(hist).agg(F.min("iso_raw"), F.max("iso_raw")).first()
+    return fm, (b[0], b[1])
+
+
+@register("st1_stream_scoring")
+def st1_stream_scoring(spark, sf_dir):
+    """ST1: events streamed, previous time from state, features and bounds fitted on history."""
+    fm, bounds = _history_fit(spark, sf_dir)
+    out = _scratch(spark, "st1")
+    scored = scoring.score_stream(scoring.read_table_stream(spark, sf_dir, "events"), fm, bounds)
+    scoring.run_to_table(scored, f"{out}/data", f"{out}/checkpoint")
+    return spark.read.parquet(f"{out}/data")
+
+
+@register("st2_rolling_kpis")
+def st2_rolling_kpis(spark, sf_dir):
+    """ST2: 5-minute KPIs with a 10-minute watermark (append: closed windows only)."""
+    _, bounds = _history_fit(spark, sf_dir)
+    out = _scratch(spark, "st2")
+    ev = scoring.read_table_stream(spark, sf_dir, "events")
+    tx = ev.select(F.col("event_id").cast("string").alias("TransactionID"),
+                   F.col("value").cast("double").alias("TransactionAmount"), F.col("ts").alias("TransactionDate"))
+    kpis = scoring.rolling_kpis(scoring.proxy_scores(tx, bounds).drop("ModelScores"))
+    scoring.run_to_table(kpis, f"{out}/data", f"{out}/checkpoint")
+    return spark.read.parquet(f"{out}/data")
+
+
+@register("st3_feedback_dedup")
+def st3_feedback_dedup(spark, sf_dir):
+    """ST3: feedback landed twice (at-least-once delivery), streamed, de-duplicated."""
+    land = _scratch(spark, "st3-landing")
+    fb = views.feedback(spark, sf_dir)
+    io.append_feedback_json(fb, land)
+    io.append_feedback_json(fb, land)
+    stream = spark.readStream.schema(fb.schema).json(land)
+    out = _scratch(spark, "st3")
+    scoring.run_to_table(scoring.dedup_feedback(stream), f"{out}/data", f"{out}/checkpoint")
+    return spark.read.parquet(f"{out}/data")
+
+
+@register("st4_model_refresh")
+def st4_model_refresh(spark, sf_dir):
+    """ST4: each micro-batch scored with the newest ensemble configuration."""
+    _, bounds = _history_fit(spark, sf_dir)
+    base = _scratch(spark, "st4")
+    io.save_ensemble_config(spark, f"{base}/ensemble", "20240101_000000", fusion.DEFAULT_WEIGHTS, 0.5, bounds)
+    io.save_ensemble_config(spark, f"{base}/ensemble", "20240102_000000",
+                            {"random_forest": 0.2, "xgboost": 0.5, "isolation_forest": 0.3}, 0.45, bounds)
+    scoring.refresh_scoring(scoring.read_table_stream(spark, sf_dir, "events"), f"{base}/ensemble",
+                            f"{base}/data", f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/data")
+
+
+__all__ = ["trained", "iforest"]

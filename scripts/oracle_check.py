@@ -14,7 +14,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import duckdb  # noqa: E402
 
-from riskspark.plans import catalog  # noqa: E402
+from riskspark.plans import catalog, extra  # noqa: E402,F401
 from riskspark.session import local_session  # noqa: E402
 from riskspark.sources.tables import TABLES, table_path  # noqa: E402
 
