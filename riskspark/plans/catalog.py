@@ -801,3 +801,42 @@ def u1_feedback_union(spark, sf_dir):
     fb = views.feedback(spark, sf_dir)
     cut = F.lit(views.DRIFT_SPLIT).cast("timestamp_ntz")
     return health.append_feedback(fb.where(F.col("Timestamp") < cut), fb.where(F.col("Timestamp") >= cut))
+
+
+# ---------------------------------------------------------------- oversampling
+
+def _p4_input(spark, sf_dir):
+    t = views.transactions(spark, sf_dir)
+    return t.select("TransactionID", "Fraud", F.array("TransactionAmount", "AccountBalance").alias("x"))
+
+
+_P4_CTES = [
+    "PV AS (SELECT min(TransactionID) AS rep, TransactionAmount AS a, AccountBalance AS b FROM T WHERE Fraud = 1 "
+    "GROUP BY TransactionAmount, AccountBalance)",
+    "PP AS (SELECT q.rep AS q, y.rep AS y, (q.a - y.a) * (q.a - y.a) + (q.b - y.b) * (q.b - y.b) AS d2 "
+    "FROM PV q JOIN PV y ON q.rep <> y.rep)",
+    "PR AS (SELECT q, y, d2, row_number() OVER (PARTITION BY q ORDER BY d2, y) AS neighbor_rank FROM PP)",
+]
+
+
+@register("p4_minority_neighbors",
+          with_views("T", extra=_P4_CTES) + "SELECT q AS TransactionID, " + big("neighbor_rank")
+          + " AS neighbor_rank, y AS neighbor, " + r6("d2") + " AS d2 FROM PR WHERE neighbor_rank <= 5")
+def p4_minority_neighbors(spark, sf_dir):
+    """Exact 5 nearest minority neighbours (projection-pruned, no all-pairs join)."""
+    from riskspark.operators.balance import minority_neighbors
+
+    return minority_neighbors(_p4_input(spark, sf_dir), "TransactionID", "x", "Fraud", 1, 5)
+
+
+@register("p4_oversample_counts",
+          with_views("T") + "SELECT CAST(1 AS BIGINT) AS label, max(c) AS count FROM (SELECT count(*) AS c FROM T GROUP BY Fraud) "
+          "UNION ALL SELECT CAST(0 AS BIGINT), count(*) FROM T WHERE Fraud = 0")
+def p4_oversample_counts(spark, sf_dir):
+    """Class counts after oversampling the minority class to parity."""
+    from pyspark.ml.functions import array_to_vector
+
+    from riskspark.operators.balance import oversample
+
+    d = _p4_input(spark, sf_dir).withColumn("features", array_to_vector("x")).drop("x")
+    return split.class_distribution(oversample(d, "TransactionID", "features", "Fraud", 1, 5))
