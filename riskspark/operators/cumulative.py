@@ -23,8 +23,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.functions.nulls import clean_double
+from riskspark.session import ensure_checkpoint_dir
 
 DEFAULT_BUCKETS = 1024
+ROWS_PER_BUCKET = 2_000_000  # rows one window task may hold
+MAX_BUCKETS = 4096
 
 
 def bucket_of(value: Column, cuts: Column, n_cuts: int) -> Column:
@@ -54,8 +57,11 @@ def ordered_cumsum(
     sum_cols: Sequence[str],
     group_cols: Sequence[str] = (),
     descending: bool = False,
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    max_buckets: int = MAX_BUCKETS,
     accuracy: int = 10000,
+    materialize: bool = True,
 ) -> DataFrame:
     """Add ``<c>_before`` (sum over rows strictly earlier in order) and ``<c>_upto``
     (inclusive) for each column in ``sum_cols``, per group.
@@ -64,25 +70,41 @@ def ordered_cumsum(
     then the row frame equals the range frame. ``order_col`` must be numeric.
     ``group_cols`` must have a small number of distinct values (features, days, grid
     points): their cut arrays and range totals are broadcast.
+
+    ``materialize`` checkpoints ``df`` (an aggregate, far smaller than its input) into
+    the shared checkpoint folder, so the passes below read it instead of recomputing
+    the scans and joins behind it. Unless ``buckets`` is given, the number of ranges is
+    sized from the largest group: a group of at most ``rows_per_bucket`` rows is one
+    window partition, a larger one is cut into about size / rows_per_bucket ranges.
     """
+    if materialize:
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     user_groups = list(group_cols)
-    # Without groups a constant key stands in: the cut array is then one broadcast row.
-    group_cols = user_groups or ["_g"]
+    if buckets is None:
+        sizes = df.groupBy(*user_groups).count().agg(F.max("count")).first()[0] or 0
+        buckets = max(1, min(max_buckets, math.ceil(sizes / rows_per_bucket)))
     key = -F.col(order_col) if descending else F.col(order_col)
     df = df.withColumn("_ok", key.cast("double"))
+    if buckets <= 1:
+        w_one = Window.partitionBy(*user_groups).orderBy("_ok").rowsBetween(Window.unboundedPreceding, -1)
+        out = df
+        for c in sum_cols:
+            out = out.withColumn(f"{c}_before", F.coalesce(F.sum(c).over(w_one), F.lit(0)))
+            out = out.withColumn(f"{c}_upto", F.col(f"{c}_before") + F.col(c))
+        return out.drop("_ok")
+    # Without groups a constant key stands in: the cut array is then one broadcast row.
+    group_cols = user_groups or ["_g"]
     if not user_groups:
         df = df.withColumn("_g", F.lit(0))
-    n_cuts = max(buckets - 1, 0)
+    n_cuts = buckets - 1
     pcts = [i / buckets for i in range(1, buckets)]
-    if n_cuts == 0:
-        bucketed = df.withColumn("_b", F.lit(0))
-    else:
-        cuts = df.groupBy(*group_cols).agg(F.percentile_approx("_ok", pcts, accuracy).alias("_cuts"))
-        bucketed = (
-            df.join(F.broadcast(cuts), group_cols, "left")
-            .withColumn("_b", bucket_of(F.col("_ok"), F.col("_cuts"), n_cuts))
-            .drop("_cuts")
-        )
+    cuts = df.groupBy(*group_cols).agg(F.percentile_approx("_ok", pcts, accuracy).alias("_cuts"))
+    bucketed = (
+        df.join(F.broadcast(cuts), group_cols, "left")
+        .withColumn("_b", bucket_of(F.col("_ok"), F.col("_cuts"), n_cuts))
+        .drop("_cuts")
+    )
 
     totals = bucketed.groupBy(*group_cols, "_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
     w_tot = Window.partitionBy(*group_cols).orderBy("_b").rowsBetween(
@@ -117,7 +139,7 @@ def _interp_positions(n: int, q: float) -> tuple[int, int, float]:
     return lo, hi, pos - lo
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], buckets: int = 256) -> dict:
+def exact_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], buckets: int | None = None) -> dict:
     """Exact quantiles with linear interpolation (pandas/numpy/Spark ``percentile``).
 
     Returns ``{(col, q): value or None}``. Nulls and NaN are skipped. The data is
@@ -132,7 +154,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], buc
             F.array(*[F.struct(F.lit(c).alias("name"), clean_double(c).alias("x")) for c in cols])
         ).alias("_kv")
     ).select("_kv.name", "_kv.x")
-    vc = value_counts(long, F.col("x"), ["name"])
+    ensure_checkpoint_dir(df.sparkSession)
+    vc = value_counts(long, F.col("x"), ["name"]).checkpoint(eager=True)
     counts = {r["name"]: r["n"] for r in vc.groupBy("name").agg(F.sum("cnt").alias("n")).collect()}
     wanted = {}
     for c in cols:
@@ -143,7 +166,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], buc
                 wanted.setdefault(c, set()).update({lo, hi})
     if not wanted:
         return {(c, q): None for c in cols for q in qs}
-    cum = ordered_cumsum(vc, "v", ["cnt"], ["name"], buckets=buckets)
+    cum = ordered_cumsum(vc, "v", ["cnt"], ["name"], buckets=buckets, materialize=False)
     cond = None
     for c, ks in wanted.items():
         for k in ks:

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from riskspark.functions.nulls import clean_double
 from riskspark.operators.cumulative import ordered_cumsum
+from riskspark.session import ensure_checkpoint_dir
 
 DRIFT_THRESHOLD = 0.1
 OVERALL_THRESHOLD = 0.3
@@ -50,23 +51,22 @@ def ks_p_value(d: Column, n: Column, m: Column) -> Column:
 
 
 def ks_drift(ref: DataFrame, cur: DataFrame, features: Sequence[str], threshold: float = DRIFT_THRESHOLD,
-             buckets: int = 256) -> DataFrame:
+             buckets: int | None = None) -> DataFrame:
     """(feature, ks_statistic, p_value, drift_detected) for features with more than
     one distinct value on both sides."""
     both = _long(ref, features, 0).unionByName(_long(cur, features, 1)).where(F.col("value").isNotNull())
+    ensure_checkpoint_dir(ref.sparkSession)
     counts = both.groupBy("feature", "value").agg(
         F.count_if(F.col("side") == 0).alias("c_ref"), F.count_if(F.col("side") == 1).alias("c_cur")
-    )
-    sides = both.groupBy("feature", "side").agg(
-        F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
-    )
-    per_feature = sides.groupBy("feature").agg(
-        F.sum(F.when(F.col("side") == 0, F.col("n"))).alias("n_ref"),
-        F.sum(F.when(F.col("side") == 1, F.col("n"))).alias("n_cur"),
-        F.min(F.when(F.col("side") == 0, F.col("lo") < F.col("hi"))).alias("var_ref"),
-        F.min(F.when(F.col("side") == 1, F.col("lo") < F.col("hi"))).alias("var_cur"),
-    ).where(F.coalesce(F.col("var_ref"), F.lit(False)) & F.coalesce(F.col("var_cur"), F.lit(False)))
-    cum = ordered_cumsum(counts, "value", ["c_ref", "c_cur"], ["feature"], buckets=buckets)
+    ).checkpoint(eager=True)
+    # D2 from the same counts: a side varies when it has two or more distinct values
+    per_feature = counts.groupBy("feature").agg(
+        F.sum("c_ref").alias("n_ref"),
+        F.sum("c_cur").alias("n_cur"),
+        F.count_if(F.col("c_ref") > 0).alias("d_ref"),
+        F.count_if(F.col("c_cur") > 0).alias("d_cur"),
+    ).where((F.col("d_ref") > 1) & (F.col("d_cur") > 1))
+    cum = ordered_cumsum(counts, "value", ["c_ref", "c_cur"], ["feature"], buckets=buckets, materialize=False)
     gaps = cum.join(F.broadcast(per_feature.select("feature", "n_ref", "n_cur")), "feature").select(
         "feature", "n_ref", "n_cur",
         F.abs(F.col("c_ref_upto") / F.col("n_ref") - F.col("c_cur_upto") / F.col("n_cur")).alias("gap"),

@@ -65,7 +65,7 @@ def confusion(df: DataFrame, label: str = "Fraud", pred: str = "FraudPrediction"
 
 
 def roc_auc(df: DataFrame, label: str = "Fraud", score: str = "FraudScore", group_cols: Sequence[str] = (),
-            buckets: int = 1024) -> DataFrame:
+            buckets: int | None = None) -> DataFrame:
     """V6: exact ROC AUC with ties counted half (Mann-Whitney), per group.
 
     Rows with a null/NaN score or label are skipped. One-class groups give null.
@@ -78,7 +78,14 @@ def roc_auc(df: DataFrame, label: str = "Fraud", score: str = "FraudScore", grou
         .groupBy(*group_cols, "_s")
         .agg(F.sum("_y").cast("long").alias("_pos"), F.sum(F.lit(1) - F.col("_y")).cast("long").alias("_neg"))
     )
-    cum = ordered_cumsum(by_score, "_s", ["_neg"], group_cols, buckets=buckets)
+    return auc_from_counts(by_score, "_s", group_cols, buckets)
+
+
+def auc_from_counts(by_score: DataFrame, score: str = "_s", group_cols: Sequence[str] = (),
+                    buckets: int | None = None) -> DataFrame:
+    """V6 from (group..., score, _pos, _neg) rows, one per distinct score."""
+    group_cols = list(group_cols)
+    cum = ordered_cumsum(by_score, score, ["_neg"], group_cols, buckets=buckets)
     agg = cum.groupBy(*group_cols).agg(
         F.sum(F.col("_pos") * (F.col("_neg_before") + F.col("_neg") / F.lit(2.0))).alias("_num"),
         F.sum("_pos").alias("_p"),
@@ -92,11 +99,43 @@ def roc_auc(df: DataFrame, label: str = "Fraud", score: str = "FraudScore", grou
 
 def performance_metrics(df: DataFrame, label: str = "Fraud", pred: str = "FraudPrediction",
                         score: str = "FraudScore") -> DataFrame:
-    """V8: the monitoring metric row (12 fields). The AUC is a scalar subquery."""
-    auc = roc_auc(df, label, score).scalar()
-    return confusion(df, label, pred).select(
-        *[auc.alias(m) if m == "roc_auc" else F.col(m) for m in REPORT_METRICS]
+    """V8: the monitoring metric row (12 fields).
+
+    One pass over the input: rows are counted per (score, prediction) with their
+    positives; that aggregate is checkpointed and both the confusion counts and the
+    exact AUC are read from it.
+    """
+    y, p, s = F.col(label).cast("int"), F.col(pred).cast("int"), clean_double(score)
+    agg = (
+        df.select(s.alias("_s"), p.alias("_p"), y.alias("_y"))
+        .groupBy("_s", "_p", "_y")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    from riskspark.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    agg = agg.checkpoint(eager=True)
+    cnt = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("_n"))), F.lit(0)).cast("long")
+    yy, pp = F.col("_y"), F.col("_p")
+    conf = rates_from_confusion(agg.agg(
+        cnt((yy == 0) & (pp == 0)).alias("true_negatives"),
+        cnt((yy == 0) & (pp == 1)).alias("false_positives"),
+        cnt((yy == 1) & (pp == 0)).alias("false_negatives"),
+        cnt((yy == 1) & (pp == 1)).alias("true_positives"),
+        cnt(F.lit(True)).alias("sample_size"),
+        F.try_divide(F.sum(F.when(yy.isNotNull(), yy * F.col("_n"))).cast("double"),
+                     F.sum(F.when(yy.isNotNull(), F.col("_n"))).cast("double")).alias("fraud_rate"),
+        F.try_divide(F.sum(F.when(pp.isNotNull(), pp * F.col("_n"))).cast("double"),
+                     F.sum(F.when(pp.isNotNull(), F.col("_n"))).cast("double")).alias("alert_rate"),
+    ))
+    by_score = (
+        agg.where(F.col("_s").isNotNull() & yy.isNotNull())
+        .groupBy("_s")
+        .agg(F.sum(F.when(yy == 1, F.col("_n")).otherwise(0)).cast("long").alias("_pos"),
+             F.sum(F.when(yy == 0, F.col("_n")).otherwise(0)).cast("long").alias("_neg"))
     )
+    auc = auc_from_counts(by_score).scalar()
+    return conf.select(*[auc.alias(m) if m == "roc_auc" else F.col(m) for m in REPORT_METRICS])
 
 
 def metrics_long(metric_row: DataFrame) -> DataFrame:
@@ -113,7 +152,7 @@ def daily_metrics(df: DataFrame, label: str = "Fraud", pred: str = "FraudPredict
     """V9: V1-V8 per calendar day (AUC per day through a day-grouped prefix sum)."""
     with_day = df.withColumn("Date", F.date_format(F.col(ts), "yyyy-MM-dd"))
     conf = confusion(with_day, label, pred, ["Date"])
-    auc = roc_auc(with_day, label, score, ["Date"], buckets=64)
+    auc = roc_auc(with_day, label, score, ["Date"])
     return conf.join(auc, "Date", "left")
 
 

@@ -543,7 +543,7 @@ def s9_evaluate_models(spark, sf_dir):
         ).alias("m"),
     ).select("m.model", "m.s", "m.pred", "Fraud")
     conf = metrics.confusion(rows, "Fraud", "pred", ["model"])
-    auc = metrics.roc_auc(rows, "Fraud", "s", ["model"], buckets=256)
+    auc = metrics.roc_auc(rows, "Fraud", "s", ["model"])
     return conf.join(auc, "model").select("model", "accuracy", "precision", "recall", "f1_score", "roc_auc")
 
 

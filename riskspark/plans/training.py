@@ -117,7 +117,7 @@ def evaluate_models(tr: Trained, split_name: str = "test") -> DataFrame:
         )).alias("m"),
     ).select("m.model", "m.s", "m.pred", y)
     conf = metrics.confusion(rows, y, "pred", ["model"])
-    auc = metrics.roc_auc(rows, y, "s", ["model"], buckets=64)
+    auc = metrics.roc_auc(rows, y, "s", ["model"])
     return conf.join(auc, "model").select("model", "accuracy", "precision", "recall", "f1_score", "roc_auc")
 
 
