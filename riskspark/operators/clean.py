@@ -62,8 +62,15 @@ def fill_missing(df: DataFrame, label: str | None = "Fraud") -> DataFrame:
     """
     text_cols = [f.name for f in df.schema.fields if isinstance(f.dataType, _TEXTLIKE) and f.name != label]
     num_cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name != label]
-    modes = column_modes(df, text_cols)
-    medians = exact_medians(df, num_cols)
+    # one cheap pass finds the columns with gaps; only those need a mode or a median
+    # (a mode over a unique id column would shuffle every id for nothing)
+    probe = text_cols + num_cols
+    nulls = df.agg(*[F.count_if(F.col(c).isNull() | (F.isnan(F.col(c)) if c in num_cols and isinstance(
+        df.schema[c].dataType, (T.DoubleType, T.FloatType)) else F.lit(False))).alias(c) for c in probe]).first() \
+        if probe else {}
+    gaps = {c for c in probe if nulls[c]}
+    modes = column_modes(df, [c for c in text_cols if c in gaps])
+    medians = exact_medians(df, [c for c in num_cols if c in gaps])
     out = []
     for f in df.schema.fields:
         c = f.name

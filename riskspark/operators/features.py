@@ -43,32 +43,49 @@ def _raw_gap(df: DataFrame) -> F.Column:
 
 
 def compute_stats(df: DataFrame) -> FeatureStats:
-    """Statistics over ``df``: two small aggregate jobs plus one exact-quantile job."""
+    """Statistics over ``df``.
+
+    The columns the statistics need (gap hours, amount) are projected once and
+    checkpointed, so the probe, the exact-quantile job and the mean/deviation pass read
+    that narrow table instead of recomputing the joins and windows behind ``df``.
+    """
+    from riskspark.session import ensure_checkpoint_dir
+
     cols = set(df.columns)
     st = FeatureStats()
-    probes = []
+    narrow = []
     if "TransactionDate" in cols:
-        probes.append(F.count("TransactionDate").alias("n_date"))
+        narrow.append(F.col("TransactionDate").isNotNull().alias("_has_date"))
     if {"TransactionDate", "PreviousTransactionDate"} <= cols:
-        probes.append(F.count("PreviousTransactionDate").alias("n_prev"))
+        narrow += [F.col("PreviousTransactionDate").isNotNull().alias("_has_prev"), _raw_gap(df).alias("_gap")]
+    amount = {"TransactionAmount", "AccountBalance"} <= cols
+    if amount:
+        narrow.append(F.col("TransactionAmount"))
+    if not narrow:
+        return st
+    ensure_checkpoint_dir(df.sparkSession)
+    staged = df.select(*narrow).checkpoint(eager=True)
+    probes = []
+    if "_has_date" in staged.columns:
+        probes.append(F.count_if("_has_date").alias("n_date"))
+    if "_has_prev" in staged.columns:
+        probes.append(F.count_if("_has_prev").alias("n_prev"))
     if probes:
-        row = df.agg(*probes).first().asDict()
+        row = staged.agg(*probes).first().asDict()
         st.has_date = bool(row.get("n_date"))
         st.has_gap = st.has_date and bool(row.get("n_prev"))
     wanted = []
-    staged = df
     if st.has_gap:
-        staged = staged.withColumn("_gap", _raw_gap(df))
         wanted.append(("_gap", 0.5))
-    if {"TransactionAmount", "AccountBalance"} <= cols:
+    if amount:
         wanted.append(("TransactionAmount", HIGH_VALUE_QUANTILE))
     if wanted:
         qs = exact_quantiles(staged, sorted({c for c, _ in wanted}), sorted({q for _, q in wanted}))
         st.gap_median = qs.get(("_gap", 0.5))
         st.amount_q90 = qs.get(("TransactionAmount", HIGH_VALUE_QUANTILE))
     if st.has_gap:
-        filled = _filled_gap(_raw_gap(df), st.gap_median)
-        row = df.agg(F.avg(filled).alias("m"), F.stddev_samp(filled).alias("s")).first()
+        filled = _filled_gap(F.col("_gap"), st.gap_median)
+        row = staged.agg(F.avg(filled).alias("m"), F.stddev_samp(filled).alias("s")).first()
         st.gap_mean, st.gap_std = row["m"], row["s"]
     return st
 

@@ -98,26 +98,27 @@ def auc_from_counts(by_score: DataFrame, score: str = "_s", group_cols: Sequence
 
 
 def performance_metrics(df: DataFrame, label: str = "Fraud", pred: str = "FraudPrediction",
-                        score: str = "FraudScore") -> DataFrame:
-    """V8: the monitoring metric row (12 fields).
+                        score: str = "FraudScore", group_cols: Sequence[str] = ()) -> DataFrame:
+    """V8 (and V9 with ``group_cols``): the monitoring metric row(s).
 
-    One pass over the input: rows are counted per (score, prediction) with their
-    positives; that aggregate is checkpointed and both the confusion counts and the
-    exact AUC are read from it.
+    One pass over the input: rows are counted per (group, score, prediction, label);
+    that aggregate is checkpointed and both the confusion counts and the exact AUC
+    are read from it.
     """
+    from riskspark.session import ensure_checkpoint_dir
+
+    group_cols = list(group_cols)
     y, p, s = F.col(label).cast("int"), F.col(pred).cast("int"), clean_double(score)
     agg = (
-        df.select(s.alias("_s"), p.alias("_p"), y.alias("_y"))
-        .groupBy("_s", "_p", "_y")
+        df.select(*group_cols, s.alias("_s"), p.alias("_p"), y.alias("_y"))
+        .groupBy(*group_cols, "_s", "_p", "_y")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    from riskspark.session import ensure_checkpoint_dir
-
     ensure_checkpoint_dir(df.sparkSession)
     agg = agg.checkpoint(eager=True)
     cnt = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("_n"))), F.lit(0)).cast("long")
     yy, pp = F.col("_y"), F.col("_p")
-    conf = rates_from_confusion(agg.agg(
+    conf = rates_from_confusion(agg.groupBy(*group_cols).agg(
         cnt((yy == 0) & (pp == 0)).alias("true_negatives"),
         cnt((yy == 0) & (pp == 1)).alias("false_positives"),
         cnt((yy == 1) & (pp == 0)).alias("false_negatives"),
@@ -130,10 +131,13 @@ def performance_metrics(df: DataFrame, label: str = "Fraud", pred: str = "FraudP
     ))
     by_score = (
         agg.where(F.col("_s").isNotNull() & yy.isNotNull())
-        .groupBy("_s")
+        .groupBy(*group_cols, "_s")
         .agg(F.sum(F.when(yy == 1, F.col("_n")).otherwise(0)).cast("long").alias("_pos"),
              F.sum(F.when(yy == 0, F.col("_n")).otherwise(0)).cast("long").alias("_neg"))
     )
+    if group_cols:
+        auc = auc_from_counts(by_score, "_s", group_cols)
+        return conf.join(auc, group_cols, "left").select(*group_cols, *REPORT_METRICS)
     auc = auc_from_counts(by_score).scalar()
     return conf.select(*[auc.alias(m) if m == "roc_auc" else F.col(m) for m in REPORT_METRICS])
 
@@ -151,9 +155,7 @@ def daily_metrics(df: DataFrame, label: str = "Fraud", pred: str = "FraudPredict
                   ts: str = "Timestamp") -> DataFrame:
     """V9: V1-V8 per calendar day (AUC per day through a day-grouped prefix sum)."""
     with_day = df.withColumn("Date", F.date_format(F.col(ts), "yyyy-MM-dd"))
-    conf = confusion(with_day, label, pred, ["Date"])
-    auc = roc_auc(with_day, label, score, ["Date"])
-    return conf.join(auc, "Date", "left")
+    return performance_metrics(with_day, label, pred, score, ["Date"])
 
 
 def score_histogram(df: DataFrame, score: str = "FraudScore", label: str = "Fraud", bins: int = 20) -> DataFrame:
