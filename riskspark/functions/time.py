@@ -11,16 +11,27 @@ from pyspark.sql import functions as F
 
 from riskspark.functions.nulls import flag
 
-_EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def epoch_micros(c) -> Column:
-    """Microseconds since 1970-01-01 of the wall-clock value (NTZ semantics)."""
-    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), _c(c).cast("timestamp_ntz"))
+    """Microseconds since 1970-01-01 of the wall-clock value.
+
+    Built from date and time-of-day parts of the TIMESTAMP_NTZ value, so the result
+    does not depend on the session time zone (a zone whose offset changed since 1970
+    would otherwise shift it).
+    """
+    t = _c(c).cast("timestamp_ntz")
+    days = F.datediff(F.to_date(t), F.to_date(F.lit("1970-01-01"))).cast("long")
+    secs = F.date_part(F.lit("SECOND"), t)
+    return (
+        days * F.lit(86_400_000_000)
+        + F.hour(t).cast("long") * F.lit(3_600_000_000)
+        + F.minute(t).cast("long") * F.lit(60_000_000)
+        + (secs * F.lit(1_000_000)).cast("long")
+    )
 
 
 def hours_between(later, earlier) -> Column:
