@@ -58,7 +58,8 @@ def rank_by_hash(df: DataFrame, key: str, seed: int, class_col: str | None, rows
                  total_rows: int | None = None) -> DataFrame:
     """Add ``_rank`` (1-based) = position of the row inside its class in (hash, key) order."""
     n = total_rows if total_rows is not None else df.count()
-    digits = max(1, min(6, math.ceil(math.log(max(n / rows_per_bucket, 1.0), 16)) + 1))
+    # 16^digits hash buckets per class, about rows_per_bucket rows each
+    digits = max(1, min(8, math.ceil(math.log(max(n / rows_per_bucket, 1.0), 16))))
     cls = [class_col] if class_col else []
     h = hash_key(key, seed)
     staged = df.withColumn("_h", h).withColumn("_hb", F.substring("_h", 1, digits))
@@ -68,8 +69,10 @@ def rank_by_hash(df: DataFrame, key: str, seed: int, class_col: str | None, rows
     )
     base = counts.select(*cls, "_hb", F.coalesce(F.sum("_bc").over(w_base), F.lit(0)).alias("_base"))
     w_in = Window.partitionBy(*cls, "_hb").orderBy("_h", key)
+    # ``base`` has one row per (class, bucket), about n / rows_per_bucket rows: joined on the
+    # window's own keys (AQE broadcasts it when it is small), never force-broadcast
     return (
-        staged.join(F.broadcast(base), [*cls, "_hb"])
+        staged.join(base, [*cls, "_hb"])
         .withColumn("_rank", F.col("_base") + F.row_number().over(w_in))
         .drop("_h", "_hb", "_base")
     )

@@ -33,6 +33,11 @@ class Preprocessor:
         self.max_categories = max_categories
 
     def fit(self, df: DataFrame) -> "PreprocessorModel":
+        from riskspark.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(df.sparkSession)
+        # the fitted columns only, read once from the source and reused by every statistic
+        df = df.select(*self.numeric, *self.categorical).checkpoint(eager=True)
         medians = exact_medians(df, self.numeric)
         modes = column_modes(df, self.categorical)
         imputed = [F.coalesce(clean_double(c), F.lit(medians[c]).cast("double")).alias(c) for c in self.numeric]
@@ -43,15 +48,22 @@ class Preprocessor:
                 *[F.stddev_pop(c).alias(f"s_{c}") for c in self.numeric],
             ).first()
             stats = {c: (row[f"m_{c}"], row[f"s_{c}"]) for c in self.numeric}
-        categories = {}
-        for c in self.categorical:
-            filled = F.coalesce(F.col(c).cast("string"), F.lit(modes[c]))
-            # distinct values of one column: a bounded list (checked) kept on the model
-            vals = df.select(filled.alias("v")).where(F.col("v").isNotNull()).distinct().limit(self.max_categories + 1)
-            found = sorted(r["v"] for r in vals.collect())
-            if len(found) > self.max_categories:
-                raise ValueError(f"{c}: more than {self.max_categories} categories; hash or bucket it first")
-            categories[c] = found
+        categories = {c: [] for c in self.categorical}
+        if self.categorical:
+            # all category columns in one pass; the list kept on the model is bounded (checked)
+            filled = [F.struct(F.lit(c).alias("name"), F.coalesce(F.col(c).cast("string"), F.lit(modes[c])).alias("v"))
+                      for c in self.categorical]
+            levels = (
+                df.select(F.explode(F.array(*filled)).alias("kv")).select("kv.name", "kv.v")
+                .where(F.col("v").isNotNull()).distinct()
+            )
+            found = levels.limit(self.max_categories * len(self.categorical) + 1).collect()
+            for r in found:
+                categories[r["name"]].append(r["v"])
+            for c, vals in categories.items():
+                if len(vals) > self.max_categories:
+                    raise ValueError(f"{c}: more than {self.max_categories} categories; hash or bucket it first")
+                vals.sort()
         return PreprocessorModel(self.numeric, self.categorical, medians, modes, stats, categories)
 
 
