@@ -55,3 +55,11 @@ def test_oversample_reaches_parity(spark, blob):
     counts = {r["Fraud"]: r["count"] for r in out.groupBy("Fraud").count().collect()}
     assert counts[0] == counts[1]
     assert out.where("synthetic").count() == counts[1] - 201
+
+
+def test_isolation_forest_search_runs(spark, blob):
+    from riskspark.operators.models import search_isolation_forest
+
+    labelled = blob.withColumn("Fraud", (F.col("id") == 2000).cast("int"))
+    res = search_isolation_forest(labelled, labelled, n_trials=2, key_col="id")
+    assert len(res.trials) == 2 and res.best_auc is not None and res.best_auc > 0.9
