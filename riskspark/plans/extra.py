@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from riskspark.operators import clean, drift, fusion, iforest, models, split
 from riskspark.plans import monitoring, training
-from riskspark.plans.catalog import AS_OF, DRIFT_FEATURES, LOOKBACK_DAYS, register
+from riskspark.plans.catalog import AS_OF, E_COLS, LOOKBACK_DAYS, _alloc_sql, register
+from riskspark.plans.sqltext import big, r6, us, with_views
 from riskspark.session import scratch_path
 from riskspark.sources import io, views
 from riskspark.streaming import scoring
@@ -30,7 +31,9 @@ def trained(spark, sf_dir):
     return _TRAINED[key]
 
 
-@register("io1_csv_scan")
+@register("io1_csv_scan",
+          with_views("T") + "SELECT TransactionID AS Transaction_ID, " + r6("TransactionAmount") + " AS Transaction_Amount, "
+          + us("TransactionDate") + " AS TransactionDate, Channel, " + big("Fraud") + " AS Fraud FROM T")
 def io1_csv_scan(spark, sf_dir):
     """IO1-IO3: T written as CSV with a header, read back with an explicit schema."""
     path = _scratch(spark, "csv")
@@ -42,7 +45,7 @@ def io1_csv_scan(spark, sf_dir):
     return io.read_transactions_csv(spark, path, schema=spark.createDataFrame([], schema).schema)
 
 
-@register("io5_overwrite_table")
+@register("io5_overwrite_table", with_views("E") + f"SELECT {E_COLS} FROM E")
 def io5_overwrite_table(spark, sf_dir):
     """IO5: a table replaced on each run (second write wins)."""
     path = _scratch(spark, "table")
@@ -52,7 +55,10 @@ def io5_overwrite_table(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@register("io7_io8_versioned_dataset")
+@register("io7_io8_versioned_dataset",
+          with_views("T", extra=_alloc_sql()) + "SELECT SP.TransactionID, " + r6("T.TransactionAmount")
+          + " AS TransactionAmount, " + big("SP.Fraud") + " AS Fraud, '20240102_000000' AS version, split "
+          "FROM SP JOIN T ON SP.TransactionID = T.TransactionID")
 def io7_io8_versioned_dataset(spark, sf_dir):
     """IO7 + IO8: two split versions written by partition; the newest is read back pruned."""
     base = _scratch(spark, "processed")
@@ -62,7 +68,7 @@ def io7_io8_versioned_dataset(spark, sf_dir):
     return io.read_latest(spark, base)
 
 
-@register("io9_io10_feedback_json")
+@register("io9_io10_feedback_json", with_views("FB") + "SELECT TransactionID, IsFraud, Feedback, " + us("Timestamp") + " AS Timestamp FROM FB")
 def io9_io10_feedback_json(spark, sf_dir):
     """IO9 + IO10: feedback appended in two batches, read back with the feedback schema."""
     path = _scratch(spark, "feedback")
@@ -74,7 +80,12 @@ def io9_io10_feedback_json(spark, sf_dir):
     return missing.unionByName(io.read_feedback(spark, path))
 
 
-@register("c7_column_kinds")
+@register("c7_column_kinds",
+          with_views("T") + " UNION ALL ".join(
+              f"SELECT '{c}' AS column, '{k}' AS kind, count({c}) AS non_null FROM T"
+              for k, cols in (("numeric", ["TransactionAmount", "AccountBalance"]),
+                              ("categorical", ["TransactionID", "AccountID", "CustomerOccupation", "Channel", "Location"]))
+              for c in cols))
 def c7_column_kinds(spark, sf_dir):
     """Numeric vs categorical columns of T (schema walk), with non-null counts."""
     t = views.transactions(spark, sf_dir)
@@ -85,7 +96,9 @@ def c7_column_kinds(spark, sf_dir):
     return counts.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
 
 
-@register("d1_shared_numeric_columns")
+@register("d1_shared_numeric_columns",
+          with_views("R") + "SELECT 'TransactionAmount' AS feature, (SELECT count(*) FROM R) AS reference_rows "
+          "UNION ALL SELECT 'LoginAttempts', (SELECT count(*) FROM R)")
 def d1_shared_numeric_columns(spark, sf_dir):
     """Numeric columns shared by the reference and current frames."""
     r, c = views.reference_window(spark, sf_dir), views.current_window(spark, sf_dir)
@@ -205,7 +218,17 @@ def st1_stream_scoring(spark, sf_dir):
     return spark.read.parquet(f"{out}/data")
 
 
-@register("st2_rolling_kpis")
+@register("st2_rolling_kpis", with_views("R", extra=[
+    "RB AS (SELECT min(ln(1.0 + TransactionAmount)) AS lo, max(ln(1.0 + TransactionAmount)) AS hi FROM R)",
+    "S0 AS (SELECT ts, value AS v, ln(1.0 + value) AS iso_raw, value / (value + 50.0) AS rf, value / (value + 100.0) AS xgb "
+    "FROM events)",
+    "S1 AS (SELECT *, CASE WHEN x IS NULL THEN NULL ELSE least(greatest(x, 0.0), 1.0) END AS iso FROM "
+    "(SELECT *, (iso_raw - (SELECT lo FROM RB)) / ((SELECT hi FROM RB) - (SELECT lo FROM RB)) AS x FROM S0))",
+    "S2 AS (SELECT *, 0.3 * rf + 0.5 * xgb + 0.2 * iso AS score FROM S1)",
+    "S3 AS (SELECT *, CAST(score > 0.5 AS INTEGER) AS pred, time_bucket(INTERVAL 5 MINUTE, ts) AS ws FROM S2)",
+]) + ("SELECT " + us("ws") + " AS window_start, " + us("ws + INTERVAL 5 MINUTE") + " AS window_end, count(*) AS transactions, "
+      + r6("avg(pred)") + " AS alert_rate, " + r6("avg(score)") + " AS mean_score, " + r6("sum(v)") + " AS amount FROM S3 "
+      "GROUP BY ws HAVING ws + INTERVAL 5 MINUTE <= date_trunc('millisecond', (SELECT max(ts) FROM events)) - INTERVAL 10 MINUTE"))
 def st2_rolling_kpis(spark, sf_dir):
     """ST2: 5-minute KPIs with a 10-minute watermark (append: closed windows only)."""
     _, bounds = _history_fit(spark, sf_dir)
@@ -218,14 +241,14 @@ def st2_rolling_kpis(spark, sf_dir):
     return spark.read.parquet(f"{out}/data")
 
 
-@register("st3_feedback_dedup")
+@register("st3_feedback_dedup", with_views("FB") + "SELECT TransactionID, IsFraud, Feedback, " + us("Timestamp") + " AS Timestamp FROM FB")
 def st3_feedback_dedup(spark, sf_dir):
     """ST3: feedback landed twice (at-least-once delivery), streamed, de-duplicated."""
     land = _scratch(spark, "st3-landing")
     fb = views.feedback(spark, sf_dir)
     io.append_feedback_json(fb, land)
     io.append_feedback_json(fb, land)
-    stream = spark.readStream.schema(fb.schema).json(land)
+    stream = spark.readStream.schema(fb.schema).option("timestampNTZFormat", io.TS_FORMAT).json(land)
     out = _scratch(spark, "st3")
     scoring.run_to_table(scoring.dedup_feedback(stream), f"{out}/data", f"{out}/checkpoint")
     return spark.read.parquet(f"{out}/data")

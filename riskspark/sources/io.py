@@ -13,6 +13,9 @@ from pyspark.sql import types as T
 from riskspark.operators.clean import normalize_column_names, parse_dates_lenient
 from riskspark.schema import ENSEMBLE_CONFIG, FEEDBACK
 
+# JSON text keeps microseconds (Spark's default NTZ format stops at milliseconds)
+TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
 
 def read_transactions_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """IO1 + IO2 + IO3: CSV with header, explicit schema (inference only if none is
@@ -79,17 +82,23 @@ def read_feedback(spark: SparkSession, path: str, json_array: bool = False) -> D
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return spark.createDataFrame([], FEEDBACK)
-    return spark.read.schema(FEEDBACK).option("multiLine", json_array).json(path)
+    return (
+        spark.read.schema(FEEDBACK).option("multiLine", json_array)
+        .option("timestampNTZFormat", TS_FORMAT).option("timestampFormat", TS_FORMAT).json(path)
+    )
 
 
 def append_feedback_json(df: DataFrame, path: str) -> None:
     """IO10: append new feedback records (no read-concat-rewrite of the old ones)."""
-    df.select([F.col(f.name).cast(f.dataType) for f in FEEDBACK.fields]).write.mode("append").json(path)
+    (
+        df.select([F.col(f.name).cast(f.dataType) for f in FEEDBACK.fields])
+        .write.mode("append").option("timestampNTZFormat", TS_FORMAT).option("timestampFormat", TS_FORMAT).json(path)
+    )
 
 
 def write_report_json(df: DataFrame, path: str) -> None:
     """IO11: a report frame (usually one row) as JSON."""
-    df.write.mode("overwrite").json(path)
+    df.write.mode("overwrite").option("timestampNTZFormat", TS_FORMAT).option("timestampFormat", TS_FORMAT).json(path)
 
 
 def save_model(model, path: str) -> None:
