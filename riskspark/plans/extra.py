@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from riskspark.operators import clean, drift, fusion, iforest, models, split
 from riskspark.plans import monitoring, training
-from riskspark.plans.catalog import AS_OF, E_COLS, LOOKBACK_DAYS, _alloc_sql, register
+from riskspark.plans.catalog import _PERIOD, AS_OF, E_COLS, LOOKBACK_DAYS, _alloc_sql, _gap_ctes, register
 from riskspark.plans.sqltext import big, r6, us, with_views
 from riskspark.session import scratch_path
 from riskspark.sources import io, views
@@ -208,7 +208,24 @@ def _history_fit(spark, sf_dir):
     return fm, (b[0], b[1])
 
 
-@register("st1_stream_scoring")
+@register("st1_stream_scoring", with_views("E", "R", extra=_gap_ctes("E", "R") + [
+    "RB AS (SELECT min(ln(1.0 + TransactionAmount)) AS lo, max(ln(1.0 + TransactionAmount)) AS hi FROM R)",
+    "S0 AS (SELECT *, TransactionAmount / (TransactionAmount + 50.0) AS rf_score, "
+    "TransactionAmount / (TransactionAmount + 100.0) AS xgb_score, ln(1.0 + TransactionAmount) AS iso_raw FROM GF)",
+    "S1 AS (SELECT *, CASE WHEN x IS NULL THEN NULL ELSE least(greatest(x, 0.0), 1.0) END AS iso_score FROM "
+    "(SELECT *, (iso_raw - (SELECT lo FROM RB)) / ((SELECT hi FROM RB) - (SELECT lo FROM RB)) AS x FROM S0))",
+    "S2 AS (SELECT *, 0.3 * rf_score + 0.5 * xgb_score + 0.2 * iso_score AS FraudScore FROM S1)",
+]) + ("SELECT TransactionID, " + r6("TransactionAmount") + " AS TransactionAmount, " + us("TransactionDate")
+      + " AS TransactionDate, Channel, " + big("LoginAttempts") + " AS LoginAttempts, "
+      + big("hour(TransactionDate)") + " AS TransactionHour, " + big("isodow(TransactionDate) - 1")
+      + " AS TransactionDayOfWeek, " + big("month(TransactionDate)") + " AS TransactionMonth, "
+      + big("CASE WHEN isodow(TransactionDate) IN (6, 7) THEN 1 ELSE 0 END") + " AS IsWeekend, "
+      + _PERIOD + " AS TimePeriod, " + r6("filled") + " AS HoursSincePreviousTransaction, "
+      + big("CASE WHEN filled > (SELECT lim FROM GT) THEN 1 ELSE 0 END") + " AS UnusualTransactionTiming, "
+      + big("CASE WHEN LoginAttempts > 1 THEN 1 ELSE 0 END") + " AS HighLoginAttempts, "
+      + r6("rf_score") + " AS rf_score, " + r6("xgb_score") + " AS xgb_score, " + r6("iso_raw") + " AS iso_raw, "
+      + r6("iso_score") + " AS iso_score, " + r6("FraudScore") + " AS FraudScore, "
+      + big("FraudScore > 0.5") + " AS FraudPrediction, " + us("TransactionDate") + " AS Timestamp FROM S2"))
 def st1_stream_scoring(spark, sf_dir):
     """ST1: events streamed, previous time from state, features and bounds fitted on history."""
     fm, bounds = _history_fit(spark, sf_dir)
