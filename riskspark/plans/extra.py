@@ -271,7 +271,18 @@ def st3_feedback_dedup(spark, sf_dir):
     return spark.read.parquet(f"{out}/data")
 
 
-@register("st4_model_refresh")
+@register("st4_model_refresh", with_views("R", extra=[
+    "RB AS (SELECT min(ln(1.0 + TransactionAmount)) AS lo, max(ln(1.0 + TransactionAmount)) AS hi FROM R)",
+    "S0 AS (SELECT CAST(event_id AS VARCHAR) AS TransactionID, value AS TransactionAmount, ts AS TransactionDate, "
+    "value / (value + 50.0) AS rf_score, value / (value + 100.0) AS xgb_score, ln(1.0 + value) AS iso_raw FROM events)",
+    "S1 AS (SELECT *, CASE WHEN x IS NULL THEN NULL ELSE least(greatest(x, 0.0), 1.0) END AS iso_score FROM "
+    "(SELECT *, (iso_raw - (SELECT lo FROM RB)) / ((SELECT hi FROM RB) - (SELECT lo FROM RB)) AS x FROM S0))",
+    "S2 AS (SELECT *, 0.2 * rf_score + 0.5 * xgb_score + 0.3 * iso_score AS FraudScore FROM S1)",
+]) + ("SELECT TransactionID, " + r6("TransactionAmount") + " AS TransactionAmount, " + us("TransactionDate")
+      + " AS TransactionDate, " + r6("rf_score") + " AS rf_score, " + r6("xgb_score") + " AS xgb_score, "
+      + r6("iso_raw") + " AS iso_raw, " + r6("iso_score") + " AS iso_score, " + r6("FraudScore") + " AS FraudScore, "
+      + big("FraudScore > 0.45") + " AS FraudPrediction, " + us("TransactionDate") + " AS Timestamp, "
+      "'20240102_000000' AS config_version, CAST(0 AS BIGINT) AS batch_id FROM S2"))
 def st4_model_refresh(spark, sf_dir):
     """ST4: each micro-batch scored with the newest ensemble configuration."""
     _, bounds = _history_fit(spark, sf_dir)
