@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskspark.functions.nulls import clean_double
-from riskspark.operators.cumulative import column_modes, exact_medians
+from riskspark.operators.cumulative import column_modes, medians as column_medians
 
 # Identifier columns the feature step drops, as in the reference.
 ID_COLUMNS = ["s.no", "s_no", "TransactionID", "AccountID", "DeviceID", "IP_Address", "MerchantID"]
@@ -53,9 +53,10 @@ def column_kinds(df: DataFrame, exclude: Sequence[str] = ()) -> tuple[list[str],
     return numeric, categorical
 
 
-def fill_missing(df: DataFrame, label: str | None = "Fraud") -> DataFrame:
+def fill_missing(df: DataFrame, label: str | None = "Fraud", exact: bool = True) -> DataFrame:
     """C1 + C2: text-like columns get their mode (ties -> smallest, all null -> 'Unknown'
-    for strings), other columns the exact median. The label is left alone.
+    for strings), other columns the exact median (``exact=False``: one-pass approximate
+    median). The label is left alone.
 
     Statistics come from the distributed helpers (one pass each for modes and medians);
     only one value per column reaches the driver.
@@ -70,7 +71,7 @@ def fill_missing(df: DataFrame, label: str | None = "Fraud") -> DataFrame:
         if probe else {}
     gaps = {c for c in probe if nulls[c]}
     modes = column_modes(df, [c for c in text_cols if c in gaps])
-    medians = exact_medians(df, [c for c in num_cols if c in gaps])
+    medians = column_medians(df, [c for c in num_cols if c in gaps], exact)
     out = []
     for f in df.schema.fields:
         c = f.name
@@ -97,9 +98,9 @@ def deduplicate(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def clean_data(df: DataFrame, label: str | None = "Fraud") -> DataFrame:
+def clean_data(df: DataFrame, label: str | None = "Fraud", exact: bool = True) -> DataFrame:
     """C1-C3 in reference order: fill, then de-duplicate."""
-    return deduplicate(fill_missing(df, label))
+    return deduplicate(fill_missing(df, label, exact))
 
 
 def validate_labels(df: DataFrame, label: str = "Fraud") -> DataFrame:

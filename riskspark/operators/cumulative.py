@@ -139,6 +139,24 @@ def _interp_positions(n: int, q: float) -> tuple[int, int, float]:
     return lo, hi, pos - lo
 
 
+def approx_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], accuracy: int = 10000) -> dict:
+    """One mergeable pass (``percentile_approx``): rank error about n / accuracy. For inputs
+    where even one value-count shuffle is too much; results are not exact."""
+    cols, qs = list(cols), list(qs)
+    if not cols:
+        return {}
+    row = df.agg(*[F.percentile_approx(clean_double(c), qs, accuracy).alias(c) for c in cols]).first()
+    return {(c, q): (row[c][i] if row[c] is not None else None) for c in cols for i, q in enumerate(qs)}
+
+
+def quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], exact: bool = True) -> dict:
+    return exact_quantiles(df, cols, qs) if exact else approx_quantiles(df, cols, qs)
+
+
+def medians(df: DataFrame, cols: Sequence[str], exact: bool = True) -> dict:
+    return {c: v for (c, _), v in quantiles(df, cols, [0.5], exact).items()}
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], buckets: int | None = None) -> dict:
     """Exact quantiles with linear interpolation (pandas/numpy/Spark ``percentile``).
 

@@ -22,7 +22,7 @@ from riskspark.functions.time import (
     transaction_month,
 )
 from riskspark.operators.clean import DATE_COLUMNS, ID_COLUMNS
-from riskspark.operators.cumulative import exact_quantiles
+from riskspark.operators.cumulative import quantiles
 
 HIGH_VALUE_QUANTILE = 0.9
 
@@ -42,7 +42,7 @@ def _raw_gap(df: DataFrame) -> F.Column:
     return hours_between(F.col("TransactionDate"), F.col("PreviousTransactionDate"))
 
 
-def compute_stats(df: DataFrame) -> FeatureStats:
+def compute_stats(df: DataFrame, exact: bool = True) -> FeatureStats:
     """Statistics over ``df``.
 
     The columns the statistics need (gap hours, amount) are projected once and
@@ -80,7 +80,7 @@ def compute_stats(df: DataFrame) -> FeatureStats:
     if amount:
         wanted.append(("TransactionAmount", HIGH_VALUE_QUANTILE))
     if wanted:
-        qs = exact_quantiles(staged, sorted({c for c, _ in wanted}), sorted({q for _, q in wanted}))
+        qs = quantiles(staged, sorted({c for c, _ in wanted}), sorted({q for _, q in wanted}), exact)
         st.gap_median = qs.get(("_gap", 0.5))
         st.amount_q90 = qs.get(("TransactionAmount", HIGH_VALUE_QUANTILE))
     if st.has_gap:
@@ -139,13 +139,14 @@ def apply_features(df: DataFrame, st: FeatureStats, drop_source: bool = True, ke
 class TransactionFeatures:
     """Estimator: ``fit(df)`` -> :class:`TransactionFeaturesModel`."""
 
-    def __init__(self, batch_stats: bool = False, drop_source: bool = True, keep=()):
+    def __init__(self, batch_stats: bool = False, drop_source: bool = True, keep=(), exact: bool = True):
+        self.exact = exact
         self.batch_stats = batch_stats
         self.drop_source = drop_source
         self.keep = tuple(keep)
 
     def fit(self, df: DataFrame) -> "TransactionFeaturesModel":
-        return TransactionFeaturesModel(compute_stats(df), self.batch_stats, self.drop_source, self.keep)
+        return TransactionFeaturesModel(compute_stats(df, self.exact), self.batch_stats, self.drop_source, self.keep)
 
     def fit_transform(self, df: DataFrame) -> DataFrame:
         return self.fit(df).transform(df)

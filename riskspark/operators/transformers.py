@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.functions.nulls import clean_double
-from riskspark.operators.cumulative import column_modes, exact_medians
+from riskspark.operators.cumulative import column_modes, medians as column_medians
 
 MAX_CATEGORIES = 10_000
 
@@ -27,7 +27,9 @@ def one_hot_name(col: str, value: str) -> str:
 class Preprocessor:
     """Estimator over numeric and categorical columns (train split only)."""
 
-    def __init__(self, numeric: Sequence[str], categorical: Sequence[str], max_categories: int = MAX_CATEGORIES):
+    def __init__(self, numeric: Sequence[str], categorical: Sequence[str], max_categories: int = MAX_CATEGORIES,
+                 exact: bool = True):
+        self.exact = exact
         self.numeric = list(numeric)
         self.categorical = list(categorical)
         self.max_categories = max_categories
@@ -38,7 +40,7 @@ class Preprocessor:
         ensure_checkpoint_dir(df.sparkSession)
         # the fitted columns only, read once from the source and reused by every statistic
         df = df.select(*self.numeric, *self.categorical).checkpoint(eager=True)
-        medians = exact_medians(df, self.numeric)
+        medians = column_medians(df, self.numeric, self.exact)
         modes = column_modes(df, self.categorical)
         imputed = [F.coalesce(clean_double(c), F.lit(medians[c]).cast("double")).alias(c) for c in self.numeric]
         stats = {}

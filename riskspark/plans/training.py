@@ -55,7 +55,8 @@ def prepare(df: DataFrame, label: str = "Fraud", key: str = "TransactionID", see
     pre = transformers.Preprocessor(numeric, categorical).fit(feat.where(F.col("split") == "train"))
     assembled = pre.assemble(feat, keep=[key, label, "split"])
     weighted = split.with_weights(assembled, label).withColumn("is_val", F.col("split") == "val")
-    return Prepared(weighted, fm, pre, key, label)
+    # every fit, search trial and evaluation reads this table: cut its lineage once
+    return Prepared(weighted.checkpoint(eager=True), fm, pre, key, label)
 
 
 def fit_models(prep: Prepared, n_trees: int = 100, contamination: float = 0.05, seed: int = 42) -> Trained:

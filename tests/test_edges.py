@@ -156,3 +156,11 @@ def test_nan_is_not_a_median_value(spark):
 
     assert exact_medians(df, ["v"])["v"] == 2.0
     assert not math.isnan(exact_medians(df, ["v"])["v"])
+
+
+def test_approximate_medians_close_to_exact(spark):
+    from riskspark.operators.cumulative import medians
+
+    df = spark.range(0, 10001).select(F.col("id").cast("double").alias("v"))
+    assert medians(df, ["v"], exact=True)["v"] == 5000.0
+    assert abs(medians(df, ["v"], exact=False)["v"] - 5000.0) <= 2.0
