@@ -82,10 +82,11 @@ def roc_auc(df: DataFrame, label: str = "Fraud", score: str = "FraudScore", grou
 
 
 def auc_from_counts(by_score: DataFrame, score: str = "_s", group_cols: Sequence[str] = (),
-                    buckets: int | None = None) -> DataFrame:
-    """V6 from (group..., score, _pos, _neg) rows, one per distinct score."""
+                    buckets: int | None = None, materialize: bool = True) -> DataFrame:
+    """V6 from (group..., score, _pos, _neg) rows, one per distinct score. Pass
+    ``materialize=False`` when ``by_score`` is already cheap to recompute."""
     group_cols = list(group_cols)
-    cum = ordered_cumsum(by_score, score, ["_neg"], group_cols, buckets=buckets)
+    cum = ordered_cumsum(by_score, score, ["_neg"], group_cols, buckets=buckets, materialize=materialize)
     agg = cum.groupBy(*group_cols).agg(
         F.sum(F.col("_pos") * (F.col("_neg_before") + F.col("_neg") / F.lit(2.0))).alias("_num"),
         F.sum("_pos").alias("_p"),
@@ -136,9 +137,9 @@ def performance_metrics(df: DataFrame, label: str = "Fraud", pred: str = "FraudP
              F.sum(F.when(yy == 0, F.col("_n")).otherwise(0)).cast("long").alias("_neg"))
     )
     if group_cols:
-        auc = auc_from_counts(by_score, "_s", group_cols)
+        auc = auc_from_counts(by_score, "_s", group_cols, materialize=False)
         return conf.join(auc, group_cols, "left").select(*group_cols, *REPORT_METRICS)
-    auc = auc_from_counts(by_score).scalar()
+    auc = auc_from_counts(by_score, materialize=False).scalar()
     return conf.select(*[auc.alias(m) if m == "roc_auc" else F.col(m) for m in REPORT_METRICS])
 
 

@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpointed aggregates are deleted once their DataFrame is garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
