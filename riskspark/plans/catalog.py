@@ -2,7 +2,7 @@
 
 Each Spark query takes (spark, sf_dir), reads the driver tables through the proxy
 views and returns a DataFrame whose columns are made portable (doubles rounded to 6
-places, timestamps as epoch microseconds, integers as longs). The oracle SQL computes
+places, timestamps as microsecond text, integers as longs). The oracle SQL computes
 the same columns in DuckDB over the same tables. Queries with no SQL equivalent
 (file formats, models, streams) are registered with ``sql=None``.
 """
@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskspark.functions.time import epoch_micros
 from riskspark.operators import clean, drift, features, fusion, health, metrics, split, transformers
 from riskspark.plans.sqltext import big, r6, us, with_views
 from riskspark.sources import views
@@ -24,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 AS_OF = "2024-01-30"
+TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 LOOKBACK_DAYS = 7
 DRIFT_FEATURES = ["TransactionAmount", "LoginAttempts", "TransactionHour"]
 
@@ -34,7 +34,7 @@ def portable(df: DataFrame) -> DataFrame:
         c = F.col(f"`{f.name}`")
         t = f.dataType
         if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-            out.append(epoch_micros(c).alias(f.name))
+            out.append(F.date_format(c.cast("timestamp_ntz"), TS_TEXT).alias(f.name))
         elif isinstance(t, (T.DoubleType, T.FloatType, T.DecimalType)):
             out.append(F.round(c.cast("double"), 6).alias(f.name))
         elif isinstance(t, (T.IntegerType, T.ShortType, T.ByteType)):

@@ -2,7 +2,7 @@
 
 The same view definitions as ``riskspark.sources.views``, written as CTEs over the
 driver's pre-registered tables. Doubles are rounded to 6 places and timestamps are
-given as epoch microseconds on both sides of every comparison.
+given as 'yyyy-MM-dd HH:mm:ss.ffffff' text on both sides of every comparison.
 """
 
 from __future__ import annotations
@@ -71,7 +71,8 @@ def r6(expr: str) -> str:
 
 
 def us(expr: str) -> str:
-    return f"epoch_us({expr})"
+    """Timestamp as text with microseconds (the portable form of both engines)."""
+    return f"strftime({expr}, '%Y-%m-%d %H:%M:%S.%f')"
 
 
 def big(expr: str) -> str:

@@ -35,7 +35,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return (0, "")
-        return (1, round(v, 6))
+        return (1, v)
     if hasattr(v, "item"):
         return norm(v.item())
     if isinstance(v, bool):
