@@ -27,7 +27,9 @@ def previous_in_order(
     value: str | None = None,
     rows_per_slice: int = 2_000_000,
     max_hot_keys: int = 100_000,
+    first_flag: str | None = None,
 ) -> DataFrame:
+    """``first_flag`` (optional) names a boolean column marking each key's first row."""
     value = value or ts
     micros = epoch_micros(F.col(ts))
     stats = df.groupBy(key).agg(
@@ -53,10 +55,15 @@ def previous_in_order(
         .groupBy(key, "_slice")
         .agg(F.max_by(value, F.struct(F.col(ts), F.col(tiebreak))).alias("_last"))
         .withColumn("_prev_last", F.lag("_last").over(Window.partitionBy(key).orderBy("_slice")))
-        .select(key, "_slice", "_prev_last")
+        .withColumn("_has_prev", F.lag(F.lit(True)).over(Window.partitionBy(key).orderBy("_slice")))
+        .select(key, "_slice", "_prev_last", "_has_prev")
     )
+    joined = rows.join(F.broadcast(boundary), [key, "_slice"], "left")
+    if first_flag:
+        joined = joined.withColumn(
+            first_flag, (F.col("_rn") == 1) & F.col("_has_prev").isNull()
+        )
     return (
-        rows.join(F.broadcast(boundary), [key, "_slice"], "left")
-        .withColumn(out, F.when(F.col("_rn") == 1, F.col("_prev_last")).otherwise(F.col("_lag")))
-        .drop("_lo", "_width", "_slice", "_lag", "_rn", "_prev_last")
+        joined.withColumn(out, F.when(F.col("_rn") == 1, F.col("_prev_last")).otherwise(F.col("_lag")))
+        .drop("_lo", "_width", "_slice", "_lag", "_rn", "_prev_last", "_has_prev")
     )

@@ -57,3 +57,21 @@ def test_rolling_kpis_equal_batch_windows(spark):
     got = {(r["window_start"], r["transactions"], round(r["alert_rate"], 6)) for r in stream.collect()}
     # append mode emits every window the final watermark has closed: all but the newest few
     assert got <= want and len(want) - len(got) <= 3
+
+
+def test_state_carries_previous_time_across_batches(spark):
+    """Two micro-batches: the first row of an account in batch 2 gets the last time of batch 1,
+    and the per-epoch pandas-state variant agrees with the table-state variant."""
+    from riskspark.sources.previous import previous_in_order
+    from riskspark.streaming import scoring
+
+    ev = spark.read.parquet(f"{SMALL}/events.parquet")
+    cut = ev.approxQuantile("event_id", [0.5], 0.0)[0]
+    b1, b2 = ev.where(F.col("event_id") < cut), ev.where(F.col("event_id") >= cut)
+    empty = spark.createDataFrame([], scoring.STATE_SCHEMA)
+    s1 = scoring.next_state(empty, b1)
+    got = scoring.previous_with_state(b1, empty).unionByName(scoring.previous_with_state(b2, s1))
+    want = previous_in_order(ev, "user_id", "ts", "event_id", "_prev_ts")
+    cols = ["event_id", "_prev_ts"]
+    assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0
+    assert got.count() == want.count()
