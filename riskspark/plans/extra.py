@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from riskspark.operators import clean, drift, fusion, iforest, models, split
+from riskspark.operators import clean, drift, fusion, models, split
 from riskspark.plans import monitoring, training
 from riskspark.plans.catalog import _PERIOD, AS_OF, E_COLS, LOOKBACK_DAYS, _alloc_sql, _gap_ctes, register
 from riskspark.plans.sqltext import big, r6, us, with_views
@@ -151,7 +151,7 @@ def m4_forest_search(spark, sf_dir):
         return models.positive_probability(model.transform(df), "rf_probability", "_score")
 
     res = models.search(est, models.FOREST_SPACE, d.where(F.col("split") == "train"), d.where(F.col("split") == "val"),
-                        score_fn, tr.prepared.label, n_trials=50, parallelism=4)
+                        score_fn, tr.prepared.label, n_trials=50, parallelism=8)
     return models.search_table(spark, res)
 
 
@@ -294,5 +294,3 @@ def st4_model_refresh(spark, sf_dir):
                             f"{base}/data", f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/data")
 
-
-__all__ = ["trained", "iforest"]

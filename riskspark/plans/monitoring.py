@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.operators import clean, drift, health, metrics
+from riskspark.session import ensure_checkpoint_dir
 from riskspark.sources import io
 
 
@@ -30,7 +30,10 @@ class Report:
 def generate_report(predictions: DataFrame, transactions: DataFrame, reference: DataFrame, feedback: DataFrame,
                     as_of: str, days: int = 7, drift_features=None) -> Report:
     recent = health.join_labels(clean.lookback(predictions, as_of, days), transactions)
-    recent = recent.persist(StorageLevel.MEMORY_AND_DISK)
+    # the one input every part of the report reads: cut once into the checkpoint folder
+    # (cleaned with the DataFrame, unlike a cache left behind)
+    ensure_checkpoint_dir(recent.sparkSession)
+    recent = recent.checkpoint(eager=True)
     m = metrics.performance_metrics(recent)
     current = clean.drop_if_present(recent)
     feats = drift_features or drift.shared_numeric_columns(reference, current)
