@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from riskspark.operators import clean, drift, fusion, models, split
+from riskspark.operators.metrics import REPORT_METRICS
 from riskspark.plans import monitoring, training
 from riskspark.plans.catalog import _PERIOD, AS_OF, E_COLS, LOOKBACK_DAYS, _alloc_sql, _gap_ctes, register
 from riskspark.plans.sqltext import big, r6, us, with_views
@@ -189,11 +190,7 @@ def io12_model_roundtrip(spark, sf_dir):
 @register("h2_monitoring_report")
 def h2_monitoring_report(spark, sf_dir):
     """H2 + IO11: report over recent predictions, written as JSON and read back."""
-    r = monitoring.generate_report(
-        views.predictions(spark, sf_dir), views.events(spark, sf_dir),
-        views.reference_window(spark, sf_dir).withColumn("TransactionHour", F.hour("TransactionDate")),
-        views.feedback(spark, sf_dir), AS_OF, LOOKBACK_DAYS,
-    )
+    r = _report(spark, sf_dir)
     path = _scratch(spark, "report")
     monitoring.write_report(r, path, AS_OF, LOOKBACK_DAYS)
     return spark.read.json(path)
@@ -294,3 +291,62 @@ def st4_model_refresh(spark, sf_dir):
                             f"{base}/data", f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/data")
 
+
+
+def _report(spark, sf_dir):
+    return monitoring.generate_report(
+        views.predictions(spark, sf_dir), views.events(spark, sf_dir),
+        views.reference_window(spark, sf_dir).withColumn("TransactionHour", F.hour("TransactionDate")),
+        views.feedback(spark, sf_dir), AS_OF, LOOKBACK_DAYS,
+    )
+
+
+_RECENT = ("RL AS (SELECT P.*, E.Fraud FROM P JOIN E ON P.TransactionID = E.TransactionID "
+           f"WHERE P.Timestamp >= CAST(DATE '{AS_OF}' - INTERVAL {LOOKBACK_DAYS} DAY AS TIMESTAMP))")
+
+
+def _report_metrics_sql() -> str:
+    from riskspark.plans.catalog import _RATES_COLS, _auc_sql, _rates_sql
+
+    ctes = [_RECENT, "LP AS (SELECT FraudPrediction AS pred, FraudScore, Fraud FROM RL)",
+            "EC AS (" + _rates_sql("LP") + ")", "EA AS (" + _auc_sql("LP", "FraudScore", "Fraud") + ")",
+            f"M AS (SELECT {_RATES_COLS}, (SELECT roc_auc FROM EA) AS roc_auc, fraud_rate, alert_rate, n AS sample_size, "
+            "tn AS true_negatives, fp AS false_positives, fn AS false_negatives, tp AS true_positives FROM EC)"]
+    parts = [f"SELECT '{m}' AS metric, {r6(f'CAST({m} AS DOUBLE)')} AS value FROM M" for m in REPORT_METRICS]
+    return with_views("P", "E", extra=ctes) + " UNION ALL ".join(parts)
+
+
+@register("h2_report_metrics", _report_metrics_sql())
+def h2_report_metrics(spark, sf_dir):
+    """H2: the report's metric rows (V8 over the look-back window), long form."""
+    return _report(spark, sf_dir).metrics_long
+
+
+def _report_drift_sql() -> str:
+    long = lambda src, side: " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS value, {side} AS side FROM {src}"
+        for f in ("TransactionAmount", "LoginAttempts"))
+    lam = "ks * sqrt(CAST(n_ref AS DOUBLE) * n_cur / (n_ref + n_cur))"
+    ctes = [
+        _RECENT,
+        f"LG AS (SELECT * FROM ({long('R', 0)} UNION ALL {long('RL', 1)}) WHERE value IS NOT NULL)",
+        "SD AS (SELECT feature, count(*) FILTER (WHERE side = 0) AS n_ref, count(*) FILTER (WHERE side = 1) AS n_cur, "
+        "count(DISTINCT value) FILTER (WHERE side = 0) AS d_ref, count(DISTINCT value) FILTER (WHERE side = 1) AS d_cur "
+        "FROM LG GROUP BY feature)",
+        "VC AS (SELECT feature, value, count(*) FILTER (WHERE side = 0) AS c_ref, count(*) FILTER (WHERE side = 1) AS c_cur "
+        "FROM LG GROUP BY feature, value)",
+        "CU AS (SELECT feature, value, sum(c_ref) OVER (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING) AS cr, "
+        "sum(c_cur) OVER (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING) AS cc FROM VC)",
+        "KS AS (SELECT CU.feature, max(abs(cr / n_ref - cc / n_cur)) AS ks, any_value(n_ref) AS n_ref, any_value(n_cur) AS n_cur "
+        "FROM CU JOIN SD ON CU.feature = SD.feature WHERE d_ref > 1 AND d_cur > 1 GROUP BY CU.feature)",
+        f"KP AS (SELECT feature, ks, CASE WHEN {lam} < 0.1 THEN 1.0 ELSE least(1.0, greatest(0.0, 2.0 * list_sum(list_transform("
+        f"range(1, 101), lambda k: pow(-1.0, k - 1) * exp(-2.0 * (k * k) * ({lam}) * ({lam})))))) END AS p FROM KS)",
+    ]
+    return (with_views("P", "E", "R", extra=ctes) + "SELECT feature, " + r6("ks") + " AS ks_statistic, " + r6("p")
+            + " AS p_value, ks > 0.1 AS drift_detected FROM KP")
+
+
+@register("h2_report_drift", _report_drift_sql())
+def h2_report_drift(spark, sf_dir):
+    """H2: the report's drift rows (history R vs the look-back window's shared numeric columns)."""
+    return _report(spark, sf_dir).drift
