@@ -64,14 +64,21 @@ def confusion(df: DataFrame, label: str = "Fraud", pred: str = "FraudPrediction"
     return rates_from_confusion(agg)
 
 
+def _binned(score: str, score_decimals: int | None):
+    s = clean_double(score)
+    return F.round(s, score_decimals) if score_decimals is not None else s
+
+
 def roc_auc(df: DataFrame, label: str = "Fraud", score: str = "FraudScore", group_cols: Sequence[str] = (),
-            buckets: int | None = None) -> DataFrame:
+            buckets: int | None = None, score_decimals: int | None = None) -> DataFrame:
     """V6: exact ROC AUC with ties counted half (Mann-Whitney), per group.
 
     Rows with a null/NaN score or label are skipped. One-class groups give null.
+    ``score_decimals`` (opt-in) rounds scores first, bounding the per-score table at
+    10^d + 1 rows for scores in [0, 1]; rows sharing a rounded score count as ties.
     """
     group_cols = list(group_cols)
-    s = clean_double(score)
+    s = _binned(score, score_decimals)
     by_score = (
         df.select(*group_cols, s.alias("_s"), F.col(label).cast("int").alias("_y"))
         .where(F.col("_s").isNotNull() & F.col("_y").isNotNull())
@@ -99,17 +106,19 @@ def auc_from_counts(by_score: DataFrame, score: str = "_s", group_cols: Sequence
 
 
 def performance_metrics(df: DataFrame, label: str = "Fraud", pred: str = "FraudPrediction",
-                        score: str = "FraudScore", group_cols: Sequence[str] = ()) -> DataFrame:
+                        score: str = "FraudScore", group_cols: Sequence[str] = (),
+                        score_decimals: int | None = None) -> DataFrame:
     """V8 (and V9 with ``group_cols``): the monitoring metric row(s).
 
     One pass over the input: rows are counted per (group, score, prediction, label);
     that aggregate is checkpointed and both the confusion counts and the exact AUC
-    are read from it.
+    are read from it. ``score_decimals`` as in :func:`roc_auc` (confusion counts stay
+    exact: they use the prediction column).
     """
     from riskspark.session import ensure_checkpoint_dir
 
     group_cols = list(group_cols)
-    y, p, s = F.col(label).cast("int"), F.col(pred).cast("int"), clean_double(score)
+    y, p, s = F.col(label).cast("int"), F.col(pred).cast("int"), _binned(score, score_decimals)
     agg = (
         df.select(*group_cols, s.alias("_s"), p.alias("_p"), y.alias("_y"))
         .groupBy(*group_cols, "_s", "_p", "_y")

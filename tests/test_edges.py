@@ -164,3 +164,15 @@ def test_approximate_medians_close_to_exact(spark):
     df = spark.range(0, 10001).select(F.col("id").cast("double").alias("v"))
     assert medians(df, ["v"], exact=True)["v"] == 5000.0
     assert abs(medians(df, ["v"], exact=False)["v"] - 5000.0) <= 2.0
+
+
+def test_binned_auc_is_close_and_confusion_exact(spark):
+    df = spark.range(0, 5000).select(
+        ((F.col("id") * 7919) % 1000 / 1000.0 + F.col("id") / 1e7).alias("FraudScore"),
+        (F.col("id") % 3 == 0).cast("int").alias("Fraud"),
+        (F.col("id") % 5 == 0).cast("int").alias("FraudPrediction"),
+    )
+    exact = metrics.performance_metrics(df).first()
+    binned = metrics.performance_metrics(df, score_decimals=2).first()
+    assert abs(exact["roc_auc"] - binned["roc_auc"]) < 0.01
+    assert exact["true_positives"] == binned["true_positives"]
