@@ -126,7 +126,10 @@ def oversample(df: DataFrame, key: str, features_col: str, label: str = "Fraud",
     # rows that share a vector use its representative's neighbour list
     mino = arr.where(F.col(label) == minority)
     reps = mino.groupBy("_x").agg(F.min(F.col(key).cast("string")).alias("_rep"))
-    mino = mino.join(reps, "_x").join(lists.withColumnRenamed(key, "_rep"), "_rep")
+    mino = mino.join(reps, "_x").join(lists.withColumnRenamed(key, "_rep"), "_rep", "left")
+    # a vector with no other distinct minority vector interpolates towards its own copies
+    self_only = F.array(F.struct(F.lit(1).alias("neighbor_rank"), F.col("_x").alias("_nx")))
+    mino = mino.withColumn("_nn", F.coalesce(F.col("_nn"), self_only))
     ranked = rank_by_hash(mino, key, seed, None, total_rows=n_min)
     per_row, extra = divmod(need, n_min)
     n_new = F.lit(per_row) + F.when(F.col("_rank") <= extra, F.lit(1)).otherwise(F.lit(0))

@@ -63,3 +63,13 @@ def test_isolation_forest_search_runs(spark, blob):
     labelled = blob.withColumn("Fraud", (F.col("id") == 2000).cast("int"))
     res = search_isolation_forest(labelled, labelled, n_trials=2, key_col="id")
     assert len(res.trials) == 2 and res.best_auc is not None and res.best_auc > 0.9
+
+
+def test_oversample_identical_minority_vectors(spark):
+    from pyspark.ml.functions import array_to_vector
+
+    rows = [(str(i), 1 if i < 3 else 0, [1.0, 2.0] if i < 3 else [float(i), 0.0]) for i in range(10)]
+    df = spark.createDataFrame(rows, "k string, Fraud int, x array<double>").withColumn("features", array_to_vector("x"))
+    out = oversample(df.drop("x"), "k", "features")
+    counts = {r["Fraud"]: r["count"] for r in out.groupBy("Fraud").count().collect()}
+    assert counts == {0: 7, 1: 7}
