@@ -56,6 +56,8 @@ def minority_neighbors(df: DataFrame, key: str, x_col: str, label: str = "Fraud"
     m = cell_size or 4 * k
     mino = df.where(F.col(label) == minority).select(F.col(key).cast("string").alias("_k"), F.col(x_col).alias("x"))
     dv = mino.groupBy("x").agg(F.min("_k").alias("rep"), F.count(F.lit(1)).alias("mult"))
+    if dv.limit(2).count() < 2:  # fewer than two distinct vectors: nobody has a neighbour
+        return df.sparkSession.createDataFrame([], f"`{key}` string, neighbor_rank int, neighbor string, d2 double")
     pca = PCA(k=1, inputCol="_v", outputCol="_pc").fit(dv.select(array_to_vector("x").alias("_v")))
     direction = [float(v) for v in pca.pc.toArray()[:, 0]]
     dv = dv.withColumn("p", _dot(F.col("x"), direction))
