@@ -93,18 +93,25 @@ def ordered_cumsum(
             out = out.withColumn(f"{c}_before", F.coalesce(F.sum(c).over(w_one), F.lit(0)))
             out = out.withColumn(f"{c}_upto", F.col(f"{c}_before") + F.col(c))
         return out.drop("_ok")
-    # Without groups a constant key stands in: the cut array is then one broadcast row.
+    # Without groups a constant key stands in for the range totals (at most buckets rows).
     group_cols = user_groups or ["_g"]
     if not user_groups:
         df = df.withColumn("_g", F.lit(0))
     n_cuts = buckets - 1
     pcts = [i / buckets for i in range(1, buckets)]
-    cuts = df.groupBy(*group_cols).agg(F.percentile_approx("_ok", pcts, accuracy).alias("_cuts"))
-    bucketed = (
-        df.join(F.broadcast(cuts), group_cols, "left")
-        .withColumn("_b", bucket_of(F.col("_ok"), F.col("_cuts"), n_cuts))
-        .drop("_cuts")
-    )
+    if user_groups:
+        # one cut array per group (groups x buckets doubles), joined on the group keys
+        cuts = df.groupBy(*group_cols).agg(F.percentile_approx("_ok", pcts, accuracy).alias("_cuts"))
+        bucketed = (
+            df.join(F.broadcast(cuts), group_cols, "left")
+            .withColumn("_b", bucket_of(F.col("_ok"), F.col("_cuts"), n_cuts))
+            .drop("_cuts")
+        )
+    else:
+        # a single cut array (at most MAX_BUCKETS - 1 doubles) becomes a literal
+        found = df.agg(F.percentile_approx("_ok", pcts, accuracy)).first()[0] or []
+        lit_cuts = F.array(*[F.lit(float(c)) for c in found]) if found else F.array().cast("array<double>")
+        bucketed = df.withColumn("_b", bucket_of(F.col("_ok"), lit_cuts, n_cuts))
 
     totals = bucketed.groupBy(*group_cols, "_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
     w_tot = Window.partitionBy(*group_cols).orderBy("_b").rowsBetween(
