@@ -350,3 +350,17 @@ def _report_drift_sql() -> str:
 def h2_report_drift(spark, sf_dir):
     """H2: the report's drift rows (history R vs the look-back window's shared numeric columns)."""
     return _report(spark, sf_dir).drift
+
+
+@register("s5_predictions_table")
+def s5_predictions_table(spark, sf_dir):
+    """S5 + C10: the ensemble scores T into the day-partitioned predictions table; the last
+    365 days before the newest order date are read back (partition-pruned)."""
+    from riskspark.plans import scoring
+
+    tr = trained(spark, sf_dir)
+    path = _scratch(spark, "predictions")
+    t = views.transactions(spark, sf_dir)
+    scoring.write_predictions(tr, t, path)
+    newest = t.agg(F.max("TransactionDate")).first()[0]
+    return scoring.read_predictions(spark, path, newest.strftime("%Y-%m-%d"), 365).drop("ModelScores")

@@ -86,3 +86,20 @@ def test_boosted_search_two_trials(spark, trained):
     space = dict(models.BOOSTED_SPACE, maxIter=("int", 3, 5))
     res = models.search(est, space, d.where("split = 'train'"), d.where("split = 'val'"), score_fn, n_trials=2)
     assert len(res.trials) == 2 and res.best_model is not None
+
+
+def test_predictions_table_partition_pruned(spark, trained):
+    from riskspark.plans import scoring
+    from riskspark.sources import views
+
+    path = tempfile.mkdtemp(prefix="pred-")
+    t = views.transactions(spark, SMALL)
+    scoring.write_predictions(trained, t, path)
+    all_rows = spark.read.parquet(path)
+    assert all_rows.count() == t.count()
+    assert set(scoring.PREDICTION_COLUMNS) <= set(all_rows.columns)
+    recent = scoring.read_predictions(spark, path, "1998-08-02", 30)
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    want = t.where(F.col("TransactionDate") >= F.lit("1998-07-03").cast("timestamp_ntz")).count()
+    assert recent.count() == want
