@@ -34,21 +34,34 @@ def bucket_of(value: Column, cuts: Column, n_cuts: int) -> Column:
     """Number of elements of the sorted array ``cuts`` that are < ``value``.
 
     A binary search written as an ``aggregate`` over log2(n) steps, so the work per
-    row is logarithmic in the number of cut points. Null values land in bucket 0.
+    row is logarithmic in the number of cut points. The (lo, hi) pair is packed into
+    one long (both < 2^20), which keeps the lambda free of per-step struct objects.
+    Null values land in bucket 0.
     """
     depth = max(1, math.ceil(math.log2(n_cuts + 1)) + 1)
-    start = F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi"))
+    mask = F.lit((1 << 20) - 1)
 
     def step(acc, _):
-        lo, hi = acc["lo"], acc["hi"]
+        lo, hi = F.shiftright(acc, 20), acc.bitwiseAND(mask)
         mid = F.shiftright(lo + hi, 1)
-        go_right = F.coalesce(F.get(cuts, mid) < value, F.lit(False))
-        moved = F.when(go_right, F.struct((mid + 1).alias("lo"), hi.alias("hi"))).otherwise(
-            F.struct(lo.alias("lo"), mid.alias("hi"))
-        )
+        go_right = F.coalesce(F.get(cuts, mid.cast("int")) < value, F.lit(False))
+        moved = F.when(go_right, F.shiftleft(mid + 1, 20) + hi).otherwise(F.shiftleft(lo, 20) + mid)
         return F.when(lo < hi, moved).otherwise(acc)
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), start, step, lambda acc: acc["lo"])
+    start = F.size(cuts).cast("long")
+    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), start, step, lambda acc: F.shiftright(acc, 20).cast("int"))
+
+
+def bucketize(df: DataFrame, col: str, cuts: list[float], out: str) -> DataFrame:
+    """Range index of ``col`` against sorted literal cut points with MLlib's
+    ``Bucketizer`` (a compiled binary search); null values go to range 0."""
+    from pyspark.ml.feature import Bucketizer
+
+    splits = [-math.inf] + sorted(set(float(c) for c in cuts)) + [math.inf]
+    b = Bucketizer(splits=splits, inputCol=col, outputCol="_bkt", handleInvalid="keep")
+    return b.transform(df).withColumn(
+        out, F.when(F.col(col).isNull(), F.lit(0)).otherwise(F.col("_bkt").cast("int"))
+    ).drop("_bkt")
 
 
 def ordered_cumsum(
@@ -108,10 +121,9 @@ def ordered_cumsum(
             .drop("_cuts")
         )
     else:
-        # a single cut array (at most MAX_BUCKETS - 1 doubles) becomes a literal
+        # a single cut array (at most MAX_BUCKETS - 1 doubles) is collected and bucketized
         found = df.agg(F.percentile_approx("_ok", pcts, accuracy)).first()[0] or []
-        lit_cuts = F.array(*[F.lit(float(c)) for c in found]) if found else F.array().cast("array<double>")
-        bucketed = df.withColumn("_b", bucket_of(F.col("_ok"), lit_cuts, n_cuts))
+        bucketed = bucketize(df, "_ok", found, "_b")
 
     totals = bucketed.groupBy(*group_cols, "_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
     w_tot = Window.partitionBy(*group_cols).orderBy("_b").rowsBetween(
