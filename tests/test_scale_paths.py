@@ -49,3 +49,13 @@ def test_independent_of_shuffle_partitions(spark, name):
         results.append(sorted(map(tuple, fn(spark, "/root/testdata/sf0.001").collect())))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1] == results[2]
+
+
+@pytest.mark.parametrize("buckets", [3, 16, 256])
+def test_ordered_cumsum_single_cut_array_matches_window(spark, buckets):
+    df = spark.range(0, 2000).select(((F.col("id") * 7919 % 2000) - 1000.5).alias("v"), (F.col("id") % 4).alias("c"))
+    got = ordered_cumsum(df, "v", ["c"], buckets=buckets).select("v", "c_before", "c_upto")
+    w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    want = df.withColumn("c_before", F.coalesce(F.sum("c").over(w), F.lit(0))).select(
+        "v", "c_before", (F.col("c_before") + F.col("c")).alias("c_upto"))
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count()
