@@ -24,6 +24,8 @@ its neighbour and its gap from ``xxhash64(seed, key, j)``.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -44,42 +46,131 @@ def _dot(a: Column, w: list[float]) -> Column:
                        lambda acc, t: acc + t)
 
 
-def _top_k(pairs: DataFrame, k: int) -> DataFrame:
+def _top_k(pairs: DataFrame, k: int, spread: int = 64) -> DataFrame:
+    """k nearest candidates per query point, in two levels: first per (point, hash bucket of
+    the candidate), then per point over at most k x ``spread`` survivors, so no window group
+    holds all candidates of a point with very many of them."""
+    part = F.pmod(F.xxhash64("y"), F.lit(spread))
+    w1 = Window.partitionBy("q", "_part").orderBy("d2", "y")
+    first = pairs.withColumn("_part", part).withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= k)
     w = Window.partitionBy("q").orderBy("d2", "y")
-    return pairs.withColumn("neighbor_rank", F.row_number().over(w)).where(F.col("neighbor_rank") <= k)
+    return first.drop("_part", "_r1").withColumn("neighbor_rank", F.row_number().over(w)).where(
+        F.col("neighbor_rank") <= k)
+
+
+def _candidate_clusters_udf(spark, centers, radii):
+    """pandas UDF: ids of the clusters that can hold a point within distance D of x
+    (triangle inequality: ||x - c|| - r <= D), computed for a whole Arrow batch."""
+    bc = spark.sparkContext.broadcast((np.asarray(centers, dtype=float), np.asarray(radii, dtype=float)))
+
+    @F.pandas_udf("array<int>")
+    def candidates(xs: pd.Series, ds: pd.Series) -> pd.Series:
+        c, r = bc.value
+        if len(xs) == 0:
+            return pd.Series([], dtype=object)
+        X = np.stack(xs.to_numpy())
+        d2 = (X * X).sum(1)[:, None] + (c * c).sum(1)[None, :] - 2.0 * X @ c.T
+        dist = np.sqrt(np.maximum(d2, 0.0))
+        lim = ds.fillna(np.inf).to_numpy()[:, None]
+        # a small relative slack keeps the test conservative under rounding
+        ok = dist - r[None, :] <= lim * (1 + 1e-9) + 1e-12
+        return pd.Series([np.flatnonzero(row).astype("int32").tolist() for row in ok])
+
+    return candidates
+
+
+def _center_distance_udf(spark, centers):
+    """pandas UDF: distance of x to the centre of its own cluster (broadcast centres)."""
+    bc = spark.sparkContext.broadcast(np.asarray(centers, dtype=float))
+
+    @F.pandas_udf("double")
+    def to_center(xs: pd.Series, cl: pd.Series) -> pd.Series:
+        c = bc.value
+        if len(xs) == 0:
+            return pd.Series([], dtype=float)
+        X = np.stack(xs.to_numpy())
+        return pd.Series(np.sqrt(((X - c[cl.to_numpy().astype(int)]) ** 2).sum(1)))
+
+    return to_center
 
 
 def minority_neighbors(df: DataFrame, key: str, x_col: str, label: str = "Fraud", minority: int = 1,
-                       k: int = DEFAULT_K, cell_size: int | None = None) -> DataFrame:
+                       k: int = DEFAULT_K, cell_size: int | None = None, cluster_size: int = 256,
+                       max_clusters: int = 4096, seed: int = 42) -> DataFrame:
     """(key, neighbor_rank, neighbor, d2) for every distinct minority vector; ``x_col`` is
-    an array<double> column. Ties in distance go to the smaller neighbour key."""
+    an array<double> column. Ties in distance go to the smaller neighbour key.
+
+    Vectors are grouped by MLlib k-means (about ``cluster_size`` per cluster, at most
+    ``max_clusters`` clusters: the centres are broadcast). Pass 1 compares each point with
+    the points of its own and the two adjacent projection-rank cells inside its cluster
+    (at most 3 x cell_size candidates) and takes the k-th distance D as an upper bound.
+    A point is settled when no other cluster can hold a point within D
+    (||x - c|| - radius > D) and its projection band [p - D, p + D] lies strictly inside
+    the candidates' projection range. Other points are compared, in pass 2, with every
+    point of every cluster that can hold a neighbour and whose projection lies in the band.
+    """
+    from pyspark.ml.clustering import KMeans
+
     m = cell_size or 4 * k
+    spark = df.sparkSession
     mino = df.where(F.col(label) == minority).select(F.col(key).cast("string").alias("_k"), F.col(x_col).alias("x"))
     dv = mino.groupBy("x").agg(F.min("_k").alias("rep"), F.count(F.lit(1)).alias("mult"))
-    if dv.limit(2).count() < 2:  # fewer than two distinct vectors: nobody has a neighbour
-        return df.sparkSession.createDataFrame([], f"`{key}` string, neighbor_rank int, neighbor string, d2 double")
-    pca = PCA(k=1, inputCol="_v", outputCol="_pc").fit(dv.select(array_to_vector("x").alias("_v")))
+    dv = dv.checkpoint(eager=True)
+    n = dv.count()
+    if n < 2:  # fewer than two distinct vectors: nobody has a neighbour
+        return spark.createDataFrame([], f"`{key}` string, neighbor_rank int, neighbor string, d2 double")
+    vec = dv.select("rep", "x", array_to_vector("x").alias("_v"))
+    pca = PCA(k=1, inputCol="_v", outputCol="_pc").fit(vec)
     direction = [float(v) for v in pca.pc.toArray()[:, 0]]
-    dv = dv.withColumn("p", _dot(F.col("x"), direction))
-
-    # rank by projection: prefix sums over distinct projections, row order inside ties
-    per_p = dv.groupBy("p").agg(F.count(F.lit(1)).alias("c"))
-    starts = ordered_cumsum(per_p, "p", ["c"]).select("p", "c_before")
-    ranked = dv.join(starts, "p").withColumn(
-        "rank", F.col("c_before") + F.row_number().over(Window.partitionBy("p").orderBy("rep")) - 1
+    n_clusters = max(1, min(max_clusters, -(-n // cluster_size)))
+    if n_clusters > 1:
+        km = KMeans(k=n_clusters, seed=seed, maxIter=10, featuresCol="_v", predictionCol="cluster").fit(vec)
+        centers = [list(map(float, c)) for c in km.clusterCenters()]
+        assigned = km.transform(vec)
+    else:
+        dim = len(direction)
+        sums = dv.select(F.posexplode("x").alias("i", "v")).groupBy("i").agg(F.avg("v").alias("v")).collect()
+        center = [0.0] * dim
+        for r in sums:
+            center[r["i"]] = float(r["v"])
+        centers = [center]
+        assigned = vec.withColumn("cluster", F.lit(0))
+    to_center = _center_distance_udf(spark, centers)
+    pts = assigned.select(
+        "rep", "x", F.col("cluster").cast("int").alias("cluster"), _dot(F.col("x"), direction).alias("p"),
+    ).withColumn("_r", to_center(F.col("x"), F.col("cluster")))
+    radii_rows = pts.groupBy("cluster").agg(F.max("_r").alias("r")).collect()
+    radii = [0.0] * len(centers)
+    for row in radii_rows:
+        radii[row["cluster"]] = float(row["r"])
+    pts = pts.drop("_r")
+
+    # rank by projection inside each cluster: prefix sums over distinct (cluster, p)
+    per_p = pts.groupBy("cluster", "p").agg(F.count(F.lit(1)).alias("c"))
+    starts = ordered_cumsum(per_p, "p", ["c"], ["cluster"]).select("cluster", "p", "c_before")
+    ranked = pts.join(starts, ["cluster", "p"]).withColumn(
+        "rank", F.col("c_before") + F.row_number().over(Window.partitionBy("cluster", "p").orderBy("rep")) - 1
     ).withColumn("cell", F.floor(F.col("rank") / F.lit(m))).drop("c_before", "rank")
     ranked = ranked.checkpoint(eager=True)
 
-    q = ranked.select(F.col("rep").alias("q"), F.col("x").alias("qx"), F.col("p").alias("qp"), F.col("cell").alias("qcell"))
-    cand = ranked.select(F.col("rep").alias("y"), F.col("x").alias("yx"), F.col("p").alias("yp"),
+    q = ranked.select(F.col("rep").alias("q"), F.col("x").alias("qx"), F.col("p").alias("qp"),
+                      "cluster", F.col("cell").alias("qcell"))
+    cand = ranked.select(F.col("rep").alias("y"), F.col("x").alias("yx"), F.col("p").alias("yp"), "cluster",
                          F.explode(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1)).alias("qcell"))
-    pairs1 = q.join(cand, "qcell").where(F.col("q") != F.col("y")).withColumn("d2", squared_distance(F.col("qx"), F.col("yx")))
+    pairs1 = q.join(cand, ["cluster", "qcell"]).where(F.col("q") != F.col("y")).withColumn(
+        "d2", squared_distance(F.col("qx"), F.col("yx")))
     top1 = _top_k(pairs1, k)
-    span = pairs1.groupBy("q").agg(F.min("yp").alias("lo"), F.max("yp").alias("hi"), F.count(F.lit(1)).alias("n_cand"))
+    span = pairs1.groupBy("q").agg(F.min("yp").alias("lo"), F.max("yp").alias("hi"))
     kth = top1.where(F.col("neighbor_rank") == k).select("q", F.sqrt("d2").alias("D"))
-    bounds = q.select("q", "qp").join(span, "q", "left").join(kth, "q", "left")
-    resolved_flag = F.coalesce((F.col("qp") - F.col("D") > F.col("lo")) & (F.col("qp") + F.col("D") < F.col("hi")), F.lit(False))
-    bounds = bounds.withColumn("resolved", resolved_flag).checkpoint(eager=True)
+    cands = _candidate_clusters_udf(spark, centers, radii)
+    bounds = (
+        q.select("q", "qx", "qp", "cluster").join(span, "q", "left").join(kth, "q", "left")
+        .withColumn("clusters", cands(F.col("qx"), F.col("D")))
+    )
+    inside = (F.col("qp") - F.col("D") > F.col("lo")) & (F.col("qp") + F.col("D") < F.col("hi"))
+    only_own = (F.size("clusters") == 1) & (F.element_at("clusters", 1) == F.col("cluster"))
+    bounds = bounds.withColumn("resolved", F.coalesce(inside & only_own, F.lit(False))).drop("qx")
+    bounds = bounds.checkpoint(eager=True)
 
     exact1 = top1.join(bounds.where("resolved").select("q"), "q")
     todo = bounds.where(~F.col("resolved"))
@@ -88,13 +179,16 @@ def minority_neighbors(df: DataFrame, key: str, x_col: str, label: str = "Fraud"
     todo = todo.withColumn("D", F.coalesce(F.col("D"), full + F.lit(1.0)))
     width = todo.agg(F.percentile_approx(F.lit(2.0) * F.col("D"), 0.5)).scalar()
     width = F.greatest(width, F.lit(1e-12))
-    qcells = todo.join(q.select("q", "qx"), "q").withColumn(
-        "g", F.explode(F.sequence(F.floor((F.col("qp") - F.col("D")) / width), F.floor((F.col("qp") + F.col("D")) / width)))
+    qcells = (
+        todo.join(q.select("q", "qx"), "q")
+        .select("q", "qx", "qp", "D", F.explode("clusters").alias("cluster"))
+        .withColumn("g", F.explode(F.sequence(F.floor((F.col("qp") - F.col("D")) / width),
+                                              F.floor((F.col("qp") + F.col("D")) / width))))
     )
-    ycells = ranked.select(F.col("rep").alias("y"), F.col("x").alias("yx"), F.col("p").alias("yp"),
+    ycells = ranked.select(F.col("rep").alias("y"), F.col("x").alias("yx"), F.col("p").alias("yp"), "cluster",
                            F.floor(F.col("p") / width).alias("g"))
     pairs2 = (
-        qcells.join(ycells, "g")
+        qcells.join(ycells, ["cluster", "g"])
         .where((F.col("q") != F.col("y")) & (F.abs(F.col("yp") - F.col("qp")) <= F.col("D")))
         .withColumn("d2", squared_distance(F.col("qx"), F.col("yx")))
     )
