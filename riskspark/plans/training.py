@@ -41,8 +41,10 @@ class Trained:
     threshold: float = fusion.DEFAULT_THRESHOLD
 
 
-def prepare(df: DataFrame, label: str = "Fraud", key: str = "TransactionID", seed: int = 42) -> Prepared:
-    """C1-C4, P1, P7, F1-F11 and X1-X7 fitted on the training split."""
+def prepare(df: DataFrame, label: str = "Fraud", key: str = "TransactionID", seed: int = 42,
+            oversample: bool = False) -> Prepared:
+    """C1-C4, P1, P7, F1-F11 and X1-X7 fitted on the training split; with ``oversample``
+    the training rows are brought to class parity by P4 before the weights (P6)."""
     cleaned = clean.validate_labels(clean.clean_data(df, label), label)
     # the split feeds several fits: cut the lineage once into the shared checkpoint folder
     splitted = split.stratified_split(cleaned, label, key, seed).checkpoint(eager=True)
@@ -54,6 +56,13 @@ def prepare(df: DataFrame, label: str = "Fraud", key: str = "TransactionID", see
     numeric, categorical = clean.column_kinds(clean.drop_id_by_rule(feat.drop(*drop)))
     pre = transformers.Preprocessor(numeric, categorical).fit(feat.where(F.col("split") == "train"))
     assembled = pre.assemble(feat, keep=[key, label, "split"])
+    if oversample:
+        from riskspark.operators.balance import oversample as smote
+
+        train_rows = smote(assembled.where(F.col("split") == "train"), key, "features", label, seed=seed)
+        train_rows = train_rows.withColumn("split", F.lit("train"))  # synthetic rows belong to train
+        rest = assembled.where(F.col("split") != "train").withColumn("synthetic", F.lit(False))
+        assembled = train_rows.unionByName(rest)
     weighted = split.with_weights(assembled, label).withColumn("is_val", F.col("split") == "val")
     # every fit, search trial and evaluation reads this table: cut its lineage once
     return Prepared(weighted.checkpoint(eager=True), fm, pre, key, label)
@@ -139,8 +148,8 @@ def save(tr: Trained, spark: SparkSession, base: str, version: str) -> str:
     return path
 
 
-def run_training(df: DataFrame, optimize: bool = False, n_trees: int = 100) -> Trained:
+def run_training(df: DataFrame, optimize: bool = False, n_trees: int = 100, oversample: bool = False) -> Trained:
     """M5: prepare, fit all models, build the ensemble."""
-    prep = prepare(df)
+    prep = prepare(df, oversample=oversample)
     tr = fit_models(prep, n_trees=n_trees)
     return build_ensemble(tr, optimize=optimize)

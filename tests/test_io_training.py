@@ -103,3 +103,13 @@ def test_predictions_table_partition_pruned(spark, trained):
     assert "PartitionFilters: [isnotnull(day" in plan
     want = t.where(F.col("TransactionDate") >= F.lit("1998-07-03").cast("timestamp_ntz")).count()
     assert recent.count() == want
+
+
+def test_prepare_with_oversampling_balances_train_only(spark):
+    from riskspark.plans import training
+    from riskspark.sources import views
+
+    prep = training.prepare(views.transactions(spark, SMALL), oversample=True)
+    counts = {(r["split"], r["Fraud"]): r["count"] for r in prep.data.groupBy("split", "Fraud").count().collect()}
+    assert counts[("train", 0)] == counts[("train", 1)]
+    assert counts[("test", 0)] != counts[("test", 1)]
