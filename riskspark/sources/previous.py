@@ -5,8 +5,9 @@ window task; a key holding a third of all rows would sink that task. Here keys w
 row count exceeds ``max(rows_per_slice, n / max_hot_keys)`` are cut into time slices
 of about ``rows_per_slice`` rows each. The window runs per (key, slice); the first row
 of a slice takes the last value of the key's previous slice from a small boundary
-table. At most ``max_hot_keys`` keys can pass the threshold, so the hot-key table
-and the boundary table have proven size bounds and are broadcast.
+table. At most ``max_hot_keys`` keys can pass the threshold, so the hot-key table has a
+fixed size bound and is broadcast; the boundary table (about n / rows_per_slice rows) is
+joined on the window's own partitioning keys.
 The result equals the plain window exactly.
 """
 
@@ -58,7 +59,9 @@ def previous_in_order(
         .withColumn("_has_prev", F.lag(F.lit(True)).over(Window.partitionBy(key).orderBy("_slice")))
         .select(key, "_slice", "_prev_last", "_has_prev")
     )
-    joined = rows.join(F.broadcast(boundary), [key, "_slice"], "left")
+    # the boundary table grows with n / rows_per_slice: joined on the window's own keys
+    # (no reshuffle of the rows; AQE broadcasts it when it is small)
+    joined = rows.join(boundary, [key, "_slice"], "left")
     if first_flag:
         joined = joined.withColumn(
             first_flag, (F.col("_rn") == 1) & F.col("_has_prev").isNull()
