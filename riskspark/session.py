@@ -61,3 +61,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 256 * 1024 * 1024, checkpoint_dir: str | None = None) -> dict:
+    """Settings for a cluster run sized to the input.
+
+    Shuffle partitions: enough that one partition of the largest shuffle (about the input
+    size after column pruning; we assume the full input as an upper bound) stays near
+    ``target_partition_bytes``, and at least twice the total cores; AQE then coalesces
+    small ones and splits skewed ones. File splits of the same size keep scan tasks
+    in line with shuffle tasks.
+    """
+    cores = max(1, executors * cores_per_executor)
+    partitions = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    conf = dict(DEFAULT_CONF)
+    conf.update(
+        {
+            "spark.sql.shuffle.partitions": str(partitions),
+            "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+            "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+            "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+        }
+    )
+    if checkpoint_dir:
+        conf["spark.checkpoint.dir"] = checkpoint_dir
+    return conf
