@@ -75,3 +75,33 @@ def test_state_carries_previous_time_across_batches(spark):
     cols = ["event_id", "_prev_ts"]
     assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0
     assert got.count() == want.count()
+
+
+def test_rolling_kpis_drop_rows_behind_watermark(spark):
+    import datetime as dt
+    import tempfile
+
+    from riskspark.streaming import scoring
+
+    land = tempfile.mkdtemp(prefix="late-")
+    schema = "TransactionID string, FraudPrediction int, FraudScore double, TransactionAmount double, Timestamp timestamp_ntz"
+
+    def at(h, m):
+        return dt.datetime(2024, 1, 1, h, m)
+
+    first = [(f"a{i}", 0, 0.1, 1.0, at(10, 5 * i)) for i in range(7)]       # 10:00 .. 10:30
+    second = [("b1", 1, 0.9, 2.0, at(10, 40))]                              # watermark -> 10:20, then 10:30
+    third = [("late", 1, 0.9, 5.0, at(9, 0)), ("c1", 0, 0.2, 1.0, at(10, 45))]
+    import time
+
+    for rows in (first, second, third):  # the file source takes new files in modification-time order
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(land)
+        time.sleep(1.2)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(land)
+    out = tempfile.mkdtemp(prefix="late-out-")
+    scoring.run_to_table(scoring.rolling_kpis(stream), f"{out}/data", f"{out}/ck")
+    rows = spark.read.parquet(f"{out}/data").collect()
+    starts = {r["window_start"].replace(tzinfo=None) for r in rows}
+    assert at(9, 0) not in starts                  # the 09:00 row arrived behind the watermark
+    assert at(10, 0) in starts and at(10, 25) in starts
+    assert len(starts) == len(rows)                # append mode: each window once
