@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from riskspark.functions.nulls import clean_double
 from riskspark.session import ensure_checkpoint_dir
 
-DEFAULT_BUCKETS = 1024
 ROWS_PER_BUCKET = 2_000_000  # rows one window task may hold
 MAX_BUCKETS = 4096
 

@@ -8,7 +8,9 @@ of a slice takes the last value of the key's previous slice from a small boundar
 table. At most ``max_hot_keys`` keys can pass the threshold, so the hot-key table has a
 fixed size bound and is broadcast; the boundary table (about n / rows_per_slice rows) is
 joined on the window's own partitioning keys.
-The result equals the plain window exactly.
+The result equals the plain window exactly. Slices have equal time width, so their row
+counts follow the key's time profile; rows sharing one timestamp always share a slice
+(a burst of millions of rows at one microsecond for one key would stay in one task).
 """
 
 from __future__ import annotations
