@@ -8,9 +8,11 @@ of a slice takes the last value of the key's previous slice from a small boundar
 table. At most ``max_hot_keys`` keys can pass the threshold, so the hot-key table has a
 fixed size bound and is broadcast; the boundary table (about n / rows_per_slice rows) is
 joined on the window's own partitioning keys.
-The result equals the plain window exactly. Slices have equal time width, so their row
-counts follow the key's time profile; rows sharing one timestamp always share a slice
-(a burst of millions of rows at one microsecond for one key would stay in one task).
+The result equals the plain window exactly. First-level slices have equal time width; a
+slice that still holds more than ``rows_per_slice`` rows (a burst) is cut again at
+approximate quantiles of its own timestamps, up to ``levels`` levels (16x finer each).
+Rows sharing one timestamp always share a slice (a burst of millions of rows at one
+microsecond for one key would stay in one task).
 """
 
 from __future__ import annotations
@@ -19,6 +21,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.functions.time import epoch_micros
+from riskspark.operators.cumulative import bucket_of
+
+
+def _width(cnt, lo, hi, rows_per_slice):
+    return (hi - lo) / F.ceil(cnt / F.lit(rows_per_slice)) + F.lit(1.0)
 
 
 def previous_in_order(
@@ -31,8 +38,12 @@ def previous_in_order(
     rows_per_slice: int = 2_000_000,
     max_hot_keys: int = 100_000,
     first_flag: str | None = None,
+    levels: int = 3,
+    refine: int = 16,
 ) -> DataFrame:
-    """``first_flag`` (optional) names a boolean column marking each key's first row."""
+    """``first_flag`` (optional) names a boolean column marking each key's first row.
+    ``levels``: a slice still holding more than ``rows_per_slice`` rows (a burst) is cut
+    again at ``refine`` approximate time quantiles of its own rows, up to this many levels."""
     value = value or ts
     micros = epoch_micros(F.col(ts))
     stats = df.groupBy(key).agg(
@@ -41,34 +52,46 @@ def previous_in_order(
     n_total = stats.agg(F.sum("_cnt")).scalar()
     threshold = F.greatest(F.lit(rows_per_slice).cast("double"), n_total / F.lit(float(max_hot_keys)))
     hot = stats.where(F.col("_cnt") > threshold).select(
-        key,
-        "_lo",
-        ((F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_cnt") / F.lit(rows_per_slice)) + F.lit(1.0)).alias("_width"),
-    )
-    sliced = df.join(F.broadcast(hot), key, "left").withColumn(
-        "_slice",
-        F.when(F.col("_width").isNull(), F.lit(0)).otherwise(
-            F.coalesce(F.floor((micros - F.col("_lo")) / F.col("_width")), F.lit(-1))
-        ),
+        key, "_lo", _width(F.col("_cnt"), F.col("_lo"), F.col("_hi"), rows_per_slice).alias("_width"),
     )
-    w = Window.partitionBy(key, "_slice").orderBy(F.col(ts).asc_nulls_first(), F.col(tiebreak).asc_nulls_first())
+    sliced = df.join(F.broadcast(hot), key, "left").withColumn("_hot", F.col("_width").isNotNull()).withColumn(
+        "_s1",
+        F.when(~F.col("_hot"), F.lit(0)).otherwise(F.coalesce(F.floor((micros - F.col("_lo")) / F.col("_width")), F.lit(-1))),
+    ).drop("_lo", "_width")
+    slices = ["_s1"]
+    pcts = [i / refine for i in range(1, refine)]
+    for level in range(2, levels + 1):
+        # hot-key slices still holding too many rows (a burst) are cut at their own time
+        # quantiles; at most n / rows_per_slice such slices, refine - 1 cut points each
+        over = (
+            sliced.where("_hot").groupBy(key, *slices)
+            .agg(F.count(F.lit(1)).alias("_c"), F.percentile_approx(micros, pcts, 10000).alias("_cuts"))
+            .where(F.col("_c") > F.lit(rows_per_slice))
+            .select(key, *slices, "_cuts")
+        )
+        name = f"_s{level}"
+        sliced = sliced.join(F.broadcast(over), [key, *slices], "left").withColumn(
+            name,
+            F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(bucket_of(micros.cast("double"), F.col("_cuts"), refine - 1)),
+        ).drop("_cuts")
+        slices.append(name)
+    w = Window.partitionBy(key, *slices).orderBy(F.col(ts).asc_nulls_first(), F.col(tiebreak).asc_nulls_first())
     rows = sliced.withColumn("_lag", F.lag(value).over(w)).withColumn("_rn", F.row_number().over(w))
+    order = Window.partitionBy(key).orderBy(*slices)
     boundary = (
-        sliced.where(F.col("_width").isNotNull())
-        .groupBy(key, "_slice")
+        sliced.where("_hot")
+        .groupBy(key, *slices)
         .agg(F.max_by(value, F.struct(F.col(ts), F.col(tiebreak))).alias("_last"))
-        .withColumn("_prev_last", F.lag("_last").over(Window.partitionBy(key).orderBy("_slice")))
-        .withColumn("_has_prev", F.lag(F.lit(True)).over(Window.partitionBy(key).orderBy("_slice")))
-        .select(key, "_slice", "_prev_last", "_has_prev")
+        .withColumn("_prev_last", F.lag("_last").over(order))
+        .withColumn("_has_prev", F.lag(F.lit(True)).over(order))
+        .select(key, *slices, "_prev_last", "_has_prev")
     )
     # the boundary table grows with n / rows_per_slice: joined on the window's own keys
     # (no reshuffle of the rows; AQE broadcasts it when it is small)
-    joined = rows.join(boundary, [key, "_slice"], "left")
+    joined = rows.join(boundary, [key, *slices], "left")
     if first_flag:
-        joined = joined.withColumn(
-            first_flag, (F.col("_rn") == 1) & F.col("_has_prev").isNull()
-        )
+        joined = joined.withColumn(first_flag, (F.col("_rn") == 1) & F.col("_has_prev").isNull())
     return (
         joined.withColumn(out, F.when(F.col("_rn") == 1, F.col("_prev_last")).otherwise(F.col("_lag")))
-        .drop("_lo", "_width", "_slice", "_lag", "_rn", "_prev_last", "_has_prev")
+        .drop("_hot", *slices, "_lag", "_rn", "_prev_last", "_has_prev")
     )

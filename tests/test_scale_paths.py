@@ -59,3 +59,23 @@ def test_ordered_cumsum_single_cut_array_matches_window(spark, buckets):
     want = df.withColumn("c_before", F.coalesce(F.sum("c").over(w), F.lit(0))).select(
         "v", "c_before", (F.col("c_before") + F.col("c")).alias("c_upto"))
     assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+
+
+def test_previous_in_order_splits_a_burst(spark):
+    """A hot key whose rows mostly fall into one short burst: the second level re-slices it."""
+    import datetime as dt
+
+    base = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(3000):
+        if i % 10 == 0:  # spread over a year
+            t = base + dt.timedelta(hours=3 * i)
+        else:            # a burst within one hour
+            t = base + dt.timedelta(days=100, microseconds=1_000_000 * i)
+        rows.append((i, 0, t))
+    rows += [(10_000 + i, 1 + i % 7, base + dt.timedelta(minutes=i)) for i in range(500)]
+    df = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz")
+    got = previous_in_order(df, "user_id", "ts", "event_id", "prev", rows_per_slice=200, max_hot_keys=5)
+    want = df.withColumn("prev", F.lag("ts").over(Window.partitionBy("user_id").orderBy("ts", "event_id")))
+    assert got.select("event_id", "prev").exceptAll(want.select("event_id", "prev")).count() == 0
+    assert got.count() == want.count()
