@@ -32,9 +32,9 @@ b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
 win AS (SELECT DISTINCT item_id, list_slice(w, k, k + least(10, len(w)) - 1) AS g
         FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS k FROM b WHERE len(w) > 0)),
 sizes AS (SELECT DISTINCT len(g) AS n FROM win),
-at AS (SELECT doc_id, n, k, list_slice(w, k, k + n - 1) AS g
+seen AS (SELECT doc_id, n, k, list_slice(w, k, k + n - 1) AS g
        FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, sizes WHERE len(w) >= n)),
-hit AS (SELECT at.doc_id, at.k, at.n, win.item_id FROM at JOIN win USING (g)),
+hit AS (SELECT seen.doc_id, seen.k, seen.n, win.item_id FROM seen JOIN win USING (g)),
 words AS (SELECT doc_id, count(DISTINCT k + j) AS n_hit
           FROM (SELECT doc_id, k, unnest(range(0, n)) AS j FROM hit) GROUP BY doc_id),
 items AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS s
