@@ -12,8 +12,10 @@ never across texts) is removed. Only places that can repeat reach the suffix arr
    directly, all others by scans of the byte buckets, each suffix placing its predecessor. Adjacent
    suffixes with a common prefix of ``length`` bytes are one class; a class that occurs twice or more
    marks its windows.
-3. An anchor with more than ``MAX_CONTEXTS`` contexts is split over batches; classes of its batches
-   then meet by a digest of the window, counted by Spark, so no case is left out.
+3. An anchor with more than ``MAX_CONTEXTS`` contexts is split by content: its windows fall into
+   blocks by their distance from the anchor, all windows of a block share the bytes in its middle,
+   and these bytes become the new key. Equal windows keep equal keys and equal pieces are one again,
+   so nothing is lost; blocks shrink with each round (``grids_of``) down to single windows.
 4. Marked windows go back to all places that share the context and are merged per text.
 
 Texts are known by a 128-bit content hash, so copies of a text share one result, and repeated
@@ -216,86 +218,116 @@ def _ranges(values: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _solve(rows, length):
-    """Marked ranges of the contexts of a batch, and open windows of split anchors.
-
-    Row: (a, c, ctx, n, split). Yields (a, c, lo, hi, d1, d2, total); d1 is null for marked ranges.
-    """
-    from xxhash import xxh64_intdigest as xx
-
-    buf, order, ctx, off, label, total = classes_of([(r[2], r[3]) for r in rows], length)
+    """Marked ranges (a, c, lo, hi) of the contexts (a, c, ctx, n) of a batch."""
+    _, order, ctx, off, label, total = classes_of([(r[2], r[3]) for r in rows], length)
     if not len(order):
         return
     twice = total[label] >= 2
-    split = np.array([r[4] for r in rows], bool)
     by = np.lexsort((off[twice], ctx[twice]))
     c, o = ctx[twice][by], off[twice][by]
     for part in np.split(np.arange(len(c)), np.flatnonzero(np.diff(c)) + 1) if len(c) else ():
         r = rows[c[part[0]]]
         for lo, hi in _ranges(o[part]):
-            yield r[0], r[1], lo, hi, None, None, None
-    if split.any():
-        lead = np.concatenate(([True], label[1:] != label[:-1]))
-        for k in np.flatnonzero(lead & split[ctx]).tolist():
-            w = buf[order[k]:order[k] + length]
-            r = rows[ctx[k]]
-            d = [x - (1 << 64) if x >> 63 else x for x in (xx(w, 1), xx(w, 2))]
-            yield r[0], r[1], int(off[k]), int(off[k]), d[0], d[1], int(total[label[k]])
+            yield r[0], r[1], lo, hi
 
 
 def _sort_contexts(length: int, batch_bytes: int):
-    names = ["a", "c", "lo", "hi", "d1", "d2", "total"]
+    names = ["a", "c", "lo", "hi"]
 
     def flush(rows):
         got = list(_solve(rows, length))
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*got)], names=names) if got else None
+        return [pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*got)], names=names)] if got else []
 
     def run(batches):
         held, size, key = [], 0, None
         for batch in batches:
-            cols = [batch.column(i).to_pylist() for i in range(6)]
-            for a, salt, c, ctx, n, parts in zip(*cols):
-                if (a, salt) != key and size >= batch_bytes:
-                    out = flush(held)
+            for row in zip(*[batch.column(i).to_pylist() for i in range(4)]):
+                if row[0] != key and size >= batch_bytes:
+                    yield from flush(held)
                     held, size = [], 0
-                    if out is not None:
-                        yield out
-                key = (a, salt)
-                held.append((a, c, ctx, n, parts > 1))
-                size += len(ctx)
+                key = row[0]
+                held.append(row)
+                size += len(row[2])
         if held:
-            out = flush(held)
-            if out is not None:
-                yield out
+            yield from flush(held)
 
     return run
 
 
+def _split_contexts(length: int, grid: int):
+    """Pieces of contexts: the windows of one block of ``grid`` distances from the anchor each."""
+    names = ["pa", "pc", "shift", "a", "c", "ctx", "n", "off"]
+
+    def run(batches):
+        from xxhash import xxh64_intdigest as xx
+
+        def signed(x):
+            return x - (1 << 64) if x >> 63 else x
+
+        for batch in batches:
+            out: list[list] = [[] for _ in names]
+            for a, c, ctx, n, off in zip(*[batch.column(i).to_pylist() for i in range(5)]):
+                last = len(ctx) - length  # the last window start
+                for j in range((off - last) // grid if off > last else 0, off // grid + 1):
+                    x, y = max(0, off - (j + 1) * grid + 1), min(last, off - j * grid)
+                    core = ctx[off - j * grid:off - (j + 1) * grid + 1 + length]
+                    piece = ctx[x:y + length]
+                    row = (a, c, x, signed(xx(a.to_bytes(8, "little", signed=True) + core, j)), signed(xx(piece, off - x)), piece, n, off - x)
+                    for v, z in zip(out, row):
+                        v.append(z)
+            kinds = [pa.int64()] * 5 + [pa.binary(), pa.int64(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)], names=names)
+
+    return run
+
+
+def grids_of(length: int) -> tuple[int, ...]:
+    """Block sizes of the splitting rounds, down to single windows."""
+    return tuple(sorted({max(1, length // 8), max(1, length // 64), 1}, reverse=True))
+
+
+def _one_each(pieces: DataFrame, n) -> DataFrame:
+    return pieces.groupBy("a", "c").agg(F.first("ctx").alias("ctx"), n.alias("n"), F.first("off").alias("off"))
+
+
+def repeated_windows(contexts: DataFrame, length: int = LENGTH, max_contexts: int = MAX_CONTEXTS,
+                     batch_bytes: int = BATCH_BYTES, grids: tuple[int, ...] | None = None) -> DataFrame:
+    """(a, c, lo, hi): ranges of window starts that repeat, for contexts (a, c, ctx, n, off)."""
+    grids = grids_of(length) if grids is None else grids
+    cur = table(contexts, "contexts-0")
+    hot = cur.groupBy("a").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > max_contexts).select("a") if grids else None
+    split = None
+    if grids and hot.limit(1).count():
+        split = cur.join(hot, "a", "left_semi").select("a", "c", "ctx", "n", "off")
+        cur = cur.join(hot, "a", "left_anti")
+    told = table(cur.select("a", "c", "ctx", "n").repartition("a").sortWithinPartitions("a", "c").mapInArrow(
+        _sort_contexts(length, batch_bytes), "a long, c long, lo long, hi long"), "classes")
+    if split is None:
+        return told
+    pieces = table(split.mapInArrow(_split_contexts(length, grids[0]),
+                                    "pa long, pc long, shift long, a long, c long, ctx binary, n long, off int"), "pieces")
+    inner = repeated_windows(_one_each(pieces, F.sum("n")), length, max_contexts, batch_bytes, grids[1:])
+    back = pieces.select("pa", "pc", "shift", "a", "c").join(inner, ["a", "c"]).select(
+        F.col("pa").alias("a"), F.col("pc").alias("c"), (F.col("lo") + F.col("shift")).alias("lo"), (F.col("hi") + F.col("shift")).alias("hi"))
+    return told.unionByName(back)
+
+
 def marked_windows(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM,
                    max_contexts: int = MAX_CONTEXTS, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """(t1, t2, spans): per text, the byte ranges [start, end) of its repeated strings, merged."""
     found = table(anchors(docs, text, length, gram), "anchors")
     twice = found.groupBy("a").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("a")
     shared = table(found.join(twice, "a", "left_semi"), "shared-anchors")
-    ctx = shared.groupBy("a", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("t1", "t2", "lo", "hi")).alias("rep"))
+    ctx = shared.groupBy("a", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("t1", "t2", "lo", "hi", "off")).alias("rep"))
     ctx = table(ctx, "contexts")
-    spread = ctx.groupBy("a").agg(F.count(F.lit(1)).alias("n_ctx"))
-    wanted = ctx.join(spread, "a").select(
-        "a", "c", "n", F.col("rep.t1").alias("t1"), F.col("rep.t2").alias("t2"), F.col("rep.lo").alias("lo"), F.col("rep.hi").alias("hi"),
-        F.ceil(F.col("n_ctx") / F.lit(float(max_contexts))).cast("int").alias("parts"))
-    per_text = wanted.groupBy("t1", "t2").agg(F.collect_list(F.struct("a", "c", "n", "lo", "hi", "parts")).alias("want"))
+    wanted = ctx.select("a", "c", "n", *[F.col(f"rep.{x}").alias(x) for x in ("t1", "t2", "lo", "hi", "off")])
+    per_text = wanted.groupBy("t1", "t2").agg(F.collect_list(F.struct("a", "c", "n", "lo", "hi", "off")).alias("want"))
     texts = docs.select(*text_key(text), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary").alias("text")) \
         .where(F.octet_length("text") >= length)
-    # copies of a text send the same contexts; one of each is kept
     cut = texts.join(per_text, ["t1", "t2"]).select(F.explode("want").alias("w"), "text").select(
-        "w.a", F.pmod("w.c", "w.parts").cast("int").alias("salt"), "w.c",
-        F.expr("substring(text, cast(w.lo + 1 as int), cast(w.hi - w.lo + %d as int))" % length).alias("ctx"), "w.n", "w.parts")
-    one = cut.groupBy("a", "salt", "c").agg(F.first("ctx").alias("ctx"), F.first("n").alias("n"), F.first("parts").alias("parts"))
-    told = table(one.repartition("a", "salt").sortWithinPartitions("a", "salt", "c").mapInArrow(
-        _sort_contexts(length, batch_bytes), "a long, c long, lo long, hi long, d1 long, d2 long, total long"), "classes")
-    open_ = told.where("d1 is not null")
-    met = open_.groupBy("a", "d1", "d2").agg(F.sum("total").alias("all")).where("all > 1")
-    late = open_.join(met, ["a", "d1", "d2"], "left_semi").select("a", "c", "lo", "hi")
-    marks = told.where("d1 is null").select("a", "c", "lo", "hi").unionByName(late)
+        "w.a", "w.c", F.expr("substring(text, cast(w.lo + 1 as int), cast(w.hi - w.lo + %d as int))" % length).alias("ctx"), "w.n", "w.off")
+    # copies of a text send the same contexts; one of each is kept
+    marks = repeated_windows(_one_each(cut, F.first("n")), length, max_contexts, batch_bytes)
     marks = marks.groupBy("a", "c").agg(F.collect_list(F.struct("lo", "hi")).alias("m"))
     places = shared.select("t1", "t2", "a", "c", F.col("lo").alias("at")).distinct().join(marks, ["a", "c"])
     return places.select("t1", "t2", F.explode(F.transform("m", lambda m: F.struct(
