@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import decontamination, licenses, mixing, pii, quality, sharding, simhash, suffix_dedup, toxicity
+from riskspark.llm import decontamination, licenses, line_dedup, mixing, pii, quality, sharding, simhash, suffix_dedup, toxicity
 from riskspark.llm.common import documents
 
 QUERIES = {}
@@ -21,6 +21,15 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_line_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.each_row(line_dedup.removed_lines(documents(spark, sf_dir)))
+    spans = F.transform("runs", lambda r: F.concat_ws("-", r["lo"].cast("string"), r["hi"].cast("string")))
+    return found.select(F.col("id").alias("doc_id"), "n_lines",
+                        F.aggregate("runs", F.lit(0).cast("long"), lambda a, r: a + r["n"]).alias("n_removed"),
+                        F.size("runs").cast("long").alias("n_runs"), F.array_join(spans, ",").alias("removed"), "longest_block")
+
+
 # DuckDB: A-Z lower-cased, all else as it is.
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
