@@ -31,6 +31,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskspark.session import ensure_checkpoint_dir
+
 from riskspark.operators.cumulative import ordered_cumsum
 from riskspark.operators.split import rank_by_hash
 
@@ -115,6 +117,7 @@ def minority_neighbors(df: DataFrame, key: str, x_col: str, label: str = "Fraud"
     spark = df.sparkSession
     mino = df.where(F.col(label) == minority).select(F.col(key).cast("string").alias("_k"), F.col(x_col).alias("x"))
     dv = mino.groupBy("x").agg(F.min("_k").alias("rep"), F.count(F.lit(1)).alias("mult"))
+    ensure_checkpoint_dir(spark)
     dv = dv.checkpoint(eager=True)
     n = dv.count()
     if n < 2:  # fewer than two distinct vectors: nobody has a neighbour
@@ -177,18 +180,24 @@ def minority_neighbors(df: DataFrame, key: str, x_col: str, label: str = "Fraud"
     # points with fewer than k candidates search the whole projection range
     full = ranked.agg(F.max("p") - F.min("p")).scalar()
     todo = todo.withColumn("D", F.coalesce(F.col("D"), full + F.lit(1.0)))
-    width = todo.agg(F.percentile_approx(F.lit(2.0) * F.col("D"), 0.5)).scalar()
-    width = F.greatest(width, F.lit(1e-12))
+    # a band of width 2D is searched on a grid of cells at least that wide (a power of two), so a
+    # point meets two or three cells whatever its D is; points join every level in use (at most 42)
+    top_level = F.ceil(F.log2(F.greatest(F.lit(2.0) * (full + F.lit(1.0)), F.lit(1e-9)))).cast("int")
+    level = F.least(top_level, F.greatest(F.coalesce(F.ceil(F.log2(F.lit(2.0) * F.col("D"))).cast("int"), top_level - 41), top_level - 41))
+    todo = todo.withColumn("level", level)
+    levels = sorted(r["level"] for r in todo.select("level").distinct().collect())
+    width = F.pow(F.lit(2.0), F.col("level"))
     qcells = (
         todo.join(q.select("q", "qx"), "q")
-        .select("q", "qx", "qp", "D", F.explode("clusters").alias("cluster"))
+        .select("q", "qx", "qp", "D", "level", F.explode("clusters").alias("cluster"))
         .withColumn("g", F.explode(F.sequence(F.floor((F.col("qp") - F.col("D")) / width),
                                               F.floor((F.col("qp") + F.col("D")) / width))))
     )
     ycells = ranked.select(F.col("rep").alias("y"), F.col("x").alias("yx"), F.col("p").alias("yp"), "cluster",
-                           F.floor(F.col("p") / width).alias("g"))
+                           F.explode(F.array(*[F.lit(v) for v in levels]) if levels else F.expr("cast(array() as array<int>)")).alias("level")) \
+        .withColumn("g", F.floor(F.col("yp") / width))
     pairs2 = (
-        qcells.join(ycells, ["cluster", "g"])
+        qcells.join(ycells, ["cluster", "level", "g"])
         .where((F.col("q") != F.col("y")) & (F.abs(F.col("yp") - F.col("qp")) <= F.col("D")))
         .withColumn("d2", squared_distance(F.col("qx"), F.col("yx")))
     )

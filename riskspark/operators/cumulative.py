@@ -56,7 +56,7 @@ def bucketize(df: DataFrame, col: str, cuts: list[float], out: str) -> DataFrame
     ``Bucketizer`` (a compiled binary search); null values go to range 0."""
     from pyspark.ml.feature import Bucketizer
 
-    splits = [-math.inf] + sorted(set(float(c) for c in cuts)) + [math.inf]
+    splits = [-math.inf] + sorted({float(c) for c in cuts if math.isfinite(c)}) + [math.inf]
     b = Bucketizer(splits=splits, inputCol=col, outputCol="_bkt", handleInvalid="keep")
     return b.transform(df).withColumn(
         out, F.when(F.col(col).isNull(), F.lit(0)).otherwise(F.col("_bkt").cast("int"))

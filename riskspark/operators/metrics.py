@@ -95,13 +95,13 @@ def auc_from_counts(by_score: DataFrame, score: str = "_s", group_cols: Sequence
     group_cols = list(group_cols)
     cum = ordered_cumsum(by_score, score, ["_neg"], group_cols, buckets=buckets, materialize=materialize)
     agg = cum.groupBy(*group_cols).agg(
-        F.sum(F.col("_pos") * (F.col("_neg_before") + F.col("_neg") / F.lit(2.0))).alias("_num"),
+        F.sum(F.col("_pos").cast("double") * (F.col("_neg_before").cast("double") + F.col("_neg") / F.lit(2.0))).alias("_num"),
         F.sum("_pos").alias("_p"),
         F.sum("_neg").alias("_n"),
     )
     return agg.select(
         *group_cols,
-        F.when((F.col("_p") > 0) & (F.col("_n") > 0), F.col("_num") / (F.col("_p") * F.col("_n"))).alias("roc_auc"),
+        F.when((F.col("_p") > 0) & (F.col("_n") > 0), F.col("_num") / (F.col("_p").cast("double") * F.col("_n").cast("double"))).alias("roc_auc"),
     )
 
 

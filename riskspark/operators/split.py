@@ -12,7 +12,6 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,19 +25,17 @@ def hash_key(key: str, seed: int) -> Column:
 def approximate_mode(class_counts: Sequence[int], n_draws: int) -> list[int]:
     """Per-class draws summing to ``n_draws``: floor of the proportional share, the rest
     by largest remainder; ties go to the lower class index (deterministic)."""
-    counts = np.asarray(class_counts, dtype=np.int64)
-    total = counts.sum()
+    counts = [int(c) for c in class_counts]
+    total = sum(counts)
     if total == 0:
         return [0] * len(counts)
-    continuous = counts * n_draws / total
-    floored = np.floor(continuous)
-    need = int(n_draws - floored.sum())
-    remainder = continuous - floored
-    order = sorted(range(len(counts)), key=lambda i: (-remainder[i], i))
-    out = floored.astype(np.int64)
-    for i in order[:need]:
+    # Python integers: products of counts pass 2^63 at a few billion rows
+    shares = [divmod(c * n_draws, total) for c in counts]
+    out = [whole for whole, _ in shares]
+    order = sorted(range(len(counts)), key=lambda i: (-shares[i][1], i))
+    for i in order[:n_draws - sum(out)]:
         out[i] += 1
-    return [int(x) for x in out]
+    return out
 
 
 def allocate(class_counts: Mapping[int, int], test_size: float = 0.3, second_test_size: float = 0.67) -> dict:
@@ -137,9 +134,10 @@ def class_weights(df: DataFrame, label: str = "Fraud") -> DataFrame:
     )
 
 
-def with_weights(df: DataFrame, label: str = "Fraud", out: str = "weight") -> DataFrame:
-    """P6 as a ``weightCol`` for MLlib: n / (2 n_c) from one scalar subquery."""
-    w = class_weights(df, label)
+def with_weights(df: DataFrame, label: str = "Fraud", out: str = "weight", fit_on: Column | None = None) -> DataFrame:
+    """P6 as a ``weightCol`` for MLlib: n / (2 n_c) from one scalar subquery, counted over the
+    rows where ``fit_on`` holds (all rows by default)."""
+    w = class_weights(df if fit_on is None else df.where(fit_on), label)
     wn = w.select("weight_neg").scalar()
     wp = w.select("weight_pos").scalar()
     return df.withColumn(out, F.when(F.col(label) == 1, wp).otherwise(wn))

@@ -117,27 +117,27 @@ def x5_x7_assembled_features(spark, sf_dir):
 
 @register("m1_random_forest")
 def m1_random_forest(spark, sf_dir):
-    """M1 + M6: forest class-1 probability on the test split."""
+    """M1 + M6: forest class-1 probability of all rows."""
     tr = trained(spark, sf_dir)
-    d = tr.forest.transform(tr.prepared.data.where(F.col("split") == "test"))
+    d = tr.forest.transform(tr.prepared.data)
     return models.positive_probability(d, "rf_probability", "rf_score").select(
         "TransactionID", "Fraud", "rf_score", F.col("rf_prediction").cast("int").alias("rf_prediction"))
 
 
 @register("m2_boosted_trees")
 def m2_boosted_trees(spark, sf_dir):
-    """M2 + M6: boosted-trees class-1 probability on the test split."""
+    """M2 + M6: boosted-trees class-1 probability of all rows."""
     tr = trained(spark, sf_dir)
-    d = tr.boosted.transform(tr.prepared.data.where(F.col("split") == "test"))
+    d = tr.boosted.transform(tr.prepared.data)
     return models.positive_probability(d, "xgb_probability", "xgb_score").select(
         "TransactionID", "Fraud", "xgb_score", F.col("xgb_prediction").cast("int").alias("xgb_prediction"))
 
 
 @register("m3_isolation_forest")
 def m3_isolation_forest(spark, sf_dir):
-    """M3: isolation-forest score, decision and anomaly flag on the test split."""
+    """M3: isolation-forest score, decision and anomaly flag of all rows."""
     tr = trained(spark, sf_dir)
-    d = tr.iforest.transform(tr.prepared.data.where(F.col("split") == "test"))
+    d = tr.iforest.transform(tr.prepared.data)
     return d.select("TransactionID", "Fraud", "anomaly_score", "iso_decision", "iso_prediction")
 
 
@@ -182,7 +182,7 @@ def io12_model_roundtrip(spark, sf_dir):
     path = training.save(tr, spark, base, "20240101_000000")
     cfg = io.load_latest_config(spark, f"{base}/ensemble")
     forest = RandomForestClassificationModel.load(f"{cfg['model_path']}/random_forest")
-    d = forest.transform(tr.prepared.data.where(F.col("split") == "test"))
+    d = forest.transform(tr.prepared.data)
     return models.positive_probability(d, "rf_probability", "rf_score").select(
         "TransactionID", "rf_score", F.lit(cfg["threshold"]).alias("threshold"))
 
@@ -354,13 +354,25 @@ def h2_report_drift(spark, sf_dir):
 
 @register("s5_predictions_table")
 def s5_predictions_table(spark, sf_dir):
-    """S5 + C10: the ensemble scores T into the day-partitioned predictions table; the last
-    365 days before the newest order date are read back (partition-pruned)."""
+    """The ensemble scores T into the day-partitioned predictions table, read back whole."""
     from riskspark.plans import scoring
 
     tr = trained(spark, sf_dir)
     path = _scratch(spark, "predictions")
     t = views.transactions(spark, sf_dir)
     scoring.write_predictions(tr, t, path)
-    newest = t.agg(F.max("TransactionDate")).first()[0]
-    return scoring.read_predictions(spark, path, newest.strftime("%Y-%m-%d"), 365).drop("ModelScores")
+    return spark.read.parquet(path).drop("ModelScores")
+
+
+@register("p4_synthetic_rows")
+def p4_synthetic_rows(spark, sf_dir):
+    """The synthetic minority rows themselves, features included."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    from riskspark.operators.balance import oversample
+    from riskspark.plans.catalog import _p4_input
+
+    d = _p4_input(spark, sf_dir).withColumn("features", array_to_vector("x")).drop("x")
+    x = vector_to_array("features")
+    return oversample(d, "TransactionID", "features", "Fraud", 1, 5).where("synthetic").select(
+        "TransactionID", F.col("Fraud").cast("long").alias("Fraud"), x[0].alias("x0"), x[1].alias("x1"))

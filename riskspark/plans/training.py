@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark.operators import clean, features, fusion, metrics, models, split, transformers
+from riskspark.session import ensure_checkpoint_dir
 from riskspark.operators.iforest import IsolationForest, IsolationForestModel
 
 MODEL_NAMES = ("random_forest", "xgboost", "isolation_forest")
@@ -45,6 +46,7 @@ def prepare(df: DataFrame, label: str = "Fraud", key: str = "TransactionID", see
             oversample: bool = False) -> Prepared:
     """C1-C4, P1, P7, F1-F11 and X1-X7 fitted on the training split; with ``oversample``
     the training rows are brought to class parity by P4 before the weights (P6)."""
+    ensure_checkpoint_dir(df.sparkSession)
     cleaned = clean.validate_labels(clean.clean_data(df, label), label)
     # the split feeds several fits: cut the lineage once into the shared checkpoint folder
     splitted = split.stratified_split(cleaned, label, key, seed).checkpoint(eager=True)
@@ -63,7 +65,7 @@ def prepare(df: DataFrame, label: str = "Fraud", key: str = "TransactionID", see
         train_rows = train_rows.withColumn("split", F.lit("train"))  # synthetic rows belong to train
         rest = assembled.where(F.col("split") != "train").withColumn("synthetic", F.lit(False))
         assembled = train_rows.unionByName(rest)
-    weighted = split.with_weights(assembled, label).withColumn("is_val", F.col("split") == "val")
+    weighted = split.with_weights(assembled, label, fit_on=F.col("split") == "train").withColumn("is_val", F.col("split") == "val")
     # every fit, search trial and evaluation reads this table: cut its lineage once
     return Prepared(weighted.checkpoint(eager=True), fm, pre, key, label)
 

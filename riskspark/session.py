@@ -43,8 +43,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the operator sets it to a shared file system; we only fill it in
-    when it is unset (local runs and tests), with a fresh folder under /tmp.
+    On a cluster it names a shared file system and must be set; only local runs and
+    tests get a fresh folder under /tmp when it is unset.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="riskspark-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

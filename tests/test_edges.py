@@ -176,3 +176,42 @@ def test_binned_auc_is_close_and_confusion_exact(spark):
     binned = metrics.performance_metrics(df, score_decimals=2).first()
     assert abs(exact["roc_auc"] - binned["roc_auc"]) < 0.01
     assert exact["true_positives"] == binned["true_positives"]
+
+
+def test_split_sizes_of_billions_of_rows():
+    from riskspark.operators.split import allocate
+
+    got = allocate({0: 9_900_000_000, 1: 100_000_000})
+    assert all(min(v) > 0 for v in got.values())
+    assert [sum(v) for v in got.values()] == [9_900_000_000, 100_000_000]
+    assert abs(got[0][0] - 0.7 * 9_900_000_000) <= 1
+
+
+def test_auc_of_billions_of_rows(spark):
+    from riskspark.operators.metrics import auc_from_counts
+
+    n = 5_000_000_000
+    df = spark.createDataFrame([(0.1, 0, 2 * n), (0.5, n // 2, n), (0.9, n // 2, 0)], "_s double, _pos long, _neg long")
+    assert auc_from_counts(df).first()["roc_auc"] == pytest.approx((0.5 * (2 + 0.5) + 0.5 * 3) / 3)
+
+
+def test_neighbours_with_a_far_outlier(spark):
+    from riskspark.operators.balance import minority_neighbors
+
+    rows = [(f"k{i:03d}", [float(i % 10), float(i // 10)], 1) for i in range(100)] + [("out", [1e6, 1e6], 1)]
+    df = spark.createDataFrame(rows, "id string, x array<double>, Fraud int")
+    got = {}
+    for r in minority_neighbors(df, "id", "x", k=3).collect():
+        got.setdefault(r.id, []).append((r.neighbor_rank, r.neighbor))
+    d2 = lambda a, b: sum((p - q) ** 2 for p, q in zip(a, b))
+    for k, x, _ in rows:
+        want = sorted((d2(x, y), j) for j, y, _ in rows if j != k)[:3]
+        assert [j for _, j in sorted(got[k])] == [j for _, j in want]
+
+
+def test_weights_are_fitted_on_the_rows_named(spark):
+    from riskspark.operators.split import with_weights
+
+    df = spark.createDataFrame([("train", 0), ("train", 0), ("train", 1), ("test", 1), ("test", 1)], "split string, Fraud int")
+    got = {(r.split, r.Fraud): r.weight for r in with_weights(df, fit_on=F.col("split") == "train").collect()}
+    assert got == {("train", 0): 0.75, ("train", 1): 1.5, ("test", 1): 1.5}
