@@ -83,8 +83,9 @@ def links(fps: DataFrame, max_distance: int = MAX_DISTANCE, fp: str = "fp") -> D
     """
     if max_distance % 2:
         raise ValueError("max_distance must be even")
-    # few rows become many: dealt out first, over all tasks
-    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), fp)
+    # few rows become many: dealt out first, over all tasks (by a hash of the key: by the key itself the
+    # exchange would be merged with the aggregate's own, whose few bytes end up in one or two tasks)
+    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64(fp))
     variants = fps.select(
         F.col(fp).alias("f"),
         F.explode(F.transform(F.array(*[F.lit(m).cast("long") for m in ball_masks(max_distance // 2)]),
