@@ -29,8 +29,8 @@ ROWS_PER_BUCKET = 2_000_000  # rows one window task may hold
 MAX_BUCKETS = 4096
 
 
-def bucket_of(value: Column, cuts: Column, n_cuts: int) -> Column:
-    """Number of elements of the sorted array ``cuts`` that are < ``value``.
+def bucket_of(value: Column, cuts: Column, n_cuts: int, field: str | None = None) -> Column:
+    """Number of elements of the sorted array ``cuts`` (or of their ``field``) that are < ``value``.
 
     A binary search written as an ``aggregate`` over log2(n) steps, so the work per
     row is logarithmic in the number of cut points. The (lo, hi) pair is packed into
@@ -43,7 +43,8 @@ def bucket_of(value: Column, cuts: Column, n_cuts: int) -> Column:
     def step(acc, _):
         lo, hi = F.shiftright(acc, 20), acc.bitwiseAND(mask)
         mid = F.shiftright(lo + hi, 1)
-        go_right = F.coalesce(F.get(cuts, mid.cast("int")) < value, F.lit(False))
+        cut = F.get(cuts, mid.cast("int"))
+        go_right = F.coalesce((cut[field] if field else cut) < value, F.lit(False))
         moved = F.when(go_right, F.shiftleft(mid + 1, 20) + hi).otherwise(F.shiftleft(lo, 20) + mid)
         return F.when(lo < hi, moved).otherwise(acc)
 
@@ -175,57 +176,71 @@ def medians(df: DataFrame, cols: Sequence[str], exact: bool = True) -> dict:
     return {c: v for (c, _), v in quantiles(df, cols, [0.5], exact).items()}
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], buckets: int | None = None) -> dict:
+def exact_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], buckets: int | None = None,
+                    accuracy: int = 10000) -> dict:
     """Exact quantiles with linear interpolation (pandas/numpy/Spark ``percentile``).
 
-    Returns ``{(col, q): value or None}``. Nulls and NaN are skipped. The data is
-    unpivoted to (name, v), so all columns share one distributed pass; only the
-    rows holding the wanted ranks (at most 2 x cols x qs) reach the driver.
+    Returns ``{(col, q): value or None}``. Nulls and NaN are skipped. Two scans: the first counts
+    values and brackets every wanted rank with ``percentile_approx`` (rank error n / accuracy, so
+    the bracket of twice that on either side holds the rank); the second counts the values below a
+    bracket, which become one row in map-side combine, and shuffles only the values inside it, about
+    4 / accuracy of all. Columns of fewer than 4 x ``accuracy`` values need no bracket. A bracket
+    that missed its rank would be widened to the whole column. Only the rows holding the wanted
+    ranks (at most 2 x cols x qs) reach the driver.
     """
-    cols = list(cols)
+    cols, qs = list(cols), list(qs)
     if not cols:
         return {}
-    long = df.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("name"), clean_double(c).alias("x")) for c in cols])
-        ).alias("_kv")
-    ).select("_kv.name", "_kv.x")
     ensure_checkpoint_dir(df.sparkSession)
-    vc = value_counts(long, F.col("x"), ["name"]).checkpoint(eager=True)
-    counts = {r["name"]: r["n"] for r in vc.groupBy("name").agg(F.sum("cnt").alias("n")).collect()}
-    wanted = {}
-    for c in cols:
-        n = counts.get(c, 0)
-        if n:
-            for q in qs:
-                lo, hi, _ = _interp_positions(n, q)
-                wanted.setdefault(c, set()).update({lo, hi})
-    if not wanted:
-        return {(c, q): None for c in cols for q in qs}
-    cum = ordered_cumsum(vc, "v", ["cnt"], ["name"], buckets=buckets, materialize=False)
-    cond = None
-    for c, ks in wanted.items():
-        for k in ks:
-            term = (F.col("name") == c) & (F.col("cnt_before") <= k) & (F.col("cnt_upto") > k)
-            cond = term if cond is None else (cond | term)
-    rows = cum.where(cond).select("name", "v", "cnt_before", "cnt_upto").collect()
+    margin = 2.0 / accuracy
+    probes = [p for q in qs for p in (max(0.0, q - margin), min(1.0, q + margin))]
+    row = df.agg(*[x for i, c in enumerate(cols) for x in (
+        F.count(clean_double(c)).alias(f"n{i}"), F.percentile_approx(clean_double(c), probes, accuracy).alias(f"p{i}"))]).first()
+    out, brackets = {}, {}
+    for i, c in enumerate(cols):
+        for j, q in enumerate(qs):
+            n = row[f"n{i}"]
+            if not n:
+                out[(c, q)] = None
+            else:
+                lo, hi = (row[f"p{i}"][2 * j], row[f"p{i}"][2 * j + 1]) if n >= 4 * accuracy else (None, None)
+                brackets[(c, q)] = (n, lo, hi)
+    while brackets:
+        out.update(_ranks_inside(df, brackets, buckets))
+        brackets = {k: (n, None, None) for k, (n, _, _) in brackets.items() if k not in out}
+    return out
 
-    def at(c, k):
-        for r in rows:
-            if r["name"] == c and r["cnt_before"] <= k < r["cnt_upto"]:
-                return r["v"]
-        raise RuntimeError(f"rank {k} of {c} not found")
 
+def _ranks_inside(df: DataFrame, brackets: dict, buckets: int | None) -> dict:
+    """The quantiles of ``brackets`` {(col, q): (n, low, high)} whose ranks lie inside their bracket."""
+    names = {f"{i}": k for i, k in enumerate(brackets)}
+    items = []
+    for name, k in names.items():
+        _, lo, hi = brackets[k]
+        x = clean_double(k[0])
+        v = x if lo is None else F.when(x >= F.lit(lo), x)
+        keep = x.isNotNull() if hi is None else x.isNotNull() & (x <= F.lit(hi))
+        items.append(F.when(keep, F.struct(F.lit(name).alias("name"), v.alias("v"))))
+    # values below a bracket have a null v
+    vc = df.select(F.explode(F.array(*items)).alias("kv")).where(F.col("kv").isNotNull()).select("kv.name", "kv.v") \
+        .groupBy("name", "v").agg(F.count(F.lit(1)).alias("cnt")).checkpoint(eager=True)
+    below = {r["name"]: r["cnt"] for r in vc.where(F.col("v").isNull()).collect()}
+    cum = ordered_cumsum(vc.where(F.col("v").isNotNull()), "v", ["cnt"], ["name"], buckets=buckets, materialize=False)
+    cond = F.lit(False)
+    for name, k in names.items():
+        for r in _interp_positions(brackets[k][0], k[1])[:2]:
+            at = r - below.get(name, 0)
+            cond = cond | ((F.col("name") == name) & (F.col("cnt_before") <= at) & (F.col("cnt_upto") > at))
+    rows = cum.where(cond).select("name", "v", "cnt_before", "cnt_upto").collect()
     out = {}
-    for c in cols:
-        n = counts.get(c, 0)
-        for q in qs:
-            if not n:
-                out[(c, q)] = None
-                continue
-            lo, hi, frac = _interp_positions(n, q)
-            a, b = at(c, lo), at(c, hi)
-            out[(c, q)] = a + (b - a) * frac if hi != lo else a
+    for name, k in names.items():
+        lo, hi, frac = _interp_positions(brackets[k][0], k[1])
+        off = below.get(name, 0)
+        found = [next((r["v"] for r in rows if r["name"] == name and r["cnt_before"] <= rank - off < r["cnt_upto"]), None)
+                 for rank in (lo, hi)]
+        if None not in found:
+            a, b = found
+            out[k] = a + (b - a) * frac if hi != lo else a
     return out
 
 

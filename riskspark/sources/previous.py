@@ -1,18 +1,17 @@
 """Previous value per key in (time, tie-break) order, safe under key skew.
 
 ``lag(x) over (partition by key order by ts, id)`` puts every row of a key into one
-window task; a key holding a third of all rows would sink that task. Here keys whose
-row count exceeds ``max(rows_per_slice, n / max_hot_keys)`` are cut into time slices
-of about ``rows_per_slice`` rows each. The window runs per (key, slice); the first row
-of a slice takes the last value of the key's previous slice from a small boundary
-table. At most ``max_hot_keys`` keys can pass the threshold, so the hot-key table has a
-fixed size bound and is broadcast; the boundary table (about n / rows_per_slice rows) is
-joined on the window's own partitioning keys.
-The result equals the plain window exactly. First-level slices have equal time width; a
-slice that still holds more than ``rows_per_slice`` rows (a burst) is cut again at
-approximate quantiles of its own timestamps, up to ``levels`` levels (16x finer each).
-Rows sharing one timestamp always share a slice (a burst of millions of rows at one
-microsecond for one key would stay in one task).
+window task; a key holding a third of all rows would sink that task. One statistics pass
+draws a hash sample of (key, time, tie-break, value); about ``SAMPLE_PER_SLICE`` sampled rows
+stand for ``rows_per_slice`` rows. Every ``SAMPLE_PER_SLICE``-th sampled row of a key is a cut,
+so a key is cut by row counts, bursts included, and rows of one timestamp are cut by the
+tie-break. The window runs per (key, slice). A cut is itself the last row of its slice, so the
+first row of the next slice takes the cut's value: no boundary table, no third read.
+
+A null key is a key like any other. The cuts only balance work, the result equals the plain
+window. Cuts number at most ``max_cuts`` over all keys (a slice then holds up to
+1 / ``max_cuts`` of all rows), which bounds the broadcast tables of cuts. They are kept
+as a tree of ``FAN`` children, so that a row carries at most ``FAN`` cuts per level.
 """
 
 from __future__ import annotations
@@ -23,9 +22,10 @@ from pyspark.sql import functions as F
 from riskspark.functions.time import epoch_micros
 from riskspark.operators.cumulative import bucket_of
 
-
-def _width(cnt, lo, hi, rows_per_slice):
-    return (hi - lo) / F.ceil(cnt / F.lit(rows_per_slice)) + F.lit(1.0)
+SAMPLE_PER_SLICE = 64
+FAN = 64
+MAX_CUTS = 100_000  # below FAN ** 3, the tree's three levels
+_RESOLUTION = 1 << 40
 
 
 def previous_in_order(
@@ -36,62 +36,54 @@ def previous_in_order(
     out: str,
     value: str | None = None,
     rows_per_slice: int = 2_000_000,
-    max_hot_keys: int = 100_000,
+    max_cuts: int = MAX_CUTS,
     first_flag: str | None = None,
-    levels: int = 3,
-    refine: int = 16,
 ) -> DataFrame:
-    """``first_flag`` (optional) names a boolean column marking each key's first row.
-    ``levels``: a slice still holding more than ``rows_per_slice`` rows (a burst) is cut
-    again at ``refine`` approximate time quantiles of its own rows, up to this many levels."""
+    """``df`` with ``out``: the previous row's ``value`` (default: its time) of the same key.
+
+    ``first_flag`` (optional) names a boolean column marking each key's first row."""
+    if max_cuts >= FAN**3:
+        raise ValueError(f"max_cuts must be below {FAN ** 3}")
     value = value or ts
-    micros = epoch_micros(F.col(ts))
-    stats = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_cnt"), F.min(micros).alias("_lo"), F.max(micros).alias("_hi")
-    )
-    n_total = stats.agg(F.sum("_cnt")).scalar()
-    threshold = F.greatest(F.lit(rows_per_slice).cast("double"), n_total / F.lit(float(max_hot_keys)))
-    hot = stats.where(F.col("_cnt") > threshold).select(
-        key, "_lo", _width(F.col("_cnt"), F.col("_lo"), F.col("_hi"), rows_per_slice).alias("_width"),
-    )
-    sliced = df.join(F.broadcast(hot), key, "left").withColumn("_hot", F.col("_width").isNotNull()).withColumn(
-        "_s1",
-        F.when(~F.col("_hot"), F.lit(0)).otherwise(F.coalesce(F.floor((micros - F.col("_lo")) / F.col("_width")), F.lit(-1))),
-    ).drop("_lo", "_width")
-    slices = ["_s1"]
-    pcts = [i / refine for i in range(1, refine)]
-    for level in range(2, levels + 1):
-        # hot-key slices still holding too many rows (a burst) are cut at their own time
-        # quantiles; at most n / rows_per_slice such slices, refine - 1 cut points each
-        over = (
-            sliced.where("_hot").groupBy(key, *slices)
-            .agg(F.count(F.lit(1)).alias("_c"), F.percentile_approx(micros, pcts, 10000).alias("_cuts"))
-            .where(F.col("_c") > F.lit(rows_per_slice))
-            .select(key, *slices, "_cuts")
+    # a null key gets its own cuts through the flag; the text form keeps the joins plain equalities
+    keyed = df.withColumn("_kn", F.col(key).isNull()).withColumn("_kt", F.coalesce(F.col(key).cast("string"), F.lit("")))
+    order = F.struct(epoch_micros(F.col(ts)).alias("t"), F.col(tiebreak).alias("i"))
+    cuts = _cuts(keyed, order, F.col(value), [key, ts, tiebreak], rows_per_slice, max_cuts)
+    rows = keyed.withColumn("_slice", F.lit(0).cast("long"))
+    last = F.lit(None).cast(df.schema[value].dataType)
+    for level, size in enumerate((FAN * FAN, FAN, 1)):
+        block = size * FAN
+        table = (
+            cuts.where((F.col("_at") % size == 0) & (F.col("_at") % block != 0) if level else F.col("_at") % size == 0)
+            .groupBy("_kt", "_kn", (F.floor(F.col("_at") / block) if level else F.lit(0)).cast("long").alias("_block"))
+            .agg(F.sort_array(F.collect_list("_cut")).alias(f"_cuts{level}"))
         )
-        name = f"_s{level}"
-        sliced = sliced.join(F.broadcast(over), [key, *slices], "left").withColumn(
-            name,
-            F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(bucket_of(micros.cast("double"), F.col("_cuts"), refine - 1)),
-        ).drop("_cuts")
-        slices.append(name)
-    w = Window.partitionBy(key, *slices).orderBy(F.col(ts).asc_nulls_first(), F.col(tiebreak).asc_nulls_first())
-    rows = sliced.withColumn("_lag", F.lag(value).over(w)).withColumn("_rn", F.row_number().over(w))
-    order = Window.partitionBy(key).orderBy(*slices)
-    boundary = (
-        sliced.where("_hot")
-        .groupBy(key, *slices)
-        .agg(F.max_by(value, F.struct(F.col(ts), F.col(tiebreak))).alias("_last"))
-        .withColumn("_prev_last", F.lag("_last").over(order))
-        .withColumn("_has_prev", F.lag(F.lit(True)).over(order))
-        .select(key, *slices, "_prev_last", "_has_prev")
-    )
-    # the boundary table grows with n / rows_per_slice: joined on the window's own keys
-    # (no reshuffle of the rows; AQE broadcasts it when it is small)
-    joined = rows.join(boundary, [key, *slices], "left")
+        rows = rows.withColumn("_block", F.floor(F.col("_slice") / block).cast("long") if level else F.lit(0).cast("long"))
+        rows = rows.join(F.broadcast(table), ["_kt", "_kn", "_block"], "left").withColumn(
+            "_n", F.coalesce(bucket_of(order, F.col(f"_cuts{level}"), FAN, "o"), F.lit(0)).cast("long"))
+        found = F.when(F.col("_n") > 0, F.get(f"_cuts{level}", (F.col("_n") - 1).cast("int"))["v"])
+        rows = rows.withColumn("_last", F.coalesce(F.struct(found.alias("v")), F.struct(last.alias("v")))["v"]
+                               if not level else F.when(F.col("_n") > 0, found).otherwise(F.col("_last")))
+        rows = rows.withColumn("_slice", F.col("_slice") + F.col("_n") * size).drop(f"_cuts{level}", "_n", "_block")
+    w = Window.partitionBy(key, "_slice").orderBy(F.col(ts).asc_nulls_first(), F.col(tiebreak).asc_nulls_first())
+    first = F.row_number().over(w) == 1
+    result = rows.withColumn(out, F.when(first & (F.col("_slice") > 0), F.col("_last")).otherwise(F.lag(value).over(w)))
     if first_flag:
-        joined = joined.withColumn(first_flag, (F.col("_rn") == 1) & F.col("_has_prev").isNull())
-    return (
-        joined.withColumn(out, F.when(F.col("_rn") == 1, F.col("_prev_last")).otherwise(F.col("_lag")))
-        .drop("_hot", *slices, "_lag", "_rn", "_prev_last", "_has_prev")
-    )
+        result = result.withColumn(first_flag, first & (F.col("_slice") == 0))
+    return result.select(*df.columns, out, *([first_flag] if first_flag else []))
+
+
+def _cuts(keyed: DataFrame, order, value, identity: list[str], rows_per_slice: int, max_cuts: int) -> DataFrame:
+    """(_kt, _kn, _at, _cut): the sampled rows at which keys are cut, numbered from 1 per key."""
+    rate = min(1.0, SAMPLE_PER_SLICE / rows_per_slice)
+    per_cut = max(1, round(rows_per_slice * rate))
+    draw = F.pmod(F.xxhash64(*[F.col(c) for c in identity]), F.lit(_RESOLUTION))
+    sample = keyed.where(draw < F.lit(int(rate * _RESOLUTION))).select(
+        "_kt", "_kn", F.struct(order.alias("o"), value.alias("v")).alias("_cut"))
+    per_key = Window.partitionBy("_kt", "_kn")
+    ranked = sample.withColumn("_r", F.row_number().over(per_key.orderBy("_cut")))
+    # the sample's size bounds the cuts: each stands for at least 1 / max_cuts of it
+    total = ranked.agg(F.sum(F.when(F.col("_r") > 0, F.lit(1)))).scalar()
+    step = F.greatest(F.lit(per_cut).cast("long"), F.ceil(F.coalesce(total, F.lit(0)) / F.lit(float(max_cuts))).cast("long"))
+    return ranked.withColumn("_step", step).where(F.col("_r") % F.col("_step") == 0).select(
+        "_kt", "_kn", F.floor(F.col("_r") / F.col("_step")).cast("long").alias("_at"), "_cut")

@@ -14,7 +14,7 @@ def test_previous_in_order_hot_key_slicing_matches_window(spark):
     ev = spark.read.parquet(f"{MEDIUM}/events.parquet")
     # make user 0 a hot key holding about a third of all rows
     hot = ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
-    got = previous_in_order(hot, "user_id", "ts", "event_id", "prev", rows_per_slice=200, max_hot_keys=10)
+    got = previous_in_order(hot, "user_id", "ts", "event_id", "prev", rows_per_slice=200)
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     want = hot.withColumn("prev", F.lag("ts").over(w))
     diff = got.select("event_id", "prev").exceptAll(want.select("event_id", "prev"))
@@ -62,7 +62,7 @@ def test_ordered_cumsum_single_cut_array_matches_window(spark, buckets):
 
 
 def test_previous_in_order_splits_a_burst(spark):
-    """A hot key whose rows mostly fall into one short burst: the second level re-slices it."""
+    """A hot key whose rows mostly fall into one short burst: cuts follow the row counts."""
     import datetime as dt
 
     base = dt.datetime(2024, 1, 1)
@@ -75,7 +75,36 @@ def test_previous_in_order_splits_a_burst(spark):
         rows.append((i, 0, t))
     rows += [(10_000 + i, 1 + i % 7, base + dt.timedelta(minutes=i)) for i in range(500)]
     df = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz")
-    got = previous_in_order(df, "user_id", "ts", "event_id", "prev", rows_per_slice=200, max_hot_keys=5)
+    got = previous_in_order(df, "user_id", "ts", "event_id", "prev", rows_per_slice=200)
     want = df.withColumn("prev", F.lag("ts").over(Window.partitionBy("user_id").orderBy("ts", "event_id")))
     assert got.select("event_id", "prev").exceptAll(want.select("event_id", "prev")).count() == 0
     assert got.count() == want.count()
+
+
+def test_previous_in_order_null_keys_and_one_timestamp(spark):
+    """A third of null keys, a hot key at one timestamp: same as the plain window."""
+    ev = spark.read.parquet(f"{MEDIUM}/events.parquet")
+    key = F.when(F.col("event_id") % 3 == 0, F.lit(None)).when(F.col("event_id") % 3 == 1, F.lit(0)).otherwise(F.col("user_id"))
+    ts = F.when(F.col("event_id") % 3 == 1, F.lit("2024-01-01").cast("timestamp_ntz")).otherwise(F.col("ts"))
+    hot = ev.withColumn("user_id", key).withColumn("ts", ts)
+    got = previous_in_order(hot, "user_id", "ts", "event_id", "prev", value="event_id", rows_per_slice=20, first_flag="first")
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    want = hot.withColumn("prev", F.lag("event_id").over(w)).withColumn("first", F.row_number().over(w) == 1)
+    cols = ["event_id", "prev", "first"]
+    rows = got.select(cols).collect()
+    assert sorted(map(tuple, rows), key=str) == sorted(map(tuple, want.select(cols).collect()), key=str)
+
+
+def test_exact_quantiles_with_brackets(spark):
+    """Brackets in force (few probes), ties, nulls, NaN and infinities: equal to Spark's exact percentile."""
+    from riskspark.operators.cumulative import exact_quantiles
+
+    x = F.when(F.col("id") % 7 == 0, F.lit(5.0)).when(F.col("id") % 11 == 0, F.lit(None)).when(F.col("id") == 5, F.lit(float("inf"))) \
+        .otherwise(F.pmod(F.xxhash64("id"), F.lit(100_000)) / 10.0)
+    df = spark.range(20_000).select(x.alias("a"), (F.col("id") / 3.0).alias("b"), F.lit(None).cast("double").alias("c"))
+    qs = [0.0, 0.1, 0.5, 0.9, 1.0]
+    got = exact_quantiles(df, ["a", "b", "c"], qs, accuracy=100)
+    for c in "abc":
+        want = df.agg(F.percentile(c, qs)).first()[0]
+        for q, v in zip(qs, want or [None] * len(qs)):
+            assert got[(c, q)] == (v if v is None else pytest.approx(v, rel=1e-12)), (c, q)
