@@ -7,7 +7,7 @@ statistics; ``batch_stats=True`` reproduces the reference behaviour.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -159,6 +159,16 @@ class TransactionFeaturesModel:
         self.drop_source = drop_source
         self.keep = tuple(keep)
 
+    def state(self) -> dict:
+        """Plain values from which :meth:`from_state` makes the same model."""
+        return {"stats": asdict(self.stats) if self.stats else None, "batch_stats": self.batch_stats,
+                "drop_source": self.drop_source, "keep": list(self.keep)}
+
+    @classmethod
+    def from_state(cls, state: dict) -> "TransactionFeaturesModel":
+        stats = FeatureStats(**state["stats"]) if state["stats"] else None
+        return cls(stats, state["batch_stats"], state["drop_source"], state["keep"])
+
     def transform(self, df: DataFrame) -> DataFrame:
         if self.stats is None and not self.batch_stats:
             raise RuntimeError("feature pipeline is not fitted")

@@ -78,6 +78,15 @@ class PreprocessorModel:
         self.stats = stats
         self.categories = categories
 
+    def state(self) -> dict:
+        """Plain values from which :meth:`from_state` makes the same model."""
+        return {"numeric": self.numeric, "categorical": self.categorical, "medians": self.medians, "modes": self.modes,
+                "stats": {c: list(v) for c, v in self.stats.items()}, "categories": self.categories}
+
+    @classmethod
+    def from_state(cls, state: dict) -> "PreprocessorModel":
+        return cls(**state)
+
     def output_columns(self) -> list[str]:
         return list(self.numeric) + [one_hot_name(c, v) for c in self.categorical for v in self.categories[c]]
 

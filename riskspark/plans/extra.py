@@ -187,6 +187,23 @@ def io12_model_roundtrip(spark, sf_dir):
         "TransactionID", "rf_score", F.lit(cfg["threshold"]).alias("threshold"))
 
 
+@register("io12_ensemble_roundtrip", with_views("T") + "SELECT TransactionID, CAST(0.0 AS DOUBLE) AS score_difference, "
+          "CAST(0 AS BIGINT) AS prediction_difference FROM T")
+def io12_ensemble_roundtrip(spark, sf_dir):
+    """IO12: the whole ensemble saved, loaded into new objects; all rows of T scored from raw columns by
+    the loaded and by the in-memory ensemble, and compared."""
+    tr = trained(spark, sf_dir)
+    base = _scratch(spark, "ensemble")
+    training.save(tr, spark, base, "20240101_000000")
+    t = views.transactions(spark, sf_dir)
+    cols = ["TransactionID", "FraudScore", "FraudPrediction"]
+    a = training.score_transactions(tr, t).select(*cols)
+    b = training.score_transactions(training.load(spark, base), t).select(*[F.col(c).alias(f"{c}_b") for c in cols])
+    return a.join(b, F.col("TransactionID") == F.col("TransactionID_b")).select(
+        "TransactionID", F.abs(F.col("FraudScore") - F.col("FraudScore_b")).alias("score_difference"),
+        F.abs(F.col("FraudPrediction") - F.col("FraudPrediction_b")).cast("long").alias("prediction_difference"))
+
+
 @register("h2_monitoring_report")
 def h2_monitoring_report(spark, sf_dir):
     """H2 + IO11: report over recent predictions, written as JSON and read back."""

@@ -140,16 +140,44 @@ def evaluate_ensemble(tr: Trained, split_name: str = "test") -> DataFrame:
 
 
 def save(tr: Trained, spark: SparkSession, base: str, version: str) -> str:
-    """IO12: models and the ensemble configuration row under ``base``."""
+    """IO12: the whole ensemble under ``base``: three models, the fitted feature statistics and
+    preprocessor, and the configuration row."""
     from riskspark.sources import io
 
     path = f"{base}/models/{version}"
     io.save_model(tr.forest, f"{path}/random_forest")
     io.save_model(tr.boosted, f"{path}/xgboost")
+    tr.iforest.save(spark, f"{path}/isolation_forest")
+    io.save_state(spark, f"{path}/pipeline", {
+        "key": tr.prepared.key, "label": tr.prepared.label,
+        "features": tr.prepared.feature_model.state(), "preprocessor": tr.prepared.preprocessor.state()})
     io.save_ensemble_config(spark, f"{base}/ensemble", version, tr.weights, tr.threshold, tr.iso_bounds, path)
     return path
 
 
+def load(spark: SparkSession, base: str) -> Trained:
+    """IO12: the newest saved ensemble, made of new objects; it has no training data (``prepared.data`` is None)."""
+    from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
+
+    from riskspark.sources import io
+
+    cfg = io.load_latest_config(spark, f"{base}/ensemble")
+    path = cfg["model_path"]
+    state = io.load_state(spark, f"{path}/pipeline")
+    prepared = Prepared(None, features.TransactionFeaturesModel.from_state(state["features"]),
+                        transformers.PreprocessorModel.from_state(state["preprocessor"]), state["key"], state["label"])
+    return Trained(prepared, RandomForestClassificationModel.load(f"{path}/random_forest"),
+                   GBTClassificationModel.load(f"{path}/xgboost"),
+                   IsolationForestModel.load(spark, f"{path}/isolation_forest"),
+                   (cfg["iso_min"], cfg["iso_max"]), dict(cfg["weights"]), cfg["threshold"])
+
+
+def score_transactions(tr: Trained, transactions: DataFrame) -> DataFrame:
+    """S3-S5 of raw transactions: fitted features, preprocessing, three models, fusion."""
+    prep = tr.prepared
+    return predict(tr, prep.preprocessor.assemble(prep.feature_model.transform(transactions), keep=[prep.key]))
+
+
 def run_training(df: DataFrame, optimize: bool = False, n_trees: int = 100, oversample: bool = False) -> Trained:
     """M5: prepare, fit all models, build the ensemble."""
     prep = prepare(df, oversample=oversample)

@@ -6,6 +6,8 @@ All writes go under a caller-given base path; on a cluster that is shared storag
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -106,10 +108,13 @@ def save_model(model, path: str) -> None:
     model.write().overwrite().save(path)
 
 
-def load_pipeline_model(path: str):
-    from pyspark.ml import PipelineModel
+def save_state(spark: SparkSession, path: str, state: dict) -> None:
+    """IO12: fitted statistics (plain values) as one JSON text row."""
+    spark.createDataFrame([(json.dumps(state),)], "state string").write.mode("overwrite").parquet(path)
+
 
-    return PipelineModel.load(path)
+def load_state(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.parquet(path).first()["state"])
 
 
 def save_ensemble_config(spark: SparkSession, base: str, version: str, weights: dict, threshold: float,

@@ -74,6 +74,20 @@ def test_model_and_config_roundtrip(spark, trained):
     assert a == b
 
 
+def test_saved_ensemble_scores_like_the_one_in_memory(spark, trained):
+    from riskspark.plans import training
+    from riskspark.sources import views
+
+    base = tempfile.mkdtemp(prefix="ensemble-")
+    training.save(trained, spark, base, "20240101_000000")
+    loaded = training.load(spark, base)
+    assert loaded.iforest.threshold == trained.iforest.threshold and loaded.weights == trained.weights
+    t = views.transactions(spark, SMALL)
+    cols = ["TransactionID", "FraudScore", "FraudPrediction"]
+    a, b = (sorted(map(tuple, training.score_transactions(m, t).select(*cols).collect())) for m in (trained, loaded))
+    assert a == b and len(a) == t.count()
+
+
 def test_boosted_search_two_trials(spark, trained):
     from riskspark.operators import models
 

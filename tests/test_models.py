@@ -73,3 +73,11 @@ def test_oversample_identical_minority_vectors(spark):
     out = oversample(df.drop("x"), "k", "features")
     counts = {r["Fraud"]: r["count"] for r in out.groupBy("Fraud").count().collect()}
     assert counts == {0: 7, 1: 7}
+
+
+def test_iforest_without_key_draws_equal_vectors_apart(spark):
+    """A vector held by a third of the rows: no tree is filled with copies of it alone."""
+    rows = [(0.0, 0.0) if i % 3 == 0 else (float(i % 97), float(i % 89)) for i in range(6000)]
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(spark.createDataFrame(rows, "a double, b double"))
+    model = IsolationForest(n_trees=20).fit(df)
+    assert (model.feature[:, 0] >= 0).all() and (model.size[:, 0] == 256).all()
