@@ -300,6 +300,32 @@ def test_pii_base_spans_brute_force(spark, docs, odd, empty):
     assert pii.find(empty).count() == 0
 
 
+def test_pii_adds_what_the_base_forms_miss(spark):
+    """Spans outside the base forms are added, refuted ones aren't; too small a sample adds nothing."""
+    rows = []
+    for i in range(400):
+        good = f"4539578763621{i % 1000:03d}"
+        digit = next(d for d in "0123456789" if passes("card", good[:-1] + d))
+        a, b = ("card", "order") if i % 2 else ("order", "card")  # the cue tells nothing here, the check digit does
+        rows.append((i, f"call +1 (212) 555-{i:04d} or write me.{i}@mail.example.com, {a} {good[:-1]}{digit}; "
+                        f"host 10.0.{i % 250}.7, build 300.{i}.1.1, user{i}@local, {b} {good[:-1]}{(int(digit) + 1) % 10} x"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = pii.fit(docs)
+    assert {"phone", "email", "card"} <= set(model.thresholds)
+    odd = ["call (212) 555-0199 now", "write to jo (at) mail.example.com today", "ref 12 4539578763621486 x",
+           "x 4539578763621487 y", "jo@local", "300.1.1.1", "x(212) 555-0199y"]
+    got = {r.doc_id: r for r in pii.find(spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string"), model).collect()}
+
+    def added(i):
+        return {k: [odd[i][s.start:s.end] for s in got[i][f"added_{k}"]] for k in pii.KINDS if got[i][f"added_{k}"]}
+
+    assert added(0) == {"phone": ["(212) 555-0199"]}
+    assert added(1) == {"email": ["jo (at) mail.example.com"]}
+    assert added(2) == {"card": ["4539578763621486"]}
+    assert added(3) == added(4) == added(5) == added(6) == {}
+    assert pii.fit(docs.limit(5)).thresholds == {}
+
+
 def test_pii_trees_equal_mllib(spark):
     model = pii.Boosted([(0, 1.5, -0.4, (1, 0.5, 0.2, 0.9))], [1.0], {"card": 0.6})
     df = spark.createDataFrame([([2.0, 1.0],), ([1.0, 0.0],), ([2.0, 0.0],)], "f array<double>")
