@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from riskspark.operators import clean, drift, fusion, models, split
 from riskspark.operators.metrics import REPORT_METRICS
-from riskspark.plans import monitoring, training
+from riskspark.plans import ingestion, monitoring, training
 from riskspark.plans.catalog import _PERIOD, AS_OF, E_COLS, LOOKBACK_DAYS, _alloc_sql, _gap_ctes, register
 from riskspark.plans.sqltext import big, r6, us, with_views
 from riskspark.session import scratch_path
@@ -18,6 +18,7 @@ from riskspark.sources import io, views
 from riskspark.streaming import scoring
 
 _TRAINED: dict = {}
+ISOLATION_TRIALS = 16  # of the registered isolation-forest search; search_isolation_forest itself defaults to 50
 
 
 def _scratch(spark, name: str) -> str:
@@ -69,6 +70,34 @@ def io7_io8_versioned_dataset(spark, sf_dir):
     return io.read_latest(spark, base)
 
 
+_RAW = ("SELECT *, CASE WHEN CAST(TransactionID AS BIGINT) % 5 = 0 THEN NULL ELSE Channel END AS Ch FROM T "
+        "UNION ALL SELECT *, CASE WHEN CAST(TransactionID AS BIGINT) % 5 = 0 THEN NULL ELSE Channel END FROM T "
+        "WHERE CAST(TransactionID AS BIGINT) % 3 = 0")
+
+
+@register("ingestion_run",
+          with_views("T", extra=[f"RAW AS ({_RAW})", "MO AS (SELECT Ch AS m FROM RAW WHERE Ch IS NOT NULL GROUP BY Ch "
+                                 "ORDER BY count(*) DESC, Ch LIMIT 1)", *_alloc_sql()])
+          + "SELECT SP.TransactionID, T.AccountID, " + r6("T.TransactionAmount") + " AS Transaction_Amount, "
+          + us("T.TransactionDate") + " AS TransactionDate, T.Location, CASE WHEN CAST(T.TransactionID AS BIGINT) % 5 = 0 "
+          "THEN (SELECT m FROM MO) ELSE T.Channel END AS Channel, " + big("SP.Fraud") + " AS Fraud, "
+          "'20240102_000000' AS version, split FROM SP JOIN T ON SP.TransactionID = T.TransactionID")
+def ingestion_run(spark, sf_dir):
+    """IO1-IO3, C1-C4, P1, IO7 and IO8 in one run: T as CSV with every third row repeated and every
+    fifth channel missing; the newest version read back."""
+    path, base = _scratch(spark, "raw"), _scratch(spark, "ingested")
+    n = F.col("TransactionID").cast("long")
+    t = views.transactions(spark, sf_dir).select(
+        "TransactionID", "AccountID", F.col("TransactionAmount").alias("Transaction.Amount"),
+        F.col("TransactionDate").cast("string").alias("TransactionDate"), "Location",
+        F.when(n % 5 != 0, F.col("Channel")).alias("Channel"), "Fraud")
+    # one pass writes each row once or twice
+    t.select("*", F.explode(F.sequence(F.lit(0), F.when(n % 3 == 0, 1).otherwise(0))).alias("copy")).drop("copy") \
+        .write.option("header", True).mode("overwrite").csv(path)
+    ingestion.run_ingestion(spark, path, base, "20240102_000000", t.schema)
+    return io.read_latest(spark, base)
+
+
 @register("io9_io10_feedback_json", with_views("FB") + "SELECT TransactionID, IsFraud, Feedback, " + us("Timestamp") + " AS Timestamp FROM FB")
 def io9_io10_feedback_json(spark, sf_dir):
     """IO9 + IO10: feedback appended in two batches, read back with the feedback schema."""
@@ -156,6 +185,31 @@ def m4_forest_search(spark, sf_dir):
     return models.search_table(spark, res)
 
 
+@register("m4_boosted_search")
+def m4_boosted_search(spark, sf_dir):
+    """M4: 50-trial seeded random search over the boosted-tree space, ranked by validation AUC."""
+    tr = trained(spark, sf_dir)
+    d = tr.prepared.data
+    est = models.boosted_trees(label_col=tr.prepared.label)
+
+    def score_fn(model, df):
+        return models.positive_probability(model.transform(df), "xgb_probability", "_score")
+
+    res = models.search(est, models.BOOSTED_SPACE, d.where(F.col("split").isin("train", "val")), d.where(F.col("split") == "val"),
+                        score_fn, tr.prepared.label, n_trials=50, parallelism=8)
+    return models.search_table(spark, res)
+
+
+@register("m4_isolation_search")
+def m4_isolation_search(spark, sf_dir):
+    """M4: seeded random search over trees and contamination, ranked by the AUC of the hard labels."""
+    tr = trained(spark, sf_dir)
+    d = tr.prepared.data
+    res = models.search_isolation_forest(d.where(F.col("split") == "train"), d.where(F.col("split") == "val"), tr.prepared.label,
+                                         key_col=tr.prepared.key, n_trials=ISOLATION_TRIALS, parallelism=4)
+    return models.search_table(spark, res)
+
+
 @register("m5_s9_model_evaluation")
 def m5_s9_model_evaluation(spark, sf_dir):
     """M5 + S9: the training run's per-model test metrics."""
