@@ -23,7 +23,7 @@ def query(name: str, sql: str | None = None):
 
 @query("op1_line_dedup")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.each_row(line_dedup.removed_lines(documents(spark, sf_dir)))
+    found = line_dedup.each_row(line_dedup.removed_lines(documents(spark, sf_dir), min_words=1))
     spans = F.transform("runs", lambda r: F.concat_ws("-", r["lo"].cast("string"), r["hi"].cast("string")))
     return found.select(F.col("id").alias("doc_id"), "n_lines",
                         F.aggregate("runs", F.lit(0).cast("long"), lambda a, r: a + r["n"]).alias("n_removed"),

@@ -77,6 +77,16 @@ def test_line_dedup_repeated_rows_and_texts(spark, odd, empty):
     assert line_dedup.removed_lines(empty).count() == 0
 
 
+def test_line_dedup_query_removes_every_later_copy_of_a_line(spark, docs, tmp_path):
+    notice = "All rights reserved by the owner of this page, see below."
+    rows = [(i, f"own {i}\n{notice}\nmore {i}") for i in range(9)] + [(20, "a"), (21, "a"), (21, "a"), (22, None), (23, "\n \n"), (24, "b\na\nb")]
+    for k, df in enumerate([spark.createDataFrame(rows, "doc_id long, text string"), docs.select("doc_id", "text")]):
+        df.write.parquet(f"{tmp_path}/{k}/documents.parquet")
+        want = brute_lines(rows := sorted(map(tuple, df.collect()), key=lambda r: r[0]), 2, 1)
+        got = [(r.doc_id, r.n_lines, r.n_removed) for r in queries.op1(spark, f"{tmp_path}/{k}").collect()]
+        assert sorted(got) == sorted((d, *w) for (d, _), w in zip(rows, want))
+
+
 # ---- 2 ---------------------------------------------------------------------------------------
 
 def test_decontamination_sql(spark, docs, duck_small):
