@@ -336,6 +336,20 @@ def test_pii_adds_what_the_base_forms_miss(spark):
     assert pii.fit(docs.limit(5)).thresholds == {}
 
 
+def test_pii_proposes_overlapping_candidates(spark):
+    texts = {"email": [("john[at]example.com", ["john[at]example.com"]), ("to john[at] example.com.", ["john[at] example.com."]),
+                       ("é jo (at) a.b@c.d x[1]@y.zz", ["jo (at) a.b", "a.b@c.d", "x[1]@y.zz"])],
+             "card": [("ref 2024 4539 5787 6362 1486", ["2024 4539 5787 6362", "4539 5787 6362 1486"]),
+                      ("ref 12 3782 822463 10005", ["12 3782 822463 10005", "3782 822463 10005"]), ("1 2 3", [])],
+             "ip": [("300.10.0.0.1", ["300.10.0.0", "10.0.0.1"]), ("1.2.3", [])], "phone": [("(212) 555-0199", ["(212) 555-0199"])]}
+    for kind, cases in texts.items():
+        df = spark.createDataFrame([(t, w) for t, w in cases], "t string, want array<string>")
+        for r in df.select("t", "want", pii.proposed(F.col("t"), kind).alias("got")).collect():
+            assert [s.v for s in r.got] == r.want and all(r.t[s.start:s.end] == s.v for s in r.got)
+    long = spark.createDataFrame([("1 " * 3000 + "1.1" * 2000 + "a@" * 3000,)], "t string")
+    assert long.select(*[F.size(pii.proposed(F.col("t"), k)) for k in pii.KINDS]).collect()
+
+
 def test_pii_trees_equal_mllib(spark):
     model = pii.Boosted([(0, 1.5, -0.4, (1, 0.5, 0.2, 0.9))], [1.0], {"card": 0.6})
     df = spark.createDataFrame([([2.0, 1.0],), ([1.0, 0.0],), ([2.0, 0.0],)], "f array<double>")
