@@ -350,6 +350,19 @@ def test_pii_proposes_overlapping_candidates(spark):
     assert long.select(*[F.size(pii.proposed(F.col("t"), k)) for k in pii.KINDS]).collect()
 
 
+def test_pii_samples_and_thresholds_by_kind(spark):
+    """A kind keeps its sample and threshold where another fills the table; one with few labels has the pooled threshold."""
+    rows = [(i, " ".join(f"10.{i % 250}.{j}.{300 if j % 3 else 3}" for j in range(40))) for i in range(200)]
+    rows += [(1000 + i, f"write me.{i}@mail.example.com or x{i}@local") for i in range(100)] + [(2000, "call +1 212 555 0199")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    n = {r[0]: r[1] for r in pii.training_sample(docs, sample_rows=300).groupBy(F.element_at("f", 1)).count().collect()}
+    assert n[0.0] == 200 and n[1.0] == 300 and 2.0 not in n
+    model = pii.fit(docs, sample_rows=300)
+    assert set(model.thresholds) == set(pii.KINDS)
+    got = pii.find(spark.createDataFrame([(1, "write jo (at) mail.example.com")], "doc_id long, text string"), model).first()
+    assert [tuple(x) for x in got.added_email] == [(6, 30)]
+
+
 def test_pii_trees_equal_mllib(spark):
     model = pii.Boosted([(0, 1.5, -0.4, (1, 0.5, 0.2, 0.9))], [1.0], {"card": 0.6})
     df = spark.createDataFrame([([2.0, 1.0],), ([1.0, 0.0],), ([2.0, 0.0],)], "f array<double>")
