@@ -192,6 +192,29 @@ def test_compression_bands_reject_repeats_and_noise(spark):
     assert {r.doc_id: r.kept for r in quality.measure(df).collect()} == {1: False, 2: False}
 
 
+def test_compression_bands_reject_partly_dirty_prose(spark):
+    """Prose stays at all lengths; a passage of 10 to 30 % noise or repetition in it is found wherever it starts."""
+    rng = random.Random(2)
+    texts = [t for t, in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("lang = 'en'").select("text").collect()
+             if len(t or "") > 20_000]
+    found = [r.text for r in quality.measure(spark.createDataFrame([(0, t) for t in texts], "doc_id long, text string"), ["text"]).collect() if r.kept]
+    prose = "\n".join(found)
+    assert len(prose) > 400_000
+    alphabet = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    rows, want = [], {}
+    for n in (12_288, 40_000, 200_000, 400_000):
+        for share in (0, 0.1, 0.2, 0.3):
+            size = max(int(n * share), 6_500) if share else 0
+            for kind in ("noise", "rows"):
+                at = rng.randint(0, n - size)
+                dirt = "".join(rng.choice(alphabet) for _ in range(size)) if kind == "noise" else ("a b c d " * size)[:size]
+                want[len(rows)] = not share
+                rows.append((len(rows), prose[:at] + dirt + prose[at:n - size]))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    measured = {r.doc_id: r for r in quality.measure(df, max_repeat_percent=100).collect()}
+    assert {i: r.kept for i, r in measured.items()} == want, [(i, r) for i, r in measured.items() if r.kept != want[i]]
+
+
 # ---- 5 ---------------------------------------------------------------------------------------
 
 def test_chain_marginals_brute_force():
