@@ -65,6 +65,20 @@ def test_isolation_forest_search_runs(spark, blob):
     assert len(res.trials) == 2 and res.best_auc is not None and res.best_auc > 0.9
 
 
+def test_registered_isolation_search_runs_all_trials(spark, blob, monkeypatch):
+    from types import SimpleNamespace
+
+    from riskspark.operators import models
+    from riskspark.plans import extra
+
+    data = blob.withColumn("Fraud", (blob.id == 2000).cast("int")).withColumn("split", blob.id.cast("string"))
+    monkeypatch.setattr(extra, "trained", lambda *a: SimpleNamespace(prepared=SimpleNamespace(data=data, label="Fraud", key="id")))
+    asked = []
+    monkeypatch.setattr(models, "search_isolation_forest", lambda *a, n_trials=50, **k: asked.append(n_trials))
+    monkeypatch.setattr(models, "search_table", lambda *a: None)
+    extra.m4_isolation_search(spark, "")
+    assert asked == [50]
+
 def test_oversample_identical_minority_vectors(spark):
     from pyspark.ml.functions import array_to_vector
 
