@@ -84,7 +84,8 @@ def entries(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets
     rows = docs.select(F.col(f"`{doc_id}`").alias("id"),
                        (F.coalesce(F.octet_length(t), F.lit(0)).cast("long") + 16).alias("size"),
                        F.coalesce(F.crc32(t.cast("binary")), F.lit(0).cast("long")).alias("crc"))
-    h = F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("null")))
+    # size and crc as well: rows of one id, or of none, with different texts spread over the buckets
+    h = F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("null")), "size", "crc")
     return rows.groupBy("id", "size", "crc").agg(F.count(F.lit(1)).alias("m")) \
         .withColumn("h", h).withColumn("bucket", F.pmod("h", F.lit(buckets)).cast("int"))
 

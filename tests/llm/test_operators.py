@@ -407,6 +407,10 @@ def test_sharding_counts_slots_and_edges(spark, docs, odd, empty):
     assert sharding.shard(empty).count() == 0
 
 
+def test_sharding_spreads_rows_of_one_id_over_buckets(spark):
+    df = spark.createDataFrame([(None if i % 2 else 7, f"text {i}") for i in range(400)], "doc_id long, text string")
+    assert sharding.entries(df).select("bucket").distinct().count() > 100
+
 def test_ring_moves_few_rows_when_it_grows():
     counts = {b: 50 for b in range(sharding.BUCKETS)}
 
