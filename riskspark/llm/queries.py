@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import decontamination, licenses, line_dedup, mixing, pii, quality, sharding, simhash, suffix_dedup, toxicity
+from riskspark.llm import (decontamination, hard_negatives, licenses, line_dedup, mixing, ngram_join, pii, quality, sharding, simhash,
+                           suffix_dedup, toxicity, whitening)
 from riskspark.llm.common import documents
 
 QUERIES = {}
@@ -117,3 +118,36 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(documents(spark, sf_dir))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op11_ngram_join")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ngram_join.classes(documents(spark, sf_dir))
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@query("op12_embedding_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(documents(spark, sf_dir, "embeddings"))
+
+
+# DuckDB: the entries on the grid as 64-bit integers; rows that take no part are left out.
+@query("op13_hard_negatives", """
+WITH usable AS (SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, r.vec_id AS id, r.label = a.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.v, r.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM usable a JOIN usable r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (SELECT anchor_id, id, score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+ranked AS (SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS rank
+  FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+   AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(
+        documents(spark, sf_dir, "embeddings"), is_anchor=lambda i: i % 100 == 0,
+        label=lambda i, label: F.when(i % 7 == 0, (label + 1) % 10).otherwise(label))
