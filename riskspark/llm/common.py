@@ -96,6 +96,14 @@ def map_texts(df: DataFrame, make: Callable, fields: Sequence[T.StructField], te
     return src.mapInArrow(run, schema)
 
 
+def with_safe_names(docs: DataFrame, f: Callable) -> DataFrame:
+    """``f(d, at)`` under the column names of ``docs``: ``d`` holds the same columns as c0, c1, ..., which no helper
+    column is called, ``at(name)`` is the new name of a column, and ``f`` returns the columns in their order."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    places = {c.lower(): n for c, n in zip(docs.columns, names)}
+    return f(docs.toDF(*names), lambda c: places[c.lower()]).toDF(*docs.columns)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it in any case."""
     taken = {c.lower() for c in df.columns}
