@@ -104,7 +104,10 @@ def scan(docs: DataFrame, items: DataFrame, keep=("doc_id",), text: str = "text"
     """``keep`` plus n_words, n_hit (words inside a window), items (ids as sorted strings) and
     hits (maximal runs: word numbers first..last, code points start..end) per document."""
     blocks = item_blocks(items, item_id, item_text, block_bytes)
-    keep = list(keep)
+    # columns are called c0, c1, ... on the way, as no helper column is
+    names, safe = list(keep), {c: f"c{i}" for i, c in enumerate(dict.fromkeys([*keep, text]))}
+    docs = docs.select(*[F.col(f"`{c}`").alias(s) for c, s in safe.items()])
+    keep, text = [safe[c] for c in names], safe[text]
     hits = T.ArrayType(_HIT)
     fields = [T.StructField("n_words", T.LongType()), T.StructField("items", T.ArrayType(T.StringType())),
               T.StructField("hits", hits)]
@@ -119,7 +122,7 @@ def scan(docs: DataFrame, items: DataFrame, keep=("doc_id",), text: str = "text"
     items_all = F.array_sort(F.array_distinct(F.flatten(F.array(*[F.col(f"__items{k}") for k in every]))))
     hits_all = F.col("__hits0") if len(blocks) == 1 else _merged(F.flatten(F.array(*[F.col(f"__hits{k}") for k in every])))
     return out.select(
-        *[F.col(f"`{c}`") for c in keep], F.col("__n_words0").alias(f"{prefix}n_words"),
+        *[F.col(k).alias(c) for c, k in zip(names, keep)], F.col("__n_words0").alias(f"{prefix}n_words"),
         F.aggregate(hits_all, F.lit(0).cast("long"), lambda a, h: a + h["last"] - h["first"] + 1).alias(f"{prefix}n_hit"),
         items_all.alias(f"{prefix}items"), hits_all.alias(f"{prefix}hits"),
     )

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import free_name, table
+from riskspark.llm.common import table, with_safe_names
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -183,9 +183,13 @@ def taken(docs: DataFrame, **options) -> DataFrame:
 
 def mixed(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
     """``docs`` with every row repeated as often as the mix takes it, columns unchanged."""
+    return with_safe_names(docs, lambda d, at: _mixed(d, at(doc_id), at(source), at(text), **options))
+
+
+def _mixed(docs: DataFrame, doc_id: str, source: str, text: str, **options) -> DataFrame:
     c = table(copies(docs, doc_id, source, text, whole_rows=True, **options), "copies") \
         .select(F.col("id").alias("__id"), F.col("h0").alias("__h"), F.col("m").alias("__m"), F.col("c").alias("__c"))
-    h = free_name(docs, "__row_hash_")
+    h = "__row_hash"
     rows = docs.withColumn(h, F.xxhash64(*[F.col(f"`{x}`") for x in docs.columns]))
     out = rows.join(c.where("__c > 0"), F.col(f"`{doc_id}`").eqNullSafe(F.col("__id")) & (F.col(h) == F.col("__h")))
     if c.where("__m > 1").limit(1).count():

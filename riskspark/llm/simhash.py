@@ -11,7 +11,7 @@ large-star / small-star rounds over written tables.
 Defined results: a null or empty text has no words and the fingerprint zero, which links like any
 other; a text of fewer than ``shingle`` words is one shingle of all its words. The component id is
 the smallest id in the component, null only when every id in it is null. Repeated rows are members
-like any other.
+like any other. An empty table gives an empty result; extra columns of any name pass through ``keep_one``.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskspark.llm.common import free_name, map_texts, table
+from riskspark.llm.common import map_texts, table, with_safe_names
 
 SHINGLE = 3
 MAX_DISTANCE = 2
@@ -153,11 +153,15 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
              max_distance: int = MAX_DISTANCE) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the row with the smallest id
     stays (nulls last, then the smallest text hash); of equal such rows one stays."""
+    return with_safe_names(docs, lambda d, at: _keep_one(d, at(doc_id), at(text), shingle, max_distance))
+
+
+def _keep_one(docs: DataFrame, doc_id: str, text: str, shingle: int, max_distance: int) -> DataFrame:
     t = classes(docs, doc_id, text, shingle, max_distance, with_text_hash=True)
     best = t.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")).alias("b")) \
         .select(F.col("b.id").alias("__id"), F.col("b.text_hash").alias("__text_hash"))
     best = table(best, "kept")
-    h, n = free_name(docs, "__text_hash_"), free_name(docs, "__copies_")
+    h = "__row_text_hash"
     hashed = docs.withColumn(h, F.xxhash64(F.col(f"`{text}`").cast("string")))
     out = hashed.join(best, F.col(f"`{doc_id}`").eqNullSafe(F.col("__id")) & F.col(h).eqNullSafe(F.col("__text_hash")), "left_semi")
     repeated = t.groupBy("id", "text_hash").count().where("count > 1").limit(1).count()

@@ -41,7 +41,8 @@ SENTENCE_TABLE = bytes(10 if b in b".!?\n" else c for b, c in enumerate(WORD_TAB
 
 
 def held_out(doc_id):
-    return F.crc32(doc_id.cast("string")) % 3 == 1
+    """Whether labels of this id are kept from training; a null id has none, so it is not held out."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
 def chains_of(text: bytes) -> list[list[bytes]]:
@@ -171,7 +172,7 @@ class Chain:
 def sample(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
            n_toxic: int = N_TOXIC, n_clean: int = N_CLEAN) -> tuple[DataFrame, dict[int, int]]:
     """(id, text, y) of the bounded training sample, and the class counts of all training labels."""
-    train = labels.where(~held_out(F.col(doc_id)) & F.col(label).isNotNull()).groupBy(F.col(doc_id).alias("id")) \
+    train = labels.where(F.col(doc_id).isNotNull() & ~held_out(F.col(doc_id)) & F.col(label).isNotNull()).groupBy(F.col(doc_id).alias("id")) \
         .agg(F.max(F.col(label).cast("int")).alias("y"))
     counts = {int(r["y"]): int(r["count"]) for r in train.groupBy("y").count().collect()}
     pick = None
