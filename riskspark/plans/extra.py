@@ -15,9 +15,11 @@ from riskspark.plans.catalog import _PERIOD, AS_OF, E_COLS, LOOKBACK_DAYS, _allo
 from riskspark.plans.sqltext import big, r6, us, with_views
 from riskspark.session import scratch_path
 from riskspark.sources import io, views
+from riskspark.sources.tables import read_table, table_path
 from riskspark.streaming import scoring
 
 _TRAINED: dict = {}
+STREAM_FILES = 4  # micro-batches of the stream queries with several batches
 ISOLATION_TRIALS = 50  # of the registered isolation-forest search, as SURVEY M4 lists
 
 
@@ -26,8 +28,8 @@ def _scratch(spark, name: str) -> str:
 
 
 def trained(spark, sf_dir):
-    """M5 on view T, fitted once per session and data directory."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """M5 on view T, fitted once per session and state of its input files."""
+    key = (spark.sparkContext.applicationId, *(io.fingerprint(spark, table_path(sf_dir, t)) for t in ("orders", "customer", "nation")))
     if key not in _TRAINED:
         _TRAINED[key] = training.run_training(views.transactions(spark, sf_dir), optimize=True)
     return _TRAINED[key]
@@ -303,6 +305,106 @@ def st1_stream_scoring(spark, sf_dir):
     return spark.read.parquet(f"{out}/data").drop("batch_id")
 
 
+def _landed(spark, df, ts: str, name: str):
+    """``df`` as ``STREAM_FILES`` files, one after the other in the order of ``ts``, streamed a file a micro-batch; and the cuts."""
+    path = _scratch(spark, name)
+    lo, hi = df.agg(F.min(F.col(ts).cast("date")), F.max(F.col(ts).cast("date"))).first()
+    cuts = [lo + (hi - lo) * k / STREAM_FILES for k in range(1, STREAM_FILES)]
+    part = sum(((F.col(ts) >= F.lit(c).cast("timestamp_ntz")).cast("int") for c in cuts), F.lit(0))
+    for k in range(STREAM_FILES):
+        df.where(part == k).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _stream_part_sql(table: str, ts: str) -> str:
+    """The number of the micro-batch of a row, as ``_landed`` cuts them."""
+    lo, hi = f"(SELECT min(CAST({ts} AS DATE)) FROM {table})", f"(SELECT max(CAST({ts} AS DATE)) FROM {table})"
+    return " + ".join(f"CAST({ts} >= {lo} + CAST(floor(({hi} - {lo}) * {k} / {STREAM_FILES}.0) AS INTEGER) AS BIGINT)" for k in range(1, STREAM_FILES))
+
+
+@register("st1_keyed_state", with_views("E") + "SELECT TransactionID, AccountID, " + us("TransactionDate") + " AS TransactionDate, "
+          + us("PreviousTransactionDate") + " AS PreviousTransactionDate, " + _stream_part_sql("E", "TransactionDate") + " AS batch_id FROM E")
+def st1_keyed_state(spark, sf_dir):
+    """ST1's keyed state over several micro-batches: each event's previous time, carried across batches in hash buckets."""
+    out = _scratch(spark, "st1-keyed")
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id"])
+    scoring.score_keyed(_landed(spark, ev, "ts", "st1-keyed-landing"), lambda rows: rows.select(
+        F.col("event_id").cast("string").alias("TransactionID"), F.col("user_id").cast("string").alias("AccountID"),
+        F.col("ts").alias("TransactionDate"), F.col("_prev_ts").alias("PreviousTransactionDate")), out)
+    return spark.read.parquet(f"{out}/data")
+
+
+def _orders_as_transactions(spark, sf_dir):
+    """Streamed orders with their previous time as transactions of view T, without the label."""
+    customer = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"])
+    nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
+
+    def of(rows):
+        return rows.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(
+            F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).select(
+            F.col("o_orderkey").cast("string").alias("TransactionID"), F.col("o_custkey").cast("string").alias("AccountID"),
+            F.col("o_totalprice").cast("double").alias("TransactionAmount"), F.col("o_orderdate").alias("TransactionDate"),
+            F.col("_prev_ts").alias("PreviousTransactionDate"), F.col("c_acctbal").cast("double").alias("AccountBalance"),
+            F.col("c_mktsegment").alias("CustomerOccupation"), F.col("o_orderpriority").alias("Channel"), F.col("n_name").alias("Location"))
+    return of
+
+
+_ORDERS = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+def _stream_of_ensembles(spark, sf_dir, name, after_batch=None):
+    """Orders streamed through the newest saved ensemble; the first one saved is the trained one."""
+    base = _scratch(spark, name)
+    training.save(trained(spark, sf_dir), spark, base, "20240101_000000")
+    ensembles = scoring.Ensembles(spark, base)
+    stream = _landed(spark, read_table(spark, sf_dir, "orders", _ORDERS), "o_orderdate", f"{name}-landing")
+    scoring.score_ensemble_stream(stream, ensembles, f"{base}/out", _orders_as_transactions(spark, sf_dir), key="o_custkey", ts="o_orderdate",
+                                  tiebreak="o_orderkey", after_batch=None if after_batch is None else lambda epoch: after_batch(base, epoch))
+    return base, spark.read.parquet(f"{base}/out/data")
+
+
+def _against_batch(spark, sf_dir, streamed, ensemble):
+    """Differences of streamed scores to those of ``ensemble`` on view T at once."""
+    t = training.score_transactions(ensemble, views.transactions(spark, sf_dir)).select(
+        F.col("TransactionID").alias("id"), F.col("FraudScore").alias("s"), F.col("FraudPrediction").alias("p"))
+    return streamed.join(t, F.col("TransactionID") == F.col("id")).select(
+        "TransactionID", "config_version", F.col("batch_id").cast("long").alias("batch_id"),
+        F.abs(F.col("FraudScore") - F.col("s")).alias("score_difference"),
+        F.abs(F.col("FraudPrediction") - F.col("p")).cast("long").alias("prediction_difference"))
+
+
+_BATCH_OF_T = _stream_part_sql("T", "TransactionDate")
+
+
+@register("st1_ensemble_stream", with_views("T") + "SELECT TransactionID, '20240101_000000' AS config_version, " + _BATCH_OF_T
+          + " AS batch_id, CAST(0.0 AS DOUBLE) AS score_difference, CAST(0 AS BIGINT) AS prediction_difference FROM T")
+def st1_ensemble_stream(spark, sf_dir):
+    """ST1 with the trained ensemble, saved and loaded: orders streamed in several micro-batches get the scores that the
+    loaded ensemble gives view T at once."""
+    base, out = _stream_of_ensembles(spark, sf_dir, "st1-ensemble")
+    return _against_batch(spark, sf_dir, out, training.load(spark, base))
+
+
+@register("st4_ensemble_refresh", with_views("T", extra=[f"B AS (SELECT TransactionID, {_BATCH_OF_T} AS batch_id FROM T)"])
+          + "SELECT TransactionID, CASE WHEN batch_id < 2 THEN '20240101_000000' ELSE '20240102_000000' END AS config_version, batch_id, "
+          "CAST(0.0 AS DOUBLE) AS score_difference, CAST(0 AS BIGINT) AS prediction_difference FROM B")
+def st4_ensemble_refresh(spark, sf_dir):
+    """ST4: a second ensemble (other models, weights and threshold) is published while the stream runs, after its second
+    micro-batch; later batches are scored by it, without a restart."""
+    tr = trained(spark, sf_dir)
+    second = training.fit_models(tr.prepared, n_trees=20, seed=7)
+    second.weights, second.threshold = {"random_forest": 0.5, "xgboost": 0.3, "isolation_forest": 0.2}, 0.45
+
+    def publish(base, epoch):
+        if epoch == 1:
+            training.save(second, spark, base, "20240102_000000")
+
+    _, out = _stream_of_ensembles(spark, sf_dir, "st4-ensemble", publish)
+    first = out.where(F.col("config_version") == "20240101_000000")
+    rest = out.where(F.col("config_version") != "20240101_000000")
+    return _against_batch(spark, sf_dir, first, tr).unionByName(_against_batch(spark, sf_dir, rest, second))
+
+
 @register("st2_rolling_kpis", with_views("R", extra=[
     "RB AS (SELECT min(ln(1.0 + TransactionAmount)) AS lo, max(ln(1.0 + TransactionAmount)) AS hi FROM R)",
     "S0 AS (SELECT ts, value AS v, ln(1.0 + value) AS iso_raw, value / (value + 50.0) AS rf, value / (value + 100.0) AS xgb "

@@ -41,33 +41,51 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def fingerprint(spark: SparkSession, path: str) -> tuple:
+    """(path, bytes, newest change) of a file or folder: other input, other fingerprint."""
+    fs, p = _fs(spark, path)
+    files = [st for st in fs.listStatus(p) if not st.isDirectory()]
+    return path, sum(st.getLen() for st in files), max((st.getModificationTime() for st in files), default=0)
+
+
 def list_versions(spark: SparkSession, base: str) -> list[str]:
-    """Partition values of ``version=...`` directories (a directory listing, no scan)."""
-    fs, p = _fs(spark, base)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("version="):
-            out.append(name.split("=", 1)[1])
-    return sorted(out)
+    """Published versions under ``base``, oldest name first (a directory listing, no scan).
+
+    A version counts once its marker ``_versions/<version>`` is there, which is created after all its data; a version
+    that is being written, or whose writer failed, has none.
+    """
+    fs, p = _fs(spark, f"{base}/_versions")
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def publish(spark: SparkSession, base: str, version: str, write) -> None:
+    """Run ``write()``, which writes the data of ``version`` under ``base``, and then create its marker.
+
+    The marker of an older form of the version goes first, so readers fall back to the version before while it is
+    replaced. Creating the (empty) marker file is one atomic step on HDFS and on object stores.
+    """
+    if not version or "/" in version or version[0] in "._":
+        raise ValueError(f"not a version name: {version!r}")
+    fs, marker = _fs(spark, f"{base}/_versions/{version}")
+    fs.delete(marker, False)
+    write()
+    fs.create(marker, True).close()
 
 
 def write_versioned(df: DataFrame, base: str, version: str) -> None:
-    """IO7: one dataset version, partitioned by split. Other versions are untouched
-    (dynamic partition overwrite)."""
-    (
+    """IO7: one dataset version, partitioned by split, published when it is complete. Other versions are
+    untouched (dynamic partition overwrite)."""
+    publish(df.sparkSession, base, version, lambda: (
         df.withColumn("version", F.lit(version))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("version", "split")
         .parquet(base)
-    )
+    ))
 
 
 def read_latest(spark: SparkSession, base: str, split: str | None = None) -> DataFrame:
-    """IO8: newest version (max of the version names), partition-pruned."""
+    """IO8: newest published version (max of the version names), partition-pruned."""
     versions = list_versions(spark, base)
     if not versions:
         raise FileNotFoundError(f"no dataset versions under {base}")
@@ -122,7 +140,8 @@ def save_ensemble_config(spark: SparkSession, base: str, version: str, weights:
     """IO12: ensemble configuration row (weights, threshold, stored min-max bounds)."""
     lo, hi = iso_bounds or (None, None)
     row = [(version, {k: float(v) for k, v in weights.items()}, float(threshold), lo, hi, model_path)]
-    spark.createDataFrame(row, ENSEMBLE_CONFIG).write.mode("append").partitionBy("version").parquet(base)
+    publish(spark, base, version, lambda: spark.createDataFrame(row, ENSEMBLE_CONFIG).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("version").parquet(base))
 
 
 def load_latest_config(spark: SparkSession, base: str) -> dict:

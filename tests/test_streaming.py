@@ -105,3 +105,112 @@ def test_rolling_kpis_drop_rows_behind_watermark(spark):
     assert at(9, 0) not in starts                  # the 09:00 row arrived behind the watermark
     assert at(10, 0) in starts and at(10, 25) in starts
     assert len(starts) == len(rows)                # append mode: each window once
+
+
+def _events_in_files(spark, n=3):
+    """The events as ``n`` files by time, one a micro-batch, and the landing folder."""
+    import tempfile
+    import time
+
+    ev = spark.read.parquet(f"{SMALL}/events.parquet")
+    land = tempfile.mkdtemp(prefix="keyed-")
+    ranked = ev.orderBy("ts", "event_id").toPandas()
+    for k in range(n):
+        part = ranked.iloc[len(ranked) * k // n: len(ranked) * (k + 1) // n]
+        spark.createDataFrame(part, ev.schema).coalesce(1).write.mode("append").parquet(land)
+        time.sleep(0.05)
+    return ev, spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(land)
+
+
+def test_keyed_state_over_micro_batches(spark):
+    """Previous times equal W1 over all events; a batch rewrites the buckets of its accounts only; old state goes."""
+    import tempfile
+
+    from riskspark.sources.previous import previous_in_order
+    from riskspark.streaming import scoring
+    from riskspark.streaming.state import BucketedState
+
+    ev, stream = _events_in_files(spark, 4)
+    base = tempfile.mkdtemp(prefix="keyed-out-")
+    written = {}
+
+    def after(epoch):
+        written[epoch] = {int(b["bucket"]): b["count"] for b in spark.read.parquet(f"{base}/state/epoch={epoch}").groupBy("bucket").count().collect()}
+
+    # a few accounts: their buckets alone may be rewritten
+    few = stream.where("user_id % 50 = 0")
+    scoring.score_keyed(few, lambda r: r.select("event_id", "_prev_ts"), base, buckets=16, after_batch=after)
+    got = spark.read.parquet(f"{base}/data")
+    assert got.select("batch_id").distinct().count() == 4
+    want = previous_in_order(ev.where("user_id % 50 = 0"), "user_id", "ts", "event_id", "_prev_ts").select("event_id", "_prev_ts")
+    assert got.select("event_id", "_prev_ts").exceptAll(want).count() == 0 and got.count() == want.count()
+    users = ev.where("user_id % 50 = 0").select("user_id")
+    state = BucketedState(spark, f"{base}/state", "user_id", 16)
+    touched = set(state.buckets_of(users))
+    assert all(set(w) <= touched for w in written.values()) and len(touched) < 16
+    manifest = state.manifest(3)
+    last = state.read(3, sorted(manifest), scoring.STATE_SCHEMA)
+    assert last.count() == users.distinct().count()
+    # only what the last two manifests name is left
+    named = {(e, b) for k in (2, 3) for b, e in state.manifest(k).items()}
+    kept = {(e, int(b.name.split("=")[1])) for e in state._epochs(f"{base}/state")
+            for b in __import__("pathlib").Path(f"{base}/state/epoch={e}").glob("bucket=*")}
+    assert kept == named
+
+
+def test_failed_epoch_is_replayed_from_the_state_before(spark):
+    import tempfile
+
+    from riskspark.streaming.state import BucketedState
+
+    base = tempfile.mkdtemp(prefix="state-")
+    st = BucketedState(spark, base, "k", 4)
+    rows = lambda v: spark.createDataFrame([(i, v, 0) for i in range(8)] + [(None, v, 0)], "k long, last_ts int, last_id int")
+    every = st.buckets_of(rows(0))
+    st.write(0, rows(0), every)
+    # epoch 1 writes its data, but dies before its manifest is complete
+    rows(1).withColumn("bucket", st.bucket()).write.partitionBy("bucket").parquet(f"{base}/epoch=1")
+    assert {r.last_ts for r in st.read(1, every, rows(0).schema).collect()} == {0}
+    st.write(1, rows(2), every)
+    assert [r.last_ts for r in st.read(1, every, rows(0).schema).collect()] == [2] * 9
+    assert st.read(0, every, rows(0).schema).count() == 9  # a replay of epoch 1 still finds epoch 0
+
+
+def test_ensembles_load_only_new_versions(spark, monkeypatch):
+    import tempfile
+
+    from riskspark.plans import training
+    from riskspark.sources import io
+    from riskspark.streaming import scoring
+
+    base = tempfile.mkdtemp(prefix="ens-")
+    monkeypatch.setattr(training, "load", lambda s, b: object())
+    io.save_ensemble_config(spark, f"{base}/ensemble", "20240101_000000", {"xgboost": 1.0}, 0.5, (0.0, 1.0))
+    e = scoring.Ensembles(spark, base)
+    first = e.newest()
+    assert e.newest() == first and e.loads == 1
+    io.save_ensemble_config(spark, f"{base}/ensemble", "20240102_000000", {"xgboost": 1.0}, 0.4, (0.0, 1.0))
+    assert e.newest()[0] == "20240102_000000" and e.loads == 2
+
+
+def test_half_written_versions_are_never_read(spark):
+    import tempfile
+
+    import pytest
+    from pyspark.sql import functions as F
+
+    from riskspark.sources import io
+
+    base = tempfile.mkdtemp(prefix="versions-")
+    d = spark.range(10).withColumn("split", F.lit("train"))
+    io.write_versioned(d, base, "20240101_000000")
+    # a writer that has put some files, but not finished
+    d.write.partitionBy("split").parquet(f"{base}/version=20240103_000000")
+    assert io.list_versions(spark, base) == ["20240101_000000"] and io.read_latest(spark, base).count() == 10
+    with pytest.raises(Exception):
+        io.write_versioned(d.withColumn("x", F.raise_error(F.lit("no"))), base, "20240102_000000")
+    assert io.list_versions(spark, base) == ["20240101_000000"]
+    io.write_versioned(d.limit(3), base, "20240103_000000")
+    assert io.read_latest(spark, base).count() == 3
+    with pytest.raises(ValueError):
+        io.write_versioned(d, base, "_x")
