@@ -4,19 +4,17 @@ nearest minority neighbours (the SMOTE rule), as Spark jobs with exact neighbour
 Exact k-NN without comparing all pairs:
 
 1. Identical minority vectors are collapsed first (one representative with a count).
-2. Vectors are projected on the first principal component (MLlib ``PCA``, a d x d
-   covariance aggregate). For any two points |p(x) - p(y)| <= ||x - y||.
-3. Points are ranked by projection (skew-safe prefix sum) and cut into cells of
-   ``cell_size`` consecutive ranks. Pass 1 compares each point with the points of its
-   own and the two adjacent cells (at most 3 x cell_size candidates each, a linear
-   number of pairs) and takes the k-th smallest distance D as an upper bound of the
-   true k-th neighbour distance.
-4. Every true neighbour lies in the projection band [p - D, p + D]. If that band is
-   strictly inside the projection range of the candidates, pass 1 already saw every
-   point that could be a neighbour: the answer is exact. Only the remaining points go
-   to pass 2, a band join over a coarse projection grid, pruned by the same bound.
-
-No candidate cap is applied: pass 2 resolves every point pass 1 cannot prove.
+2. The vectors are split into a tree of boxes (``box_tree``): a node of more than ``leaf_size``
+   vectors is cut at quantiles and the middle of its widest dimension into up to ``FAN`` children, level by level for all
+   nodes at once, until every leaf is small. However many vectors there are, leaves stay small and
+   the tree just gets deeper; it is a table, never broadcast whole or collected.
+3. Pass 1 compares each vector with its own leaf and takes the k-th smallest distance D as an
+   upper bound of the true k-th neighbour distance (in leaves of up to k vectors: the distance to the far
+   corner of the smallest box around it with more than k vectors).
+4. Pass 2 walks down the tree, a join a level: a vector goes on to the children whose box is at most D
+   away. The leaves it reaches hold all its neighbours; it is compared with their vectors.
+
+No candidate cap is applied. Vectors without structure in many dimensions reach most leaves, as in any exact search.
 Synthetic rows: each minority row gets floor(need / n_min) samples, the first
 need mod n_min rows in hash order one more (exactly ``need`` in total); sample j picks
 its neighbour and its gap from ``xxhash64(seed, key, j)``.
@@ -24,17 +22,12 @@ its neighbour and its gap from ``xxhash64(seed, key, j)``.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskspark.session import ensure_checkpoint_dir
-
-from riskspark.operators.cumulative import ordered_cumsum
 from riskspark.operators.split import rank_by_hash
+from riskspark.session import ensure_checkpoint_dir
 
 DEFAULT_K = 5
 
@@ -43,9 +36,16 @@ def squared_distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda u, v: (u - v) * (u - v)), F.lit(0.0), lambda acc, t: acc + t)
 
 
-def _dot(a: Column, w: list[float]) -> Column:
-    return F.aggregate(F.zip_with(a, F.array(*[F.lit(float(x)) for x in w]), lambda u, v: u * v), F.lit(0.0),
-                       lambda acc, t: acc + t)
+def box_distance(x: Column, lo: Column, hi: Column) -> Column:
+    """Squared distance from a point to a box (0 inside)."""
+    out = F.zip_with(x, F.arrays_zip(lo.alias("lo"), hi.alias("hi")), lambda v, b: F.greatest(b["lo"] - v, v - b["hi"], F.lit(0.0)))
+    return F.aggregate(out, F.lit(0.0), lambda acc, t: acc + t * t)
+
+
+def far_corner(x: Column, lo: Column, hi: Column) -> Column:
+    """Squared distance from a point to the farthest point of a box."""
+    out = F.zip_with(x, F.arrays_zip(lo.alias("lo"), hi.alias("hi")), lambda v, b: F.greatest(F.abs(v - b["lo"]), F.abs(b["hi"] - v)))
+    return F.aggregate(out, F.lit(0.0), lambda acc, t: acc + t * t)
 
 
 def _top_k(pairs: DataFrame, k: int, spread: int = 64) -> DataFrame:
@@ -60,151 +60,84 @@ def _top_k(pairs: DataFrame, k: int, spread: int = 64) -> DataFrame:
         F.col("neighbor_rank") <= k)
 
 
-def _candidate_clusters_udf(spark, centers, radii):
-    """pandas UDF: ids of the clusters that can hold a point within distance D of x
-    (triangle inequality: ||x - c|| - r <= D), computed for a whole Arrow batch."""
-    bc = spark.sparkContext.broadcast((np.asarray(centers, dtype=float), np.asarray(radii, dtype=float)))
-
-    @F.pandas_udf("array<int>")
-    def candidates(xs: pd.Series, ds: pd.Series) -> pd.Series:
-        c, r = bc.value
-        if len(xs) == 0:
-            return pd.Series([], dtype=object)
-        X = np.stack(xs.to_numpy())
-        d2 = (X * X).sum(1)[:, None] + (c * c).sum(1)[None, :] - 2.0 * X @ c.T
-        dist = np.sqrt(np.maximum(d2, 0.0))
-        lim = ds.fillna(np.inf).to_numpy()[:, None]
-        # a small relative slack keeps the test conservative under rounding
-        ok = dist - r[None, :] <= lim * (1 + 1e-9) + 1e-12
-        return pd.Series([np.flatnonzero(row).astype("int32").tolist() for row in ok])
-
-    return candidates
-
-
-def _center_distance_udf(spark, centers):
-    """pandas UDF: distance of x to the centre of its own cluster (broadcast centres)."""
-    bc = spark.sparkContext.broadcast(np.asarray(centers, dtype=float))
-
-    @F.pandas_udf("double")
-    def to_center(xs: pd.Series, cl: pd.Series) -> pd.Series:
-        c = bc.value
-        if len(xs) == 0:
-            return pd.Series([], dtype=float)
-        X = np.stack(xs.to_numpy())
-        return pd.Series(np.sqrt(((X - c[cl.to_numpy().astype(int)]) ** 2).sum(1)))
-
-    return to_center
+FAN = 16
+LEAF_SIZE = 64
+
+
+def _boxes(points: DataFrame, dim: int) -> DataFrame:
+    """(node, n, lo, hi): the vectors and the box of each node."""
+    x = [F.col("x")[i] for i in range(dim)]
+    return points.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.array(*[F.min(c) for c in x]).alias("lo"), F.array(*[F.max(c) for c in x]).alias("hi"))
+
+
+def box_tree(points: DataFrame, k: int, leaf_size: int = LEAF_SIZE, fan: int = FAN):
+    """(leaves, nodes): ``points`` (rep, x; distinct vectors) with the ``node`` of their leaf, and a list of the tree's
+    levels (parent, node, leaf, lo, hi, big_lo, big_hi); ``big`` is the smallest box at or above the node with over ``k`` vectors."""
+    spark = points.sparkSession
+    dim = len(points.first()["x"])
+    cur = points.withColumn("node", F.lit(0).cast("long"))
+    done, levels = None, []
+    parents = spark.createDataFrame([], "node long, parent long, p_lo array<double>, p_hi array<double>")
+    while True:
+        boxes = _boxes(cur, dim).join(parents, "node", "left")
+        over = F.col("n") > k
+        level = boxes.select("parent", "node", (F.col("n") <= leaf_size).alias("leaf"), "lo", "hi",
+                             F.when(over, F.col("lo")).otherwise(F.coalesce("p_lo", "lo")).alias("big_lo"),
+                             F.when(over, F.col("hi")).otherwise(F.coalesce("p_hi", "hi")).alias("big_hi")).checkpoint(eager=True)
+        levels.append(level)
+        at_leaf = cur.join(level.where("leaf").select("node"), "node", "left_semi")
+        done = at_leaf if done is None else done.unionByName(at_leaf)
+        if not level.where("NOT leaf").limit(1).count():
+            return done.select("rep", "x", "node"), levels
+        spread = F.zip_with("hi", "lo", lambda a, b: a - b)
+        wide = level.where("NOT leaf").withColumn("axis", F.array_position(spread, F.array_max(spread)) - 1).withColumn(
+            "middle", F.get("lo", F.col("axis").cast("int")) / 2 + F.get("hi", F.col("axis").cast("int")) / 2).select(
+            "node", "axis", "middle", "big_lo", "big_hi")
+        inner = cur.join(wide, "node").withColumn("v", F.get("x", F.col("axis").cast("int")))
+        cuts = inner.groupBy("node").agg(F.percentile_approx("v", [i / (fan - 1) for i in range(1, fan - 1)], 1000).alias("q"))
+        # the middle keeps a node whose quantiles are all its largest value from staying whole
+        inner = inner.join(cuts, "node").withColumn("below", F.size(F.filter(F.array_distinct(F.concat("q", F.array("middle"))), lambda c: c < F.col("v"))))
+        child = F.xxhash64("node", "below", F.lit(len(levels)))
+        nxt = inner.select("rep", "x", child.alias("node"), F.col("node").alias("parent"), "big_lo", "big_hi").checkpoint(eager=True)
+        parents = nxt.groupBy("node").agg(F.first("parent").alias("parent"), F.first("big_lo").alias("p_lo"), F.first("big_hi").alias("p_hi"))
+        cur = nxt.select("rep", "x", "node")
 
 
 def minority_neighbors(df: DataFrame, key: str, x_col: str, label: str = "Fraud", minority: int = 1,
-                       k: int = DEFAULT_K, cell_size: int | None = None, cluster_size: int = 256,
-                       max_clusters: int = 4096, seed: int = 42) -> DataFrame:
+                       k: int = DEFAULT_K, leaf_size: int = LEAF_SIZE) -> DataFrame:
     """(key, neighbor_rank, neighbor, d2) for every distinct minority vector; ``x_col`` is
-    an array<double> column. Ties in distance go to the smaller neighbour key.
-
-    Vectors are grouped by MLlib k-means (about ``cluster_size`` per cluster, at most
-    ``max_clusters`` clusters: the centres are broadcast). Pass 1 compares each point with
-    the points of its own and the two adjacent projection-rank cells inside its cluster
-    (at most 3 x cell_size candidates) and takes the k-th distance D as an upper bound.
-    A point is settled when no other cluster can hold a point within D
-    (||x - c|| - radius > D) and its projection band [p - D, p + D] lies strictly inside
-    the candidates' projection range. Other points are compared, in pass 2, with every
-    point of every cluster that can hold a neighbour and whose projection lies in the band.
-    """
-    from pyspark.ml.clustering import KMeans
-
-    m = cell_size or 4 * k
+    an array<double> column. Ties in distance go to the smaller neighbour key."""
     spark = df.sparkSession
-    mino = df.where(F.col(label) == minority).select(F.col(key).cast("string").alias("_k"), F.col(x_col).alias("x"))
-    dv = mino.groupBy("x").agg(F.min("_k").alias("rep"), F.count(F.lit(1)).alias("mult"))
     ensure_checkpoint_dir(spark)
-    dv = dv.checkpoint(eager=True)
-    n = dv.count()
-    if n < 2:  # fewer than two distinct vectors: nobody has a neighbour
+    mino = df.where(F.col(label) == minority).select(F.col(key).cast("string").alias("_k"), F.col(x_col).alias("x"))
+    dv = mino.groupBy("x").agg(F.min("_k").alias("rep")).select("rep", "x").checkpoint(eager=True)
+    if len(dv.take(2)) < 2:  # fewer than two distinct vectors: nobody has a neighbour
         return spark.createDataFrame([], f"`{key}` string, neighbor_rank int, neighbor string, d2 double")
-    vec = dv.select("rep", "x", array_to_vector("x").alias("_v"))
-    pca = PCA(k=1, inputCol="_v", outputCol="_pc").fit(vec)
-    direction = [float(v) for v in pca.pc.toArray()[:, 0]]
-    n_clusters = max(1, min(max_clusters, -(-n // cluster_size)))
-    if n_clusters > 1:
-        km = KMeans(k=n_clusters, seed=seed, maxIter=10, featuresCol="_v", predictionCol="cluster").fit(vec)
-        centers = [list(map(float, c)) for c in km.clusterCenters()]
-        assigned = km.transform(vec)
-    else:
-        dim = len(direction)
-        sums = dv.select(F.posexplode("x").alias("i", "v")).groupBy("i").agg(F.avg("v").alias("v")).collect()
-        center = [0.0] * dim
-        for r in sums:
-            center[r["i"]] = float(r["v"])
-        centers = [center]
-        assigned = vec.withColumn("cluster", F.lit(0))
-    to_center = _center_distance_udf(spark, centers)
-    pts = assigned.select(
-        "rep", "x", F.col("cluster").cast("int").alias("cluster"), _dot(F.col("x"), direction).alias("p"),
-    ).withColumn("_r", to_center(F.col("x"), F.col("cluster")))
-    radii_rows = pts.groupBy("cluster").agg(F.max("_r").alias("r")).collect()
-    radii = [0.0] * len(centers)
-    for row in radii_rows:
-        radii[row["cluster"]] = float(row["r"])
-    pts = pts.drop("_r")
-
-    # rank by projection inside each cluster: prefix sums over distinct (cluster, p)
-    per_p = pts.groupBy("cluster", "p").agg(F.count(F.lit(1)).alias("c"))
-    starts = ordered_cumsum(per_p, "p", ["c"], ["cluster"]).select("cluster", "p", "c_before")
-    ranked = pts.join(starts, ["cluster", "p"]).withColumn(
-        "rank", F.col("c_before") + F.row_number().over(Window.partitionBy("cluster", "p").orderBy("rep")) - 1
-    ).withColumn("cell", F.floor(F.col("rank") / F.lit(m))).drop("c_before", "rank")
-    ranked = ranked.checkpoint(eager=True)
-
-    q = ranked.select(F.col("rep").alias("q"), F.col("x").alias("qx"), F.col("p").alias("qp"),
-                      "cluster", F.col("cell").alias("qcell"))
-    cand = ranked.select(F.col("rep").alias("y"), F.col("x").alias("yx"), F.col("p").alias("yp"), "cluster",
-                         F.explode(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1)).alias("qcell"))
-    pairs1 = q.join(cand, ["cluster", "qcell"]).where(F.col("q") != F.col("y")).withColumn(
-        "d2", squared_distance(F.col("qx"), F.col("yx")))
-    top1 = _top_k(pairs1, k)
-    span = pairs1.groupBy("q").agg(F.min("yp").alias("lo"), F.max("yp").alias("hi"))
-    kth = top1.where(F.col("neighbor_rank") == k).select("q", F.sqrt("d2").alias("D"))
-    cands = _candidate_clusters_udf(spark, centers, radii)
-    bounds = (
-        q.select("q", "qx", "qp", "cluster").join(span, "q", "left").join(kth, "q", "left")
-        .withColumn("clusters", cands(F.col("qx"), F.col("D")))
-    )
-    inside = (F.col("qp") - F.col("D") > F.col("lo")) & (F.col("qp") + F.col("D") < F.col("hi"))
-    only_own = (F.size("clusters") == 1) & (F.element_at("clusters", 1) == F.col("cluster"))
-    bounds = bounds.withColumn("resolved", F.coalesce(inside & only_own, F.lit(False))).drop("qx")
-    bounds = bounds.checkpoint(eager=True)
-
-    exact1 = top1.join(bounds.where("resolved").select("q"), "q")
-    todo = bounds.where(~F.col("resolved"))
-    # points with fewer than k candidates search the whole projection range
-    full = ranked.agg(F.max("p") - F.min("p")).scalar()
-    todo = todo.withColumn("D", F.coalesce(F.col("D"), full + F.lit(1.0)))
-    # a band of width 2D is searched on a grid of cells at least that wide (a power of two), so a
-    # point meets two or three cells whatever its D is; points join every level in use (at most 42)
-    top_level = F.ceil(F.log2(F.greatest(F.lit(2.0) * (full + F.lit(1.0)), F.lit(1e-9)))).cast("int")
-    level = F.least(top_level, F.greatest(F.coalesce(F.ceil(F.log2(F.lit(2.0) * F.col("D"))).cast("int"), top_level - 41), top_level - 41))
-    todo = todo.withColumn("level", level)
-    levels = sorted(r["level"] for r in todo.select("level").distinct().collect())
-    width = F.pow(F.lit(2.0), F.col("level"))
-    qcells = (
-        todo.join(q.select("q", "qx"), "q")
-        .select("q", "qx", "qp", "D", "level", F.explode("clusters").alias("cluster"))
-        .withColumn("g", F.explode(F.sequence(F.floor((F.col("qp") - F.col("D")) / width),
-                                              F.floor((F.col("qp") + F.col("D")) / width))))
-    )
-    ycells = ranked.select(F.col("rep").alias("y"), F.col("x").alias("yx"), F.col("p").alias("yp"), "cluster",
-                           F.explode(F.array(*[F.lit(v) for v in levels]) if levels else F.expr("cast(array() as array<int>)")).alias("level")) \
-        .withColumn("g", F.floor(F.col("yp") / width))
-    pairs2 = (
-        qcells.join(ycells, ["cluster", "level", "g"])
-        .where((F.col("q") != F.col("y")) & (F.abs(F.col("yp") - F.col("qp")) <= F.col("D")))
-        .withColumn("d2", squared_distance(F.col("qx"), F.col("yx")))
-    )
-    exact2 = _top_k(pairs2, k)
-    cols = ["q", "neighbor_rank", "y", "d2"]
-    out = exact1.select(*cols).unionByName(exact2.select(*cols))
-    return out.select(F.col("q").alias(key), "neighbor_rank", F.col("y").alias("neighbor"), "d2")
+    points, levels = box_tree(dv, k, max(leaf_size, k + 1))
+    points = points.checkpoint(eager=True)
+    q = points.select(F.col("rep").alias("q"), F.col("x").alias("qx"), "node")
+    y = points.select(F.col("rep").alias("y"), F.col("x").alias("yx"), "node")
+    pairs = q.join(y, "node").where(F.col("q") != F.col("y")).withColumn("d2", squared_distance(F.col("qx"), F.col("yx")))
+    kth = pairs.groupBy("q").agg(F.sort_array(F.collect_list("d2")).alias("ds")).where(F.size("ds") >= k).select(
+        "q", F.col("ds")[k - 1].alias("kth"))  # a leaf is small, so is the list
+    leaf = levels[0].where("leaf")
+    for level in levels[1:]:
+        leaf = leaf.unionByName(level.where("leaf"))
+    bound = q.join(leaf.select("node", "big_lo", "big_hi"), "node").join(kth, "q", "left").select(
+        "q", "qx", F.coalesce("kth", far_corner(F.col("qx"), F.col("big_lo"), F.col("big_hi"))).alias("bound"))
+    # a small relative slack keeps the test conservative under rounding
+    at = bound.withColumn("bound", F.col("bound") * (1 + 1e-9) + 1e-300).withColumn("node", F.lit(0).cast("long")).checkpoint(eager=True)
+    reached = at if levels[0].where("leaf").limit(1).count() else None
+    for level in levels[1:]:
+        near = at.withColumnRenamed("node", "parent").join(level, "parent").where(
+            box_distance(F.col("qx"), F.col("lo"), F.col("hi")) <= F.col("bound"))
+        near = near.select("q", "qx", "bound", "node", "leaf").checkpoint(eager=True)
+        ends = near.where("leaf").drop("leaf")
+        reached = ends if reached is None else reached.unionByName(ends)
+        at = near.where("NOT leaf").drop("leaf")
+    found = reached.join(y, "node").where(F.col("q") != F.col("y")).withColumn(
+        "d2", squared_distance(F.col("qx"), F.col("yx"))).where(F.col("d2") <= F.col("bound"))
+    return _top_k(found, k).select(F.col("q").alias(key), "neighbor_rank", F.col("y").alias("neighbor"), "d2")
 
 
 def _uniform(seed: int, key: Column, j: Column) -> Column:
