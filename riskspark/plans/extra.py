@@ -260,6 +260,23 @@ def io12_ensemble_roundtrip(spark, sf_dir):
         F.abs(F.col("FraudPrediction") - F.col("FraudPrediction_b")).cast("long").alias("prediction_difference"))
 
 
+@register("io12_pipeline_roundtrip", with_views("T") + "SELECT TransactionID, CAST(0.0 AS DOUBLE) AS score_difference, "
+          "CAST(0 AS BIGINT) AS prediction_difference FROM T")
+def io12_pipeline_roundtrip(spark, sf_dir):
+    """IO12, X5-X7: the ensemble as one MLlib PipelineModel, saved and loaded, on all rows of raw T against the plain path."""
+    from pyspark.ml import PipelineModel
+
+    tr = trained(spark, sf_dir)
+    path = _scratch(spark, "pipeline-model")
+    training.as_pipeline(tr).write().overwrite().save(path)
+    t = views.transactions(spark, sf_dir)
+    a = training.score_transactions(tr, t).select("TransactionID", "FraudScore", "FraudPrediction")
+    b = PipelineModel.load(path).transform(t).select(F.col("TransactionID").alias("id"), F.col("FraudScore").alias("s"), F.col("FraudPrediction").alias("p"))
+    return a.join(b, F.col("TransactionID") == F.col("id")).select(
+        "TransactionID", F.abs(F.col("FraudScore") - F.col("s")).alias("score_difference"),
+        F.abs(F.col("FraudPrediction") - F.col("p")).cast("long").alias("prediction_difference"))
+
+
 @register("h2_monitoring_report")
 def h2_monitoring_report(spark, sf_dir):
     """H2 + IO11: report over recent predictions, written as JSON and read back."""

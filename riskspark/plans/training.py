@@ -139,6 +139,18 @@ def evaluate_ensemble(tr: Trained, split_name: str = "test") -> DataFrame:
     return metrics.performance_metrics(d, tr.prepared.label, "FraudPrediction", "FraudScore")
 
 
+def as_pipeline(tr: Trained):
+    """The ensemble as one MLlib ``PipelineModel`` over raw transactions: features, preprocessing, the three models and
+    their fusion. ``PipelineModel.save`` and ``load`` keep all of it."""
+    from pyspark.ml import PipelineModel
+
+    from riskspark.operators import stages
+
+    featurizer = stages.TransactionFeaturizerModel()._with(tr.prepared.feature_model.state())
+    return PipelineModel([featurizer, stages.TransactionPreprocessorModel.of(tr.prepared.preprocessor), tr.forest, tr.boosted,
+                          stages.IsolationForestClassifierModel.of(tr.iforest), stages.ScoreFusion.of(tr.weights, tr.threshold, tr.iso_bounds)])
+
+
 def save(tr: Trained, spark: SparkSession, base: str, version: str) -> str:
     """IO12: the whole ensemble under ``base``: three models, the fitted feature statistics and
     preprocessor, and the configuration row."""
@@ -150,7 +162,8 @@ def save(tr: Trained, spark: SparkSession, base: str, version: str) -> str:
     tr.iforest.save(spark, f"{path}/isolation_forest")
     io.save_state(spark, f"{path}/pipeline", {
         "key": tr.prepared.key, "label": tr.prepared.label,
-        "features": tr.prepared.feature_model.state(), "preprocessor": tr.prepared.preprocessor.state()})
+        "features": tr.prepared.feature_model.state()})
+    tr.prepared.preprocessor.save(f"{path}/preprocessor")
     io.save_ensemble_config(spark, f"{base}/ensemble", version, tr.weights, tr.threshold, tr.iso_bounds, path)
     return path
 
@@ -165,7 +178,7 @@ def load(spark: SparkSession, base: str) -> Trained:
     path = cfg["model_path"]
     state = io.load_state(spark, f"{path}/pipeline")
     prepared = Prepared(None, features.TransactionFeaturesModel.from_state(state["features"]),
-                        transformers.PreprocessorModel.from_state(state["preprocessor"]), state["key"], state["label"])
+                        transformers.PreprocessorModel.load(spark, f"{path}/preprocessor"), state["key"], state["label"])
     return Trained(prepared, RandomForestClassificationModel.load(f"{path}/random_forest"),
                    GBTClassificationModel.load(f"{path}/xgboost"),
                    IsolationForestModel.load(spark, f"{path}/isolation_forest"),
