@@ -7,11 +7,10 @@ here give the same exact answers with bounded per-task work:
 
 * input is first pre-aggregated by its order key (``groupBy(value).count()``), so a
   value held by a third of all rows is one row after map-side combine;
-* the order key is cut into ``buckets`` ranges at approximate quantiles
-  (``percentile_approx``; the cut points only balance work, they never change the
-  answer), a row's range is found by a binary search over the cut array;
-* per-range totals (at most groups x buckets rows, a proven bound) get a prefix sum
-  and are broadcast back; inside each range a window adds the local prefix.
+* rows are range-sorted by (group, order key) into ranges of about ``ROWS_PER_BUCKET`` rows; their
+  number follows the size of the table, and they only balance work, they never change the answer;
+* per-range totals (at most groups + ranges rows) get a prefix sum and are joined back, and
+  inside each range a window adds the local prefix.
 """
 
 from __future__ import annotations
@@ -21,12 +20,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskspark.functions.nulls import clean_double
 from riskspark.session import ensure_checkpoint_dir
 
 ROWS_PER_BUCKET = 2_000_000  # rows one window task may hold
-MAX_BUCKETS = 4096
 
 
 def bucket_of(value: Column, cuts: Column, n_cuts: int, field: str | None = None) -> Column:
@@ -72,8 +71,6 @@ def ordered_cumsum(
     descending: bool = False,
     buckets: int | None = None,
     rows_per_bucket: int = ROWS_PER_BUCKET,
-    max_buckets: int = MAX_BUCKETS,
-    accuracy: int = 10000,
     materialize: bool = True,
 ) -> DataFrame:
     """Add ``<c>_before`` (sum over rows strictly earlier in order) and ``<c>_upto``
@@ -81,14 +78,13 @@ def ordered_cumsum(
 
     ``df`` must hold at most one row per (group, order value), i.e. be pre-aggregated;
     then the row frame equals the range frame. ``order_col`` must be numeric.
-    ``group_cols`` must have a small number of distinct values (features, days, grid
-    points): their cut arrays and range totals are broadcast.
+    Groups may be many.
 
     ``materialize`` checkpoints ``df`` (an aggregate, far smaller than its input) into
     the shared checkpoint folder, so the passes below read it instead of recomputing
     the scans and joins behind it. Unless ``buckets`` is given, the number of ranges is
     sized from the largest group: a group of at most ``rows_per_bucket`` rows is one
-    window partition, a larger one is cut into about size / rows_per_bucket ranges.
+    window partition; beyond, all rows are cut into about rows / rows_per_bucket ranges.
     """
     if materialize:
         ensure_checkpoint_dir(df.sparkSession)
@@ -96,9 +92,11 @@ def ordered_cumsum(
     user_groups = list(group_cols)
     if buckets is None:
         sizes = df.groupBy(*user_groups).count().agg(F.max("count")).first()[0] or 0
-        buckets = max(1, min(max_buckets, math.ceil(sizes / rows_per_bucket)))
-    key = -F.col(order_col) if descending else F.col(order_col)
-    df = df.withColumn("_ok", key.cast("double"))
+        if sizes > rows_per_bucket:
+            buckets = math.ceil((df.count() if user_groups else sizes) / rows_per_bucket)
+        else:
+            buckets = 1
+    df = df.withColumn("_ok", _order_key(df, order_col, descending))
     if buckets <= 1:
         w_one = Window.partitionBy(*user_groups).orderBy("_ok").rowsBetween(Window.unboundedPreceding, -1)
         out = df
@@ -106,39 +104,32 @@ def ordered_cumsum(
             out = out.withColumn(f"{c}_before", F.coalesce(F.sum(c).over(w_one), F.lit(0)))
             out = out.withColumn(f"{c}_upto", F.col(f"{c}_before") + F.col(c))
         return out.drop("_ok")
-    # Without groups a constant key stands in for the range totals (at most buckets rows).
-    group_cols = user_groups or ["_g"]
-    if not user_groups:
-        df = df.withColumn("_g", F.lit(0))
-    n_cuts = buckets - 1
-    pcts = [i / buckets for i in range(1, buckets)]
-    if user_groups:
-        # one cut array per group (groups x buckets doubles), joined on the group keys
-        cuts = df.groupBy(*group_cols).agg(F.percentile_approx("_ok", pcts, accuracy).alias("_cuts"))
-        bucketed = (
-            df.join(F.broadcast(cuts), group_cols, "left")
-            .withColumn("_b", bucket_of(F.col("_ok"), F.col("_cuts"), n_cuts))
-            .drop("_cuts")
-        )
-    else:
-        # a single cut array (at most MAX_BUCKETS - 1 doubles) is collected and bucketized
-        found = df.agg(F.percentile_approx("_ok", pcts, accuracy)).first()[0] or []
-        bucketed = bucketize(df, "_ok", found, "_b")
-
-    totals = bucketed.groupBy(*group_cols, "_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
-    w_tot = Window.partitionBy(*group_cols).orderBy("_b").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    base = totals.select(
-        *group_cols, "_b", *[F.coalesce(F.sum(f"_t_{c}").over(w_tot), F.lit(0)).alias(f"_base_{c}") for c in sum_cols]
-    )
-    w_in = Window.partitionBy(*group_cols, "_b").orderBy("_ok").rowsBetween(Window.unboundedPreceding, -1)
-    out = bucketed.join(F.broadcast(base), [*group_cols, "_b"], "inner")
+    ensure_checkpoint_dir(df.sparkSession)
+    # ranges are the partitions of a range sort by (group, order); written, so that both passes see the same ones
+    placed = df.repartitionByRange(buckets, *user_groups, "_ok").withColumn("_b", F.spark_partition_id()).checkpoint(eager=True)
+    totals = placed.groupBy(*user_groups, "_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
+    # a group's totals: one row a range it has rows in, so groups + ranges rows at most in all
+    w_tot = Window.partitionBy(*user_groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    base = totals.select(*[F.col(g).alias(f"_k{i}") for i, g in enumerate(user_groups)], F.col("_b").alias("_kb"),
+                         *[F.coalesce(F.sum(f"_t_{c}").over(w_tot), F.lit(0)).alias(f"_base_{c}") for c in sum_cols])
+    same = F.col("_b") == F.col("_kb")
+    for i, g in enumerate(user_groups):
+        same = same & F.col(g).eqNullSafe(F.col(f"_k{i}"))
+    w_in = Window.partitionBy(*user_groups, "_b").orderBy("_ok").rowsBetween(Window.unboundedPreceding, -1)
+    out = placed.join(base, same)
     for c in sum_cols:
         out = out.withColumn(f"{c}_before", F.col(f"_base_{c}") + F.coalesce(F.sum(c).over(w_in), F.lit(0)))
         out = out.withColumn(f"{c}_upto", F.col(f"{c}_before") + F.col(c))
-    out = out.drop("_ok", "_b", *[f"_base_{c}" for c in sum_cols])
-    return out if user_groups else out.drop("_g")
+    return out.drop("_ok", "_b", "_kb", *[f"_k{i}" for i in range(len(user_groups))], *[f"_base_{c}" for c in sum_cols])
+
+
+def _order_key(df: DataFrame, col: str, descending: bool) -> Column:
+    """A rising order key: whole numbers stay whole (doubles would tie beyond 2^53), others are doubles."""
+    if isinstance(df.schema[col].dataType, T.IntegralType):
+        x = F.col(col).cast("long")
+        return F.bitwise_not(x) if descending else x
+    x = F.col(col).cast("double")
+    return -x if descending else x
 
 
 def value_counts(df: DataFrame, value: Column, group_cols: Sequence[str] = ()) -> DataFrame:

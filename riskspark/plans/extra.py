@@ -208,7 +208,7 @@ def m4_isolation_search(spark, sf_dir):
     tr = trained(spark, sf_dir)
     d = tr.prepared.data
     res = models.search_isolation_forest(d.where(F.col("split") == "train"), d.where(F.col("split") == "val"), tr.prepared.label,
-                                         key_col=tr.prepared.key, n_trials=ISOLATION_TRIALS, parallelism=4)
+                                         key_col=tr.prepared.key, n_trials=ISOLATION_TRIALS)
     return models.search_table(spark, res)
 
 

@@ -71,11 +71,12 @@ def prepare(df: DataFrame, label: str = "Fraud", key: str = "TransactionID", see
 
 
 def fit_models(prep: Prepared, n_trees: int = 100, contamination: float = 0.05, seed: int = 42) -> Trained:
-    """M1-M3 on the training split (the boosted model also sees val as its stop set)."""
+    """M1-M3 on the training split (the boosted model's rounds stop by the val split)."""
     d = prep.data
     train = d.where(F.col("split") == "train")
     forest = models.random_forest(label_col=prep.label, numTrees=n_trees).fit(train)
-    boosted = models.boosted_trees(label_col=prep.label).fit(d.where(F.col("split").isin("train", "val")))
+    boosted = models.fit_with_patience(models.boosted_trees(label_col=prep.label, validation_col=None), train,
+                                       d.where(F.col("split") == "val"), prep.label)
     iforest = IsolationForest(n_trees=n_trees, contamination=contamination, seed=seed, key_col=prep.key).fit(train)
     b = iforest.score(train).agg(F.min("anomaly_score"), F.max("anomaly_score")).first()
     return Trained(prep, forest, boosted, iforest, (b[0], b[1]))
