@@ -1,7 +1,7 @@
 """Two-sample Kolmogorov-Smirnov drift per feature, overall score, ranking.
 
 Both samples are unpivoted to (feature, value), counted per (feature, value, side)
-with map-side combine, and the two empirical CDFs are walked with the skew-safe,
+with map-side combine (or the reference side's counts come from a stored dataset version), and the two empirical CDFs are walked with the skew-safe,
 feature-grouped prefix sum. The statistic is the largest CDF gap; nulls are dropped.
 """
 
@@ -55,10 +55,34 @@ def ks_drift(ref: DataFrame, cur: DataFrame, features: Sequence[str], threshold:
     """(feature, ks_statistic, p_value, drift_detected) for features with more than
     one distinct value on both sides."""
     both = _long(ref, features, 0).unionByName(_long(cur, features, 1)).where(F.col("value").isNotNull())
-    ensure_checkpoint_dir(ref.sparkSession)
     counts = both.groupBy("feature", "value").agg(
-        F.count_if(F.col("side") == 0).alias("c_ref"), F.count_if(F.col("side") == 1).alias("c_cur")
-    ).checkpoint(eager=True)
+        F.count_if(F.col("side") == 0).alias("c_ref"), F.count_if(F.col("side") == 1).alias("c_cur"))
+    return _ks(counts, threshold, buckets)
+
+
+def value_counts_of(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(feature, value, cnt): the distribution of each feature, nulls dropped; what a drift reference is kept as."""
+    return _long(df, features, 0).where(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def ks_drift_from_counts(reference: DataFrame, cur: DataFrame, features: Sequence[str] | None = None, threshold: float = DRIFT_THRESHOLD,
+                         buckets: int | None = None) -> DataFrame:
+    """D2-D5 against a stored reference of :func:`value_counts_of`: the reference rows are not read again.
+
+    ``features`` default to the stored ones that are numeric in ``cur`` (D1)."""
+    if features is None:
+        stored = [r["feature"] for r in reference.select("feature").distinct().collect()]  # a row a feature
+        features = sorted(set(stored) & {f.name for f in cur.schema.fields if isinstance(f.dataType, T.NumericType)})
+    old = reference.where(F.col("feature").isin(*features)).select("feature", "value", F.col("cnt").alias("c_ref"), F.lit(0).cast("long").alias("c_cur"))
+    new = value_counts_of(cur, features).select("feature", "value", F.lit(0).cast("long").alias("c_ref"), F.col("cnt").alias("c_cur"))
+    both = old.unionByName(new).groupBy("feature", "value").agg(F.sum("c_ref").alias("c_ref"), F.sum("c_cur").alias("c_cur"))
+    return _ks(both, threshold, buckets)
+
+
+def _ks(counts: DataFrame, threshold: float, buckets: int | None) -> DataFrame:
+    """D2-D5 from (feature, value, c_ref, c_cur), one row a value."""
+    ensure_checkpoint_dir(counts.sparkSession)
+    counts = counts.checkpoint(eager=True)
     # D2 from the same counts: a side varies when it has two or more distinct values
     per_feature = counts.groupBy("feature").agg(
         F.sum("c_ref").alias("n_ref"),

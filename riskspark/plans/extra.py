@@ -566,3 +566,6 @@ def p4_synthetic_rows(spark, sf_dir):
     x = vector_to_array("features")
     return oversample(d, "TransactionID", "features", "Fraud", 1, 5).where("synthetic").select(
         "TransactionID", F.col("Fraud").cast("long").alias("Fraud"), x[0].alias("x0"), x[1].alias("x1"))
+
+
+from riskspark.plans import cases  # noqa: E402,F401  (registers its queries; they build on those above)

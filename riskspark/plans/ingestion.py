@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from riskspark.operators import clean, split
+from riskspark.plans import monitoring
 from riskspark.session import ensure_checkpoint_dir
 from riskspark.sources import io
 
@@ -25,14 +26,18 @@ class Ingested:
 
 
 def run_ingestion(spark: SparkSession, csv_path: str, base: str, version: str, schema: T.StructType | None = None,
-                  label: str = "Fraud", key: str = "TransactionID", seed: int = 42) -> Ingested:
+                  label: str = "Fraud", key: str = "TransactionID", seed: int = 42, reference_base: str | None = None) -> Ingested:
     """Ingest ``csv_path`` as ``version`` of the dataset under ``base``.
 
-    ``schema`` has the column names of the file; without it they are inferred (one more scan).
+    ``schema`` has the column names of the file; without it they are inferred (one more scan). With ``reference_base`` the value
+    counts of the train split's numeric columns are kept there as this version's drift reference.
     """
     ensure_checkpoint_dir(spark)
     raw = io.read_transactions_csv(spark, csv_path, schema)
     cleaned = clean.validate_labels(clean.clean_data(raw, label).checkpoint(eager=True), label)
     io.write_versioned(split.stratified_split(cleaned, label, key, seed), base, version)
     written = spark.read.parquet(base).where(f"version = '{version}'")
+    if reference_base:
+        train = clean.drop_id_by_rule(written.where("split = 'train'").drop(label, "version", "split"))
+        monitoring.save_reference(train, clean.column_kinds(train)[0], reference_base, version)
     return Ingested(version, clean.load_profile(cleaned, label), split.split_audit(written, label))

@@ -46,6 +46,21 @@ def generate_report(predictions: DataFrame, transactions: DataFrame, reference:
     return Report(m, metrics.metrics_long(m), d, ds, alerts, status, counts)
 
 
+def save_reference(df: DataFrame, features, base: str, version: str) -> None:
+    """The drift reference of a dataset version: the value counts of its features, published under ``base``."""
+    counts = drift.value_counts_of(df, features).withColumn("version", F.lit(version))
+    io.publish(df.sparkSession, base, version, lambda: counts.write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("version").parquet(base))
+
+
+def load_reference(spark, base: str) -> DataFrame:
+    """The newest published drift reference (feature, value, cnt)."""
+    versions = io.list_versions(spark, base)
+    if not versions:
+        raise FileNotFoundError(f"no drift reference under {base}")
+    return spark.read.parquet(base).where(F.col("version") == versions[-1]).drop("version")
+
+
 def report_document(r: Report, as_of: str, days: int) -> DataFrame:
     """The whole report as one row (period, metrics, drift, alerts, status, counts)."""
     spark = r.metrics.sparkSession
