@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskspark.llm.common import WORD_TABLE, free_name, map_texts, words_of
+from riskspark.llm.common import WORD_TABLE, map_texts, with_safe_names, words_of
 
 WINDOW = 10
 BLOCK_BYTES = 256 << 10
@@ -145,6 +145,5 @@ def _merged(hits):
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` in which no benchmark window occurs, with their columns."""
-    p = free_name(docs, "__dc_")
-    out = scan(docs, items, keep=docs.columns, text=text, prefix=p, **options)
-    return out.where(F.col(f"{p}n_hit") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return with_safe_names(docs, lambda d, at: scan(d, items, keep=d.columns, text=at(text), prefix="__dc_", **options)
+                           .where(F.col("__dc_n_hit") == 0).select(*d.columns))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskspark.llm.common import WORD_TABLE, free_name, map_texts, table
+from riskspark.llm.common import WORD_TABLE, map_texts, table, with_safe_names
 from riskspark.llm.decontamination import original_offsets
 
 N_TOXIC, N_CLEAN = 2000, 4000
@@ -359,6 +359,5 @@ def remove_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOL
                  train_docs: DataFrame | None = None) -> DataFrame:
     """The rows of ``docs`` whose score is below the threshold, with their columns."""
     model = fit(docs if train_docs is None else train_docs, labels, doc_id, text)
-    p = free_name(docs, "__tox_")
-    out = marginals(docs, model, docs.columns, text, p)
-    return out.where(F.col(f"{p}score") < threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return with_safe_names(docs, lambda d, at: marginals(d, model, d.columns, at(text), "__tox_")
+                           .where(F.col("__tox_score") < threshold).select(*d.columns))
