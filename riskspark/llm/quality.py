@@ -4,14 +4,16 @@
 repetitive text lies below it, random or encoded text above. Short texts compress less, so the
 limits depend on the length: at ``n`` bytes the band of whole texts is
 ``[low(n), high(n)]`` interpolated in log2(n) between the points of ``BANDS``. Texts longer than one chunk are also cut
-into chunks of ``CHUNK`` bytes (the rest joins the last chunk); each chunk has its own ratio with
+into chunks of ``CHUNK`` bytes (the rest joins the last chunk), texts under two chunks into chunks of a half, a quarter or
+an eighth of that, so that there are two or three; texts under 1 KB have no chunks; each chunk has its own ratio with
 the band of its length, and the text fails when over ``MAX_BAD_SHARE`` of its chunk bytes lie
-outside, or when ``MAX_BAD_RUN`` windows of ``CHUNK`` bytes in a row, half a chunk apart, do: a foreign passage of about a chunk and
+outside, or when ``MAX_BAD_RUN`` windows of a chunk's bytes in a row, half a chunk apart, do: a foreign passage of about a chunk and
 a half is found wherever it starts and however long the text is. On sf0.1 no chunk of a text that passes the other rules is
-outside (1,273 chunks). Base rules (word count, repeated 5-word windows) come first.
+outside (1,273 chunks of 4 KB; of texts under 8 KB none of 6,030 either). Base rules (word count, repeated 5-word windows) come first.
 
 Defined results: a null text counts as empty; it has no words, so it fails the base rules and is
-not kept. Repeated rows give repeated equal results.
+not kept. Repeated rows give repeated equal results, null ids are nothing special, an empty table gives an
+empty result, and columns of any name pass through if they are in ``keep``.
 """
 
 from __future__ import annotations
@@ -103,11 +105,14 @@ def _measure(bands=BANDS, chunk: int = CHUNK, level: int = LEVEL):
             lo, hi = of(len(t))
             out["ratio"].append(ratio)
             out["in_band"].append(ratio is not None and lo <= ratio <= hi)
-            n_chunks = len(t) // chunk
+            size = chunk
+            while 2 * size > len(t) and 8 * size > chunk:
+                size //= 2
+            n_chunks = len(t) // size
             bad = run_now = run_most = 0
             for k in range(2 * n_chunks - 1 if n_chunks > 1 else 0):  # chunks, and the windows between them
-                at = k * chunk // 2
-                part = t[at: at + chunk if k < 2 * n_chunks - 2 else len(t)]
+                at = k * size // 2
+                part = t[at: at + size if k < 2 * n_chunks - 2 else len(t)]
                 lo, hi = of(len(part))
                 outside = not lo <= len(press.compress(part)) / len(part) <= hi
                 bad += len(part) * (outside and k % 2 == 0)
