@@ -35,7 +35,6 @@ from __future__ import annotations
 import heapq
 from bisect import bisect_left
 from collections import deque
-from math import log2
 
 import numpy as np
 import pyarrow as pa
@@ -49,10 +48,11 @@ from riskspark.llm.simhash import components
 SHINGLE = 3
 PERCENT = 90
 SEED = 11
-MAX_SETS = 2048
+MAX_SETS = 512
 MAX_BYTES = 32 << 20  # tokens of a batch of shards in a task
 HUBS = 32
-MU = 0.0085  # of DivideSkip's number of long lists, as published
+PROBE_COST = 0.05  # of a binary probe, in steps of the heap
+EDGES_PER_TASK = 500_000
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _U = np.uint64
 
@@ -192,18 +192,25 @@ class Index:
         if len(at) < least:
             return []
         at = at[np.argsort(self.lengths[at], kind="stable")]
-        longest = int(self.lengths[at[-1]])
-        n_long = min(least - 1, int(least / (MU * log2(longest) + 1)) if longest > 1 else least - 1)
+        n_long = least - self._divide(self.lengths[at], least)
         short, long_ = at[: len(at) - n_long], at[len(at) - n_long:]
         found = merge_skip([x.tolist() for x in self._lists(short, open_)], least - n_long)
-        out = []
-        for c, times in found:
-            keys = long_ * len(self.sets) + c
-            place = np.searchsorted(self.keys, keys)
-            hits = int((self.keys[np.minimum(place, len(self.keys) - 1)] == keys).sum())
-            if times + hits >= needed(n, int(self.sizes[c]), p):
-                out.append(c)
-        return out
+        if not found:
+            return []
+        c, times = np.array(found, np.int64).T
+        for part in np.array_split(long_, -(-n_long * len(c) // 500_000)) if n_long else ():
+            keys = part[:, None] * len(self.sets) + c
+            place = np.minimum(np.searchsorted(self.keys, keys.ravel()), len(self.keys) - 1)
+            times = times + (self.keys[place].reshape(keys.shape) == keys).sum(axis=0)
+        return c[times >= needed(n, self.sizes[c], p)].tolist()
+
+    @staticmethod
+    def _divide(lengths: np.ndarray, least: int) -> int:
+        """How often a candidate must be in the short lists: with t, the least - t longest lists are long. The
+        merge costs the entries of the short lists; each at most 1/t of them is a candidate to probe."""
+        t = np.arange(1, least + 1)
+        entries = np.cumsum(lengths)[len(lengths) - least + t - 1]
+        return int(t[np.argmin(entries * (1 + PROBE_COST * (least - t) / t))])
 
     def _lists(self, ranks: np.ndarray, open_: np.ndarray):
         for r in ranks.tolist():
@@ -358,7 +365,7 @@ def shard_links(sets: DataFrame, percent: int = PERCENT, max_sets: int = MAX_SET
     inner = table(dealt.select("root", "block", "sid", "tokens").repartition("root", "block").sortWithinPartitions("root", "block", "sid")
                   .mapInArrow(_in_groups(block, 2, max_bytes), _LINKS), "hot-links")
     links = links.unionByName(inner)
-    named = components(inner.distinct()).withColumnRenamed("root", "c")
+    named = joined(inner).withColumnRenamed("root", "c")
     big = table(big.join(named, big.sid == named.node, "left").select("root", "sid", "tokens", "blocks", "block", F.coalesce("c", "sid").alias("c")), "hot-labels")
     per = big.groupBy("root", "c").agg(F.count(F.lit(1)).alias("k"))
     largest = per.groupBy("root").agg(F.max(F.struct("k", "c")).alias("l")).select("root", F.col("l.c").alias("largest"))
@@ -381,6 +388,43 @@ def shard_links(sets: DataFrame, percent: int = PERCENT, max_sets: int = MAX_SET
     return links.unionByName(table(cross.mapInArrow(_in_groups(across, 3, max_bytes), _LINKS), "cross-links"))
 
 
+def joined(edges: DataFrame) -> DataFrame:
+    """(node, root) of every node with a link; root is the smallest node of the component.
+
+    Links that lie in one task (at most about ``EDGES_PER_TASK``) are joined there first; if that is all of them it is the
+    result, else what each task leaves, a link per node, goes through the large-star/small-star rounds."""
+    cur = table(edges, "join-edges")
+    tasks = -(-cur.count() // EDGES_PER_TASK)
+
+    def run(batches):
+        root: dict[int, int] = {}
+
+        def find(x):
+            at = x
+            while root[at] != at:
+                at = root[at]
+            while root[x] != at:
+                root[x], x = at, root[x]
+            return at
+
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                root.setdefault(a, a)
+                root.setdefault(b, b)
+                a, b = find(a), find(b)
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+        nodes = list(root)
+        for at in range(0, len(nodes), 100_000):
+            part = nodes[at:at + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([find(x) for x in part], pa.int64())], names=["node", "root"])
+
+    local = table(cur.select("low", "high").coalesce(max(1, tasks)).mapInArrow(run, "node long, root long"), "joined")
+    if tasks <= 1:
+        return local
+    return components(local.where("node <> root").select(F.col("root").alias("low"), F.col("node").alias("high")).distinct())
+
+
 # ---- the operator -----------------------------------------------------------------------------
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT,
@@ -393,12 +437,12 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle
     sent = rows.select("sid", F.explode("parts").alias("part"))
     shared = table(sent.groupBy("part").agg(F.min("sid").alias("low"), F.max("sid").alias("top")).where("low < top").select("part", "low"), "shared-parts")
     edges = sent.join(shared, "part").where("sid <> low").select("low", F.col("sid").alias("high")).distinct()
-    shards = table(components(edges).withColumnRenamed("node", "sid"), "shards")
+    shards = joined(edges).withColumnRenamed("node", "sid")
     wanted = rows.join(shards, "sid", "left_semi").groupBy("sid").agg(F.min("th").alias("th")).select("th").distinct()
     texts = src.join(wanted, "th", "left_semi").select("th", "text").dropDuplicates(["th"])
     sets = sets_of(texts, [], "text", shingle, percent, seed, with_parts=False, with_tokens=True).join(shards, "sid")
     sets = table(sets.select("root", "sid", "tokens").dropDuplicates(["sid"]), "shard-sets")
-    found = components(shard_links(sets, percent, max_sets, hubs=hubs).distinct())
+    found = joined(shard_links(sets, percent, max_sets, hubs=hubs))
     reps = rows.where("sid IS NOT NULL").groupBy("sid").agg(F.min("id").alias("first_id"))
     rooted = reps.join(found.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     # sets without a link keep their own first id, so only linked ones are grouped by component
