@@ -20,7 +20,8 @@ never across texts) is removed. Only places that can repeat reach the suffix arr
 
 Texts are known by a 128-bit content hash, so copies of a text share one result, and repeated
 rows need no row number. Defined results: a null text is empty; texts shorter than ``length`` stay;
-an empty table gives an empty result; extra columns pass through if they are in ``keep``.
+an empty table gives an empty result; extra columns pass through if they are in ``keep``, and an output
+column whose name ``docs`` has already is lengthened by underscores.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskspark.llm.common import slices, table
+from riskspark.llm.common import free_name, slices, table
 
 LENGTH = 400
 GRAM = 32
@@ -316,8 +317,10 @@ def marked_windows(docs: DataFrame, text: str = "text", length: int = LENGTH, gr
                    max_contexts: int = MAX_CONTEXTS, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """(t1, t2, spans): per text, the byte ranges [start, end) of its repeated strings, merged."""
     found = table(anchors(docs, text, length, gram), "anchors")
-    twice = found.groupBy("a").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("a")
-    shared = table(found.join(twice, "a", "left_semi"), "shared-anchors")
+    # counted per context first: a very common anchor has far fewer contexts than places
+    kinds = table(found.groupBy("a", "c").agg(F.count(F.lit(1)).alias("k")), "context-counts")
+    twice = kinds.groupBy("a").agg(F.sum("k").alias("k")).where("k > 1").select("a")
+    shared = table(found.join(kinds.join(twice, "a", "left_semi").select("a", "c"), ["a", "c"], "left_semi"), "shared-anchors")
     ctx = shared.groupBy("a", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("t1", "t2", "lo", "hi", "off")).alias("rep"))
     ctx = table(ctx, "contexts")
     wanted = ctx.select("a", "c", "n", *[F.col(f"rep.{x}").alias(x) for x in ("t1", "t2", "lo", "hi", "off")])
@@ -339,12 +342,12 @@ def remove_repeats(docs: DataFrame, keep=("doc_id",), text: str = "text", length
     """``keep`` plus n_bytes, n_removed, n_spans, spans (byte ranges), kept (the remaining bytes)
     and kept_sha256 for every row of ``docs``."""
     spans = table(marked_windows(docs, text, length, **options), "spans")
-    keep = list(keep)
-    src = docs.select(*[F.col(f"`{c}`") for c in keep], *text_key(text),
+    names, keep = list(keep), [f"c{i}" for i in range(len(keep))]  # no helper column is called so
+    src = docs.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(names, keep)], *text_key(text),
                       F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary").alias("__text"))
-    src = src.join(spans, ["t1", "t2"], "left").select(*[F.col(f"`{c}`") for c in keep], "__text", "spans")
+    src = src.join(spans, ["t1", "t2"], "left").select(*keep, "__text", "spans")
     n = len(keep)
-    schema = src.select(*[F.col(f"`{c}`") for c in keep]).schema.add("n_bytes", "long").add("n_removed", "long") \
+    schema = src.select(*keep).schema.add("n_bytes", "long").add("n_removed", "long") \
         .add("n_spans", "long").add("spans", _SPANS).add("kept", "binary").add("kept_sha256", "string")
     pair = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 
@@ -370,4 +373,5 @@ def remove_repeats(docs: DataFrame, keep=("doc_id",), text: str = "text", length
             cols += [pa.array(v, k) for v, k in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.list_(pair), pa.binary(), pa.string()))]
             yield pa.RecordBatch.from_arrays(cols, names=[*batch.schema.names[:n], "n_bytes", "n_removed", "n_spans", "spans", "kept", "kept_sha256"])
 
-    return src.mapInArrow(run, schema)
+    told = [free_name(docs, x) for x in schema.names[n:]]
+    return src.mapInArrow(run, schema).toDF(*names, *told)
