@@ -331,7 +331,8 @@ def marked_windows(docs: DataFrame, text: str = "text", length: int = LENGTH, gr
         "w.a", "w.c", F.expr("substring(text, cast(w.lo + 1 as int), cast(w.hi - w.lo + %d as int))" % length).alias("ctx"), "w.n", "w.off")
     # copies of a text send the same contexts; one of each is kept
     marks = repeated_windows(_one_each(cut, F.first("n")), length, max_contexts, batch_bytes)
-    marks = marks.groupBy("a", "c").agg(F.collect_list(F.struct("lo", "hi")).alias("m"))
+    # written, so that Spark can split the places of a very common context over tasks when it joins them
+    marks = table(marks.groupBy("a", "c").agg(F.collect_list(F.struct("lo", "hi")).alias("m")), "marks")
     places = shared.select("t1", "t2", "a", "c", F.col("lo").alias("at")).distinct().join(marks, ["a", "c"])
     return places.select("t1", "t2", F.explode(F.transform("m", lambda m: F.struct(
         (F.col("at") + m["lo"]).alias("start"), (F.col("at") + m["hi"] + length).alias("end")))).alias("s")) \
