@@ -296,14 +296,6 @@ def test_op7_query_names_every_span(spark):
     assert some
 
 
-def test_op7_calibrates_by_few_labels_too(spark):
-    """A table with hardly any candidate: the threshold is the precision itself, not nothing."""
-    rows = [(i, f"write to a{i}@b.org or call +1 212 555 01{i:02d}, ref 12 3782 822463 10005 host 300.1.1.{i}") for i in range(6)]
-    d = spark.createDataFrame(rows, "doc_id long, text string")
-    model = pii.fit(d)
-    assert not model.trees or set(model.thresholds) == set(pii.KINDS) and set(model.thresholds.values()) == {pii.PRECISION}
-
-
 def test_short_texts_have_chunks_too():
     import base64
 
