@@ -28,7 +28,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.transform("runs", lambda r: F.concat_ws("-", r["lo"].cast("string"), r["hi"].cast("string")))
     return found.select(F.col("id").alias("doc_id"), "n_lines",
                         F.aggregate("runs", F.lit(0).cast("long"), lambda a, r: a + r["n"]).alias("n_removed"),
-                        F.size("runs").cast("long").alias("n_runs"), F.array_join(spans, ",").alias("removed"), "longest_block")
+                        F.size("runs").cast("long").alias("n_runs"), F.array_join(spans, ",").alias("removed"), "longest_block",
+                        F.size("copies").cast("long").alias("n_copies"),
+                        F.coalesce(F.array_max(F.transform("copies", lambda c: c["n"])), F.lit(0)).cast("long").alias("longest_copy"))
 
 
 # DuckDB: A-Z lower-cased, all else as it is.

@@ -87,6 +87,40 @@ def test_line_dedup_query_removes_every_later_copy_of_a_line(spark, docs, tmp_pa
         assert sorted(got) == sorted((d, *w) for (d, _), w in zip(rows, want))
 
 
+def word_lines(t):
+    return [x for x in (t or "").split("\n") if x.encode().split()]
+
+
+@pytest.mark.parametrize("size, words", [(2, 50), (3, 50), (2, 1)])
+def test_line_dedup_copies_are_maximal_and_stand_in_an_earlier_text(spark, size, words, monkeypatch):
+    """Each copy equals its first copy line by line, all together cover the deleted lines, and the whole of a text copied
+    from one earlier text is one copy. With a bound of 20 places the frequent lines go through the broadcast."""
+    monkeypatch.setattr(line_dedup, "HOT", 20)
+    rng = random.Random(6)
+    pool = [f"line {i}" for i in range(40)] + ["hot"] * 40
+    rows = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(0, 14)))) for i in range(80)]
+    first = "\n".join(f"own {i}" for i in range(11))
+    rows += [(200, first), (201, f"before\n{first}\n\nafter"), (202, first), (202, first), (None, first), (203, "own 9\nown 10\nown 0\nown 1\nown 2")]
+    found = line_dedup.removed_lines(spark.createDataFrame(rows, "doc_id long, text string"), min_lines=size, min_words=words).collect()
+    text = {d: word_lines(t) for d, t in rows}
+    by_entry = {r.e: r for r in found}
+    for r in found:
+        gone = set()
+        for c in r.copies:
+            source = by_entry[c.first_e]
+            assert text[r.id][c.line:c.line + c.n] == text[source.id][c.first_line:c.first_line + c.n]
+            assert (c.first_e, c.first_line) < (r.e, c.line) or not r.first
+            assert not gone & set(range(c.line, c.line + c.n))
+            gone |= set(range(c.line, c.line + c.n))
+        assert len(gone) == sum(x.n for x in r.runs)
+    copies = {(r.id, r.first): [(c.line, c.n, by_entry[c.first_e].id, c.first_line) for c in r.copies] for r in found}
+    assert copies[200, True] == []
+    assert copies[201, True] == [(1, 11, 200, 0)]
+    assert copies[202, True] == copies[None, True] == [(0, 11, 200, 0)]
+    assert copies[202, False] == [(0, 11, 202, 0)]
+    assert copies[203, True] == [c for c in [(0, 2, 200, 9), (2, 3, 200, 0)] if c[1] >= size]
+
+
 # ---- 2 ---------------------------------------------------------------------------------------
 
 def test_decontamination_sql(spark, docs, duck_small):
