@@ -3,10 +3,11 @@
 The templates below are short notices and characteristic sentences of common licences. The index
 maps each template word to its (template, position) postings. A first pass counts, over all
 documents, in how many each template word occurs; that gives the IDF of every licence word. In the
-second pass a document looks up the positions of the ``RARE`` highest-IDF words of the templates that
-it can still reach, intersects their postings by relative position (document position - template
-position, weighted by IDF), and accepts a template when the alignment carries at least ``MIN_SHARE``
-of the weight of these words and each mandatory key phrase of the template stands at its aligned place, give or take
+second pass a document sorts the licence words it holds by falling IDF and looks up, for each template, the ``RARE``
+first ones that the template holds too: which words these are differs from file to file, so a notice with its rarest
+words altered is found by the next ones. Their postings are intersected by relative position (document position - template
+position, each word once, weighted by IDF), and a template is accepted when the alignment carries at least ``MIN_SHARE``
+of the weight of the template's own ``RARE`` rarest words and each mandatory key phrase stands at its aligned place, give or take
 ``SLACK`` words. Labels of the four base phrases are exact matches and always stay.
 
 The index is a constant of the module and grows with the number of templates only; the collected
@@ -95,10 +96,14 @@ class Index:
             self.phrases.append(places)
         self.vocabulary = {w for words in self.words for w in words}
         self.idf = idf or {}
-        self.heavy = []
-        for words in self.words:
-            top = sorted(set(words), key=lambda w: (-self.weight(w), w))[:rare]
-            self.heavy.append(({w: self.weight(w) for w in top}, sum(self.weight(w) for w in top)))
+        self.rare = rare
+        self.order = {w: k for k, w in enumerate(sorted(self.vocabulary, key=lambda w: (-self.weight(w), w)))}
+        # no file's words can weigh more in a template than its own rarest ones
+        self.most = [sum(self.weight(w) for w in sorted(set(words), key=self.order.get)[:rare]) for words in self.words]
+        self.holders: dict[bytes, list[int]] = {}
+        for t, words in enumerate(self.words):
+            for w in set(words):
+                self.holders.setdefault(w, []).append(t)
         self.postings: dict[bytes, list[tuple[int, int]]] = {}
         for t, words in enumerate(self.words):
             for q, w in enumerate(words):
@@ -109,22 +114,25 @@ class Index:
 
     def find(self, words: list[bytes], min_share: float = MIN_SHARE, slack: int = SLACK) -> list[tuple[str, float, int]]:
         """(label, share, document position) of the best accepted alignment of each label."""
-        present = self.vocabulary.intersection(words)
-        # no alignment can carry more than the weight of the words that are there at all
-        wanted = {t for t, (top, total) in enumerate(self.heavy)
-                  if total and sum(v for w, v in top.items() if w in present) >= min_share * total}
+        looked: dict[int, set[bytes]] = {}
+        for w in sorted(self.vocabulary.intersection(words), key=self.order.get):
+            for t in self.holders[w]:
+                if len(looked.setdefault(t, set())) < self.rare:
+                    looked[t].add(w)
+        # no alignment can carry more than the weight of all looked-up words
+        wanted = {t: top for t, top in looked.items() if self.most[t] and sum(map(self.weight, top)) >= min_share * self.most[t]}
         if not wanted:
             return []
-        rare = {w for t in wanted for w in self.heavy[t][0]}
-        votes: dict[tuple[int, int], float] = {}
+        rare = set().union(*wanted.values())
+        votes: dict[tuple[int, int], set[bytes]] = {}
         for p, w in enumerate(words):
             if w in rare:
                 for t, q in self.postings[w]:
-                    if t in wanted and w in self.heavy[t][0]:
-                        votes[t, p - q] = votes.get((t, p - q), 0.0) + self.weight(w)
+                    if w in wanted.get(t, ()):
+                        votes.setdefault((t, p - q), set()).add(w)
         best: dict[str, tuple[float, int]] = {}
-        for (t, shift), v in votes.items():
-            share = min(1.0, v / self.heavy[t][1])
+        for (t, shift), aligned in votes.items():
+            share = min(1.0, sum(self.weight(w) for w in sorted(aligned)) / self.most[t])
             if share < min_share or share <= best.get(self.labels[t], (0.0, 0))[0]:
                 continue
             if all(any(words[a:a + len(key)] == key for a in range(max(0, shift + q - slack), max(0, shift + q + slack + 1)))

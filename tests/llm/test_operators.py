@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -480,6 +481,47 @@ def test_license_templates_and_key_phrases(spark):
     assert got == {1: ["mit"], 2: [], 3: []}
 
 
+def brute_licenses(words, index):
+    """Best share of each label over all templates and all shifts."""
+    out = {}
+    for t, template in enumerate(index.words):
+        looked = sorted(set(words) & set(template), key=lambda w: (-index.weight(w), w))[:licenses.RARE]
+        total = sum(sorted(map(index.weight, set(template)), reverse=True)[:licenses.RARE])
+        for shift in range(-len(template), len(words)):
+            aligned = {w for q, w in enumerate(template) if w in looked and 0 <= q + shift < len(words) and words[q + shift] == w}
+            share = sum(map(index.weight, aligned)) / total
+            near = range(-licenses.SLACK, licenses.SLACK + 1)
+            if share >= licenses.MIN_SHARE and all(any(words[max(0, shift + q + d):][:len(key)] == key for d in near)
+                                                   for q, key in index.phrases[t]):
+                out[index.labels[t]] = max(out.get(index.labels[t], 0.0), min(1.0, share))
+    return out
+
+
+def test_license_templates_brute_force_on_altered_notices(spark):
+    """Notices with words replaced, left out or put in; some are found by words that aren't the template's rarest."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(150):
+        words = rng.choice(licenses.TEMPLATES)[1].split()
+        for _ in range(rng.randint(0, 4)):
+            k = rng.randrange(len(words))
+            words[k:k + rng.randint(0, 1)] = rng.choice([[], ["other"], ["some", "thing"]])
+            words = words or ["none"]
+        rows.append((i, " ".join(["before"] * rng.randint(0, 3) + words + ["the", "license", "of"][:rng.randint(0, 3)])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    seen, n = licenses.document_frequencies(df)
+    idf = {w: math.log((n + 1) / (seen.get(w, 0) + 1)) + 1.0 for w in licenses.Index().vocabulary}
+    index, fixed = licenses.Index(idf=idf), 0
+    for r in licenses.scan(df, keep=["doc_id", "text"]).collect():
+        want = brute_licenses(words_of(r.text.encode()), index)
+        assert {x.label: round(x.share, 9) for x in r.spans} == {k: round(v, 9) for k, v in want.items()}
+        assert set(want) <= set(r.labels)
+        for t, template in enumerate(index.words):
+            top = set(sorted(set(template), key=lambda w: (-index.weight(w), w))[:licenses.RARE])
+            fixed += index.labels[t] in want and not top <= set(words_of(r.text.encode()))
+    assert fixed > 0
+
+
 # ---- 10 --------------------------------------------------------------------------------------
 
 def brute_spans(texts, n):
