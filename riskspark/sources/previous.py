@@ -11,7 +11,9 @@ first row of the next slice takes the cut's value: no boundary table, no third r
 A null key is a key like any other. The cuts only balance work, the result equals the plain
 window. Cuts number at most ``max_cuts`` over all keys (a slice then holds up to
 1 / ``max_cuts`` of all rows), which bounds the broadcast tables of cuts. They are kept
-as a tree of ``FAN`` children, so that a row carries at most ``FAN`` cuts per level.
+as a tree of ``FAN`` children, so that a row carries at most ``FAN`` cuts per level. Without a
+given ``max_cuts`` it follows the bytes of the input, a bound that needs no job; a table
+that needs fewer than ``FAN`` cuts has one level, one of fewer than ``FAN`` ** 2 two.
 """
 
 from __future__ import annotations
@@ -36,12 +38,14 @@ def previous_in_order(
     out: str,
     value: str | None = None,
     rows_per_slice: int = 2_000_000,
-    max_cuts: int = MAX_CUTS,
+    max_cuts: int | None = None,
     first_flag: str | None = None,
 ) -> DataFrame:
     """``df`` with ``out``: the previous row's ``value`` (default: its time) of the same key.
 
     ``first_flag`` (optional) names a boolean column marking each key's first row."""
+    if max_cuts is None:
+        max_cuts = _cut_bound(df, rows_per_slice)
     if max_cuts >= FAN**3:
         raise ValueError(f"max_cuts must be below {FAN ** 3}")
     value = value or ts
@@ -51,7 +55,7 @@ def previous_in_order(
     cuts = _cuts(keyed, order, F.col(value), [key, ts, tiebreak], rows_per_slice, max_cuts)
     rows = keyed.withColumn("_slice", F.lit(0).cast("long"))
     last = F.lit(None).cast(df.schema[value].dataType)
-    for level, size in enumerate((FAN * FAN, FAN, 1)):
+    for level, size in enumerate([z for z in (FAN * FAN, FAN, 1) if z == 1 or max_cuts >= z]):
         block = size * FAN
         table = (
             cuts.where((F.col("_at") % size == 0) & (F.col("_at") % block != 0) if level else F.col("_at") % size == 0)
@@ -73,6 +77,14 @@ def previous_in_order(
     return result.select(*df.columns, out, *([first_flag] if first_flag else []))
 
 
+def _cut_bound(df: DataFrame, rows_per_slice: int) -> int:
+    """The cuts a table may need: a row takes a byte at least, so its files hold no more rows than bytes. Files that
+    hold more get longer slices, never other results; inputs of unknown size get ``MAX_CUTS``."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return min(MAX_CUTS, max(FAN - 1, size // rows_per_slice))
+
+
 def _cuts(keyed: DataFrame, order, value, identity: list[str], rows_per_slice: int, max_cuts: int) -> DataFrame:
     """(_kt, _kn, _at, _cut): the sampled rows at which keys are cut, numbered from 1 per key."""
     rate = min(1.0, SAMPLE_PER_SLICE / rows_per_slice)

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from riskspark.operators.cumulative import ordered_cumsum
-from riskspark.sources.previous import previous_in_order
+from riskspark.sources.previous import FAN, MAX_CUTS, _cut_bound, previous_in_order
 from tests.conftest import MEDIUM
 
 
@@ -22,6 +22,25 @@ def test_previous_in_order_hot_key_slicing_matches_window(spark):
     assert got.count() == want.count()
 
 
+@pytest.mark.parametrize("max_cuts, levels", [(5, 1), (63, 1), (64, 2), (4095, 2), (4096, 3)])
+def test_previous_in_order_has_the_levels_its_cuts_need(spark, max_cuts, levels):
+    """Few and many cuts, up to thousands of slices of one key: same as the plain window, no level without a use."""
+    hot = spark.range(0, 6000).select(F.col("id").alias("i"), (F.col("id") % 3 * F.pmod(F.hash("id"), F.lit(5))).alias("k"),
+                                      F.timestamp_seconds(F.pmod(F.xxhash64("id"), F.lit(10**9))).alias("ts"))
+    got = previous_in_order(hot, "k", "ts", "i", "prev", rows_per_slice=4, max_cuts=max_cuts)
+    want = hot.withColumn("prev", F.lag("ts").over(Window.partitionBy("k").orderBy("ts", "i")))
+    assert got.select("i", "prev").exceptAll(want.select("i", "prev")).count() == 0 and got.count() == want.count()
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("_cuts") and sum(f"_cuts{n}" in plan for n in range(3)) == levels
+
+
+def test_previous_in_order_sizes_its_levels_from_the_files(spark):
+    ev = spark.read.parquet(f"{MEDIUM}/events.parquet")
+    assert _cut_bound(ev, 2_000_000) == FAN - 1
+    assert FAN <= _cut_bound(ev, 50) < MAX_CUTS
+    assert _cut_bound(spark.createDataFrame(ev.limit(9).rdd, ev.schema), 2_000_000) == MAX_CUTS
+
+
 @pytest.mark.parametrize("buckets", [1, 7, 64, 1024])
 def test_ordered_cumsum_matches_window(spark, buckets):
     df = spark.range(0, 3000).select((F.col("id") % 997).cast("double").alias("v"), (F.col("id") % 5).alias("g"))
