@@ -19,10 +19,11 @@ own; an empty table gives an empty result; other columns are ignored. The law is
 from __future__ import annotations
 
 import hashlib
+import json
 from bisect import bisect_left
 from collections import deque
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskspark.llm.common import table
@@ -90,6 +91,14 @@ def entries(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets
         .withColumn("h", h).withColumn("bucket", F.pmod("h", F.lit(buckets)).cast("int"))
 
 
+def intervals(spark: SparkSession, pieces: list[tuple[int, int, int, int, int]]) -> DataFrame:
+    """The intervals of ``walk`` as rows, from a literal of the plan; there are at most buckets + shards of them."""
+    names = ["p_bucket", "p_from", "p_to", "shard", "p_slot"]
+    text = json.dumps([dict(zip(names, p)) for p in pieces])
+    schema = "array<struct<p_bucket: int, p_from: bigint, p_to: bigint, shard: int, p_slot: bigint>>"
+    return spark.range(1).select(F.inline(F.from_json(F.lit(text), schema)))
+
+
 def shard(docs: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id", text: str = "text", tokens: int = TOKENS,
           buckets: int = BUCKETS, slack: float = 0.0) -> DataFrame:
     """(id, size, crc, shard, slot) for every row of ``docs``; slots of a shard run gapless from 0."""
@@ -97,7 +106,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id", text: s
     e = table(entries(docs, doc_id, text, buckets), "shard-entries")
     counts = {int(r["bucket"]): int(r["n"]) for r in e.groupBy("bucket").agg(F.sum("m").alias("n")).collect()}  # <= buckets rows
     pieces = walk(counts, shards, tokens, buckets, slack) if counts else []
-    inside = spark.createDataFrame(pieces, "p_bucket int, p_from long, p_to long, shard int, p_slot long")
+    inside = table(intervals(spark, pieces), "shard-pieces")
     w = Window.partitionBy("bucket").orderBy("h", "id", "size", "crc")
     ranked = e.withColumn("before", F.sum("m").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("m"))
     # an entry of m equal rows covers the ranks before .. before + m - 1, which may lie in several intervals
