@@ -28,6 +28,7 @@ from riskspark.llm.common import map_texts, table, with_safe_names
 SHINGLE = 3
 MAX_DISTANCE = 2
 SEED = 42
+HOT = 10_000  # a key with fewer rows needs no broadcast
 
 
 def fingerprints_of(texts: list[bytes], shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
@@ -96,6 +97,20 @@ def links(fps: DataFrame, max_distance: int = MAX_DISTANCE, fp: str = "fp") -> D
             .distinct())
 
 
+def meet(rows: DataFrame, few: DataFrame, key: str, total: int, n: str = "n") -> DataFrame:
+    """``rows`` joined with ``few`` on ``key``; ``few`` has one row a key, ``n`` being the key's number of ``rows``.
+
+    ``total`` is at least the number of ``rows``. A key of over a thousandth of them, and of over ``HOT``, is met by a
+    broadcast: there are under 1,000 such keys, and none of their rows goes through the exchange of the others.
+    """
+    bound = max(HOT, total // 1000)
+    if total <= bound:
+        return rows.join(few.drop(n), key)
+    hot = F.broadcast(few.where(F.col(n) > bound).drop(n))
+    return rows.join(hot, key).unionByName(
+        rows.join(hot.select(key), key, "left_anti").join(few.where(F.col(n) <= bound).drop(n), key))
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root) of every node with a link; root is the smallest node of the component.
 
@@ -136,13 +151,14 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle
     if with_text_hash:
         src = src.withColumn("text_hash", F.xxhash64("text"))
     rows = table(fingerprints(src, [c for c in src.columns if c != "text"], "text", shingle), "fingerprints")
-    reps = rows.groupBy("fp").agg(F.min("id").alias("first_id"))
+    n_rows = rows.count()
+    reps = rows.groupBy("fp").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n"))
     near = components(links(reps, max_distance))
     rooted = reps.join(near.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", F.coalesce("root", "fp").alias("root"), "first_id")
-    named = rooted.join(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "root") \
-        .select("fp", "root", "component_id")
-    return rows.join(named, "fp")
+        "fp", F.coalesce("root", "fp").alias("root"), "first_id", "n")
+    firsts = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("n_fps"))
+    named = table(meet(rooted, firsts, "root", n_rows, "n_fps").select("fp", "root", "component_id", "n"), "classes")
+    return meet(rows, named, "fp", n_rows)
 
 
 def hex_fp(fp: str = "fp"):

@@ -329,6 +329,28 @@ def test_simhash_fingerprints_and_components(spark, docs, odd, empty):
     assert simhash.classes(empty).count() == 0 and simhash.keep_one(empty).count() == 0
 
 
+def test_simhash_of_one_hot_fingerprint(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "HOT", 10)
+    texts = ["one text that stands in a third of all rows"] * 40 + [f"text number {i} of its own {i * i}" for i in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.id: (r.fp, r.component_id) for r in simhash.classes(df).collect()}
+    assert len(got) == 100 and {got[i] for i in range(40)} == {got[0]} and got[0][1] == 0
+    monkeypatch.setattr(simhash, "HOT", 10_000)
+    assert got == {r.id: (r.fp, r.component_id) for r in simhash.classes(df).collect()}
+
+
+def test_meet_loses_no_row(spark):
+    rows = spark.range(5000).selectExpr("id", "if(id % 3 = 0, -1, id % 700) as k")
+    few = rows.groupBy("k").count().withColumnRenamed("count", "n").withColumn("name", F.concat(F.lit("k"), "k"))
+    for total in (5000, 10**9):
+        simhash_hot, simhash.HOT = simhash.HOT, 1 if total == 5000 else simhash.HOT
+        try:
+            out = simhash.meet(rows, few, "k", total).collect()
+        finally:
+            simhash.HOT = simhash_hot
+        assert len(out) == 5000 and all(r.name == f"k{r.k}" for r in out) and len({r.id for r in out}) == 5000
+
+
 def test_components_of_chains(spark):
     rng = random.Random(2)
     a = rng.getrandbits(63)
