@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from riskspark.operators import clean, drift, features, health, transformers
 from riskspark.operators.metrics import REPORT_METRICS
 from riskspark.plans import extra, monitoring, training
-from riskspark.plans.catalog import AS_OF, DRIFT_FEATURES, LOOKBACK_DAYS, ORACLES, T_COLS, _drift_source, _ks_sql, _p4_input, register
+from riskspark.plans.catalog import (
+    AS_OF, DRIFT_FEATURES, LOOKBACK_DAYS, ORACLES, T_COLS, _alloc_sql, _drift_source, _ks_sql, _p4_input, register,
+)
 from riskspark.plans.sqltext import big, r6, with_views
 from riskspark.sources import io, views
 
@@ -169,6 +171,47 @@ def m3_flagged_share(spark, sf_dir):
     return a.select(F.when(ok, 0).otherwise(1).cast("long").alias("off_by_more_than_ties"))
 
 
+@register("s5_predictions_by_day", with_views("T") + "SELECT CAST(CAST(TransactionDate AS DATE) AS VARCHAR) AS day, count(*) AS rows, "
+          "count(DISTINCT TransactionID) AS distinct_ids, CAST(0 AS BIGINT) AS wrong_day, CAST(0 AS BIGINT) AS against_cut, "
+          "CAST(0 AS BIGINT) AS no_score FROM T GROUP BY 1")
+def s5_predictions_by_day(spark, sf_dir):
+    """The predictions table by day, after a second run over the legitimate rows alone and a third over all: each
+    transaction stands once, in the partition of its day, with its models' scores and a decision on the side of its cut."""
+    from riskspark.plans import scoring
+
+    tr = extra.trained(spark, sf_dir)
+    path = extra._scratch(spark, "predictions-by-day")
+    t = views.transactions(spark, sf_dir)
+    scoring.write_predictions(tr, t, path)
+    scoring.write_predictions(tr, t.where("Fraud = 0"), path)  # replaces the days it holds
+    scoring.write_predictions(tr, t, path)
+    p = spark.read.parquet(path)
+    decided = F.col("FraudPrediction") == (F.col("FraudScore") > F.lit(tr.threshold)).cast("int")
+    return p.groupBy(F.col("day").cast("string").alias("day")).agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("TransactionID").alias("distinct_ids"),
+        F.count_if(~F.to_date("Timestamp").eqNullSafe(F.col("day"))).alias("wrong_day"),
+        F.count_if(~F.coalesce(decided, F.lit(False))).alias("against_cut"),
+        F.count_if(F.col("ModelScores").isNull() | F.col("FraudScore").isNull()).alias("no_score"))
+
+
+@register("x5_x7_vector_invariants", with_views("T", extra=_alloc_sql()) + "SELECT split, " + big("Fraud") + " AS Fraud, count(*) AS rows, "
+          "CAST(1 AS BIGINT) AS lengths, CAST(0 AS BIGINT) AS non_finite, CAST(0 AS BIGINT) AS vectors_off FROM SP GROUP BY split, Fraud")
+def x5_x7_vector_invariants(spark, sf_dir):
+    """Rows of each split and label, with vectors of one length and finite entries, equal to those that the stored
+    feature statistics and preprocessor give for the cleaned transactions."""
+    from pyspark.ml.functions import vector_to_array
+
+    prep = extra.trained(spark, sf_dir).prepared
+    cleaned = clean.clean_data(views.transactions(spark, sf_dir), prep.label)
+    again = prep.preprocessor.assemble(prep.feature_model.transform(cleaned), keep=[prep.key])
+    again = again.select(prep.key, vector_to_array("features").alias("y"))
+    d = prep.data.select(prep.key, "split", F.col(prep.label).cast("long").alias("Fraud"), vector_to_array("features").alias("x"))
+    odd = F.exists("x", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == F.lit(float("inf"))))
+    return d.join(again, prep.key, "left").groupBy("split", "Fraud").agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct(F.size("x")).alias("lengths"), F.count_if(odd).alias("non_finite"),
+        F.count_if(~F.col("x").eqNullSafe(F.col("y"))).alias("vectors_off"))
+
+
 @register("p4_synthetic_on_segments", with_views("T", extra=[
     "K AS (SELECT count(*) FILTER (WHERE Fraud = 1) AS n, count(*) FILTER (WHERE Fraud = 0) - count(*) FILTER (WHERE Fraud = 1) AS need FROM T)",
     "H AS (SELECT TransactionID, row_number() OVER (ORDER BY md5('42:' || TransactionID), TransactionID) AS rk FROM T WHERE Fraud = 1)",
