@@ -3,11 +3,12 @@
 Base rules find e-mail addresses, IPv4 addresses, payment cards and phone numbers. High-recall
 generators propose further, overlapping candidate spans (addresses with unusual characters or a
 written-out at sign, dotted quads from every octet of longer runs, card numbers from every digit group
-in any grouping, phone numbers without a plus). Boosted trees (MLlib, fitted on up to ``SAMPLE_ROWS`` candidates of each kind) score a candidate's format (lengths, groups,
-check digit, octets, signs) and context (neighbouring characters, cue words before it). A sample
+in any grouping, phone numbers without a plus). Boosted trees (MLlib, fitted on all labelled candidates of all documents, those of equal
+features as one weighted row) score a candidate's format (lengths, groups,
+check digit, octets, signs) and context (neighbouring characters, cue words before it). A
 candidate is negative where its format refutes it (check digit, octets, a domain without a dot, digits grown into
 a word) and else positive where it overlaps a base span; the others, which neither settles, are what the trees are for
-and train nothing. Thresholds per kind are calibrated on a held-out third of the sample
+and train nothing. Thresholds per kind are calibrated on a held-out third of them
 to a precision of ``PRECISION``; a kind with under ``LEAST`` held-out labels takes the threshold of all kinds
 together, if those are ``LEAST`` or more. Candidates above the threshold that overlap no base span and no
 better candidate are added; base spans always stay.
@@ -17,7 +18,7 @@ candidates of a row, so a text is read once, without a shuffle. The patterns are
 anchored at run starts, so time is linear in the text and the matcher does not recurse.
 
 Offsets are code points, end exclusive. Defined results: a null or empty text has no spans; repeated
-rows give repeated equal results; with a sample of one class only nothing is added; an empty
+rows give repeated equal results; with candidates of one class only nothing is added; an empty
 table gives an empty result; other columns pass through ``find`` if they are in ``keep``.
 """
 
@@ -56,7 +57,7 @@ CUES = {
     "phone": r"(?i)(phone|tel|call|fax|mobile|cell)",
 }
 FEATURES = ("kind", "length", "digits", "groups", "longest", "luhn", "octets", "plus", "at", "dots", "left_word", "right_word", "cue")
-SAMPLE_ROWS = 1_500  # of each kind
+SAMPLE_ROWS = 1_500  # of each kind, for callers that ask for a sample
 LEAST = 24  # labelled held-out candidates from which on a threshold can reach PRECISION
 TREES, DEPTH = 12, 4
 PRECISION = 0.98
@@ -255,10 +256,24 @@ def _plain(node):
     return (int(split.featureIndex()), float(split.threshold()), _plain(node.leftChild()), _plain(node.rightChild()))
 
 
+def _texts(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    return docs.select(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("t"), F.col(f"`{doc_id}`").cast("string").alias("id"))
+
+
+def training_counts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """(f, label, fold, n): all labelled candidates of all documents, in one scan; the features are small numbers, so few
+    rows of distinct features stand for all candidates. A candidate's fold follows its hash."""
+    t = F.col("t")
+    every = F.concat(*[labelled(t, kind, base_spans(t, kind)) for kind in KINDS])
+    found = _texts(docs, text, doc_id).select(F.xxhash64("id", "t", F.lit("pii")).alias("h"), F.explode(every).alias("c"))
+    rows = found.select("c.f", "c.label", F.pmod(F.xxhash64("h", "c.start", "c.end"), F.lit(3)).alias("fold"))
+    return table(rows.groupBy("f", "label", "fold").agg(F.count(F.lit(1)).alias("n")), "pii-counts")
+
+
 def training_sample(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """At most ``sample_rows`` labelled candidates (f, label, order, fold) of each kind, by hash from all documents."""
     t = F.col("t")
-    src = docs.select(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("t"), F.col(f"`{doc_id}`").cast("string").alias("id"))
+    src = _texts(docs, text, doc_id)
     every = None
     for kind in KINDS:
         found = src.select(F.xxhash64("id", "t", F.lit("pii")).alias("h"), F.explode(labelled(t, kind, base_spans(t, kind))).alias("c"))
@@ -268,20 +283,24 @@ def training_sample(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     return table(every.withColumn("fold", F.pmod("order", F.lit(3))).drop("start"), "pii-sample")
 
 
-def fit(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", precision: float = PRECISION, **sizes) -> Boosted:
+def fit(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", precision: float = PRECISION, sample_rows: int | None = None) -> Boosted:
+    """Trees and thresholds from all labelled candidates, or from ``sample_rows`` of each kind if that is given."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector
 
-    rows = training_sample(docs, text, doc_id, **sizes)
+    if sample_rows is None:
+        rows = training_counts(docs, text, doc_id)
+    else:
+        rows = training_sample(docs, text, doc_id, sample_rows).withColumn("n", F.lit(1).cast("long"))
     train = rows.where("fold <> 0")
     if train.select("label").distinct().count() < 2:
         return Boosted()
-    fitted = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, stepSize=0.3).fit(
-        train.select(array_to_vector("f").alias("features"), "label"))
+    fitted = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, stepSize=0.3, weightCol="n").fit(
+        train.select(array_to_vector("f").alias("features"), "label", F.col("n").cast("double").alias("n")))
     model = Boosted([_plain(t._java_obj.rootNode() if hasattr(t, "_java_obj") else t._call_java("rootNode"))
                      for t in fitted.trees], list(fitted.treeWeights))
-    held = rows.where("fold = 0").select(F.element_at("f", 1).alias("kind"), "label", model.probability(F.col("f")).alias("p"))
-    told = held.groupBy("kind", F.round("p", 3).alias("p")).agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("good")) \
+    held = rows.where("fold = 0").select(F.element_at("f", 1).alias("kind"), "label", "n", model.probability(F.col("f")).alias("p"))
+    told = held.groupBy("kind", F.round("p", 3).alias("p")).agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("label")).alias("good")) \
         .orderBy(F.desc("p")).collect()  # at most 4 x 1001 rows
     pooled = _threshold(told, precision)
     for k, kind in enumerate(KINDS):

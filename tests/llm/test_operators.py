@@ -443,6 +443,20 @@ def test_pii_samples_and_thresholds_by_kind(spark):
     assert [tuple(x) for x in got.added_email] == [(6, 30)]
 
 
+def test_pii_learns_from_all_candidates(spark, monkeypatch):
+    """2,400 address candidates, more than a sample holds: all are counted, and the model is fitted and calibrated on them."""
+    rows = [(i, " ".join(f"10.{i % 250}.{j}.{300 if j % 3 else 3}" for j in range(40))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert pii.training_counts(docs).agg(F.sum("n"), F.sum(F.col("n") * F.col("label"))).first()[:] == (2400, 60 * 14)
+    asked = []
+    counted, limit = pii.training_counts, pii._threshold
+    monkeypatch.setattr(pii, "training_counts", lambda *a: asked.append(counted(*a)) or asked[-1])
+    told = []
+    monkeypatch.setattr(pii, "_threshold", lambda rows, p: told.append(sum(r["n"] for r in rows)) or limit(rows, p))
+    pii.fit(docs)
+    assert told[0] == asked[0].where("fold = 0").agg(F.sum("n")).first()[0] > 700
+
+
 def test_pii_trees_equal_mllib(spark):
     model = pii.Boosted([(0, 1.5, -0.4, (1, 0.5, 0.2, 0.9))], [1.0], {"card": 0.6})
     df = spark.createDataFrame([([2.0, 1.0],), ([1.0, 0.0],), ([2.0, 0.0],)], "f array<double>")
