@@ -102,3 +102,69 @@ def test_neighbours_beyond_any_cluster_cap(spark):
     for k, x, _ in rnd.sample(rows, 150) + rows[:1] + rows[-1:]:
         want = sorted(((x[0] - y[0]) ** 2 + (x[1] - y[1]) ** 2, j) for j, y, _ in rows if j != k)[:3]
         assert [got[k][r][1] for r in (1, 2, 3)] == [j for _, j in want]
+
+
+def test_patience_fits_no_more_rounds_than_it_needs(spark, labelled, monkeypatch):
+    """The first rounds of a short fit are those of a long one, so the model of all rounds is found from few."""
+    from pyspark.ml.classification import GBTClassifier
+
+    train, val = labelled.where("id % 4 <> 0").coalesce(1), labelled.where("id % 4 = 0")
+    est = models.boosted_trees(validation_col=None, maxIter=16, maxDepth=2)
+    asked = []
+    fit = GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, *a: asked.append(self.getMaxIter()) or fit(self, *a))
+    full = est.fit(train)
+    want = models.first_rounds(full, models.patience_round(models.staged_auc(full, val), 2))
+    monkeypatch.setattr(models, "FIRST_ROUNDS", 4)
+    asked.clear()
+    got = models.fit_with_patience(est, train, val, patience=2)
+    assert got.toDebugString.split("\n", 1)[1] == want.toDebugString.split("\n", 1)[1]
+    assert asked == [n for n in (4, 8, 16) if n == 4 or n // 2 - want.getNumTrees < 2]
+
+
+def test_isolation_scores_equal_a_walk_by_hand(spark, labelled):
+    """Scores, null-free bounds and prefixes equal a node-by-node walk, for missing entries too."""
+    import numpy as np
+
+    from riskspark.operators.iforest import average_path_length
+
+    m = IsolationForest(n_trees=5, key_col="id").fit(labelled)
+    rows = [[0.1, 0.2], [float("nan"), 3.0], [-9.0, float("nan")], [float("inf"), 0.0]]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(rows)], "i int, x array<double>")
+    from pyspark.ml.functions import array_to_vector
+
+    df = df.select("i", array_to_vector("x").alias("features"))
+    got = {r.i: (r.anomaly_score, r.prefix_scores) for r in m.score_prefixes(m.score(df), [2, 5]).collect()}
+    c = average_path_length(np.array([m.psi]))[0]
+    for i, x in enumerate(rows):
+        paths = []
+        for t in range(5):
+            node = depth = 0
+            while m.feature[t, node] >= 0:
+                node, depth = (m.left if x[m.feature[t, node]] <= m.thr[t, node] else m.right)[t, node], depth + 1
+            paths.append(depth + average_path_length(m.size[t, node:node + 1])[0])
+        assert got[i][0] == pytest.approx(2 ** (-np.mean(paths) / c), abs=1e-12)
+        assert got[i][1] == pytest.approx([2 ** (-np.mean(paths[:2]) / c), 2 ** (-np.mean(paths) / c)], abs=1e-12)
+    assert m.score_bounds == tuple(m.score(labelled).agg(F.min("anomaly_score"), F.max("anomaly_score")).first())
+
+
+def test_queries_of_one_model_fit_that_model_only(spark, labelled, monkeypatch):
+    from types import SimpleNamespace
+
+    from riskspark.plans import extra, training
+
+    data = labelled.withColumnRenamed("id", "TransactionID").withColumn("split", F.when(F.col("TransactionID") % 4 == 0, "val").otherwise("train"))
+    fitted = []
+    monkeypatch.setattr(extra, "_TRAINED", {})
+    monkeypatch.setattr(extra.io, "fingerprint", lambda *a: a[1:])
+    monkeypatch.setattr(extra.views, "transactions", lambda *a: None)
+    monkeypatch.setattr(training, "prepare", lambda *a: fitted.append("prepare") or SimpleNamespace(data=data, key="TransactionID", label="Fraud"))
+    for name in ("forest", "boosted", "isolation"):
+        make = {"forest": lambda p: models.random_forest(numTrees=2, maxDepth=2).fit(p.data), "isolation": lambda p: IsolationForest(
+            n_trees=2, key_col=p.key).fit(p.data), "boosted": lambda p: models.boosted_trees(validation_col=None, maxIter=2, maxDepth=2).fit(p.data)}[name]
+        monkeypatch.setattr(training, f"fit_{name}", lambda p, name=name, make=make: fitted.append(name) or make(p))
+    assert extra.x5_x7_assembled_features(spark, "d").count() == 1500 and fitted == ["prepare"]
+    assert extra.m3_isolation_forest(spark, "d").count() == 1500 and fitted == ["prepare", "isolation"]
+    assert extra.m1_random_forest(spark, "d").count() == 1500 and fitted == ["prepare", "isolation", "forest"]
+    assert extra.m2_boosted_trees(spark, "d").count() == 1500 and fitted == ["prepare", "isolation", "forest", "boosted"]
+    assert extra.trained(spark, "d").prepared.data is data and len(fitted) == 4
