@@ -95,3 +95,12 @@ def test_iforest_without_key_draws_equal_vectors_apart(spark):
     df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(spark.createDataFrame(rows, "a double, b double"))
     model = IsolationForest(n_trees=20).fit(df)
     assert (model.feature[:, 0] >= 0).all() and (model.size[:, 0] == 256).all()
+
+
+def test_oversampling_input_is_computed_once(spark):
+    """The many passes of P4 read the written vectors, not the joins and scans behind them."""
+    from conftest import SMALL
+    from riskspark.plans.catalog import _p4_input
+
+    plan = _p4_input(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" in plan and "Join" not in plan and "Relation" not in plan
