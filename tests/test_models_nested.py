@@ -168,3 +168,4 @@ def test_queries_of_one_model_fit_that_model_only(spark, labelled, monkeypatch):
     assert extra.m1_random_forest(spark, "d").count() == 1500 and fitted == ["prepare", "isolation", "forest"]
     assert extra.m2_boosted_trees(spark, "d").count() == 1500 and fitted == ["prepare", "isolation", "forest", "boosted"]
     assert extra.trained(spark, "d").prepared.data is data and len(fitted) == 4
+    assert sum(extra.trained(spark, "d").weights.values()) == pytest.approx(1.0) and len(fitted) == 4
