@@ -169,3 +169,37 @@ def test_queries_of_one_model_fit_that_model_only(spark, labelled, monkeypatch):
     assert extra.m2_boosted_trees(spark, "d").count() == 1500 and fitted == ["prepare", "isolation", "forest", "boosted"]
     assert extra.trained(spark, "d").prepared.data is data and len(fitted) == 4
     assert sum(extra.trained(spark, "d").weights.values()) == pytest.approx(1.0) and len(fitted) == 4
+
+
+def test_rising_gains_go_straight_to_all_rounds(spark, labelled, monkeypatch):
+    """A longer fit starts anew: with the best round among the last ones no fit in between is made, known rounds are not scored again."""
+    from pyspark.ml.classification import GBTClassifier
+
+    train, val = labelled.where("id % 4 <> 0").coalesce(1), labelled.where("id % 4 = 0")
+    est = models.boosted_trees(validation_col=None, maxIter=12, maxDepth=2)
+    full = est.fit(train)
+    want = models.staged_auc(full, val)
+    assert models.staged_auc(full, val, known=want[:5]) == want and models.staged_auc(full, val, known=[0.25, None])[:3] == [0.25, None, want[2]]
+    asked, known = [], []
+    fit = GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, *a: asked.append(self.getMaxIter()) or fit(self, *a))
+    monkeypatch.setattr(models, "staged_auc", lambda m, d, y, g=(): known.append(len(g)) or [i / 100 for i in range(m.getNumTrees)])
+    monkeypatch.setattr(models, "FIRST_ROUNDS", 3)
+    assert models.fit_with_patience(est, train, val, patience=2).getNumTrees == 12
+    assert asked == [3, 12] and known == [0, 3]
+
+
+def test_training_table_is_spread_by_rows(spark, monkeypatch):
+    """The table's few bytes don't decide how many tasks a fit has; few rows stay as they lie."""
+    from riskspark.plans import training
+
+    rnd = random.Random(4)
+    rows = [(str(i), f"a{i % 40}", rnd.random() * 90, rnd.random() * 900, "web" if i % 3 else "atm", int(i % 5 == 0)) for i in range(900)]
+    df = spark.createDataFrame(rows, "TransactionID string, AccountID string, TransactionAmount double, AccountBalance double, Channel string, Fraud int")
+    small = training.prepare(df).data
+    monkeypatch.setattr(training, "ROWS_PER_TASK", 100)
+    data = training.prepare(df).data
+    sizes = [r[0] for r in data.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert len(sizes) == 9 and max(sizes) <= 2 * min(sizes) and sum(sizes) == 900
+    cols = ["TransactionID", "split", "weight", "features"]
+    assert sorted(map(str, data.select(cols).collect())) == sorted(map(str, small.select(cols).collect()))
