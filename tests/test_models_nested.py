@@ -189,6 +189,40 @@ def test_rising_gains_go_straight_to_all_rounds(spark, labelled, monkeypatch):
     assert asked == [3, 12] and known == [0, 3]
 
 
+def test_isolation_search_orders_few_of_the_scores(spark, monkeypatch):
+    """Thresholds come from the values near the wanted ranks; they equal numpy's on all values."""
+    import numpy as np
+
+    from riskspark.operators import cumulative
+
+    rnd = random.Random(11)
+    rows = [(i, rnd.gauss(0, 1), rnd.gauss(0, 1), int(i % 50 == 0)) for i in range(45000)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, Fraud int")
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df).checkpoint()
+    monkeypatch.setattr(models, "ISOLATION_SPACE", {"n_trees": ("int", 3, 12), "contamination": ("float", 0.01, 0.3)})
+    ordered, cumsum = [], cumulative.ordered_cumsum
+    monkeypatch.setattr(cumulative, "ordered_cumsum", lambda d, *a, **k: ordered.append(d.count()) or cumsum(d, *a, **k))
+    res = models.search_isolation_forest(df, df.where("id % 4 = 0"), n_trials=5, key_col="id")
+    assert len(res.trials) == 5 and 0 < sum(ordered) < 45000 // 10
+    scores = [r[0] for r in res.best_model.score(df).select("anomaly_score").collect()]
+    assert res.best_model.threshold == pytest.approx(np.quantile(scores, 1 - res.best_params["contamination"]), abs=1e-12)
+
+
+def test_quantile_pairs_equal_numpy(spark):
+    import numpy as np
+
+    from riskspark.operators.cumulative import exact_quantile_pairs
+
+    rnd = random.Random(2)
+    rows = [(rnd.random(), None if i % 7 == 0 else float(rnd.randrange(5))) for i in range(500)]
+    df = spark.createDataFrame(rows, "a double, b double").withColumn("c", F.lit(None).cast("double"))
+    got = exact_quantile_pairs(df, [("a", 0.1), ("b", 0.77), ("a", 0.9), ("a", 0.1), ("c", 0.5)])
+    assert set(got) == {("a", 0.1), ("a", 0.9), ("b", 0.77), ("c", 0.5)} and got["c", 0.5] is None
+    for c, q in (("a", 0.1), ("a", 0.9), ("b", 0.77)):
+        assert got[c, q] == pytest.approx(np.quantile([r["ab".index(c)] for r in rows if r["ab".index(c)] is not None], q), abs=1e-12)
+    assert exact_quantile_pairs(df, []) == {}
+
+
 def test_training_table_is_spread_by_rows(spark, monkeypatch):
     """The table's few bytes don't decide how many tasks a fit has; few rows stay as they lie."""
     from riskspark.plans import training
