@@ -237,3 +237,43 @@ def test_training_table_is_spread_by_rows(spark, monkeypatch):
     assert len(sizes) == 9 and max(sizes) <= 2 * min(sizes) and sum(sizes) == 900
     cols = ["TransactionID", "split", "weight", "features"]
     assert sorted(map(str, data.select(cols).collect())) == sorted(map(str, small.select(cols).collect()))
+
+
+def test_forest_search_starts_large_trials_first_and_keeps_node_ids(spark, labelled, monkeypatch):
+    """Neither changes a trial: the AUCs equal those of separate plain fits, in the order drawn."""
+    from types import SimpleNamespace
+
+    from pyspark.ml.classification import RandomForestClassifier
+
+    from riskspark.plans import extra
+
+    data = labelled.withColumn("split", F.when(F.col("id") % 4 == 0, "val").otherwise("train")).checkpoint()
+    started, search, many = [], models.search, RandomForestClassifier.fitMultiple
+
+    def recorded(self, df, maps):
+        started.append((self.getCacheNodeIds(), [m[self.numTrees] * m[self.maxDepth] for m in maps]))
+        return many(self, df, maps)
+
+    monkeypatch.setattr(extra, "trained", lambda *a: SimpleNamespace(prepared=SimpleNamespace(data=data, label="Fraud")))
+    monkeypatch.setattr(models, "FOREST_SPACE", {"numTrees": ("int", 2, 30), "maxDepth": ("int", 2, 10), "minInstancesPerNode": ("int", 1, 10)})
+    monkeypatch.setattr(RandomForestClassifier, "fitMultiple", recorded)
+    monkeypatch.setattr(models, "search", lambda *a, **k: search(*a, **{**k, "n_trials": 5}))
+    got = [(r.trial, r.roc_auc) for r in extra.m4_forest_search(spark, "d").collect()]
+    trials = models.sample_space(models.FOREST_SPACE, 5)
+    sizes = [t["numTrees"] * t["maxDepth"] for t in trials]
+    assert started == [(True, sorted(sizes, reverse=True))] and sizes != started[0][1]
+    want = []
+    for i, t in enumerate(trials):
+        m = models.random_forest(**t).fit(data.where("split = 'train'"))
+        scored = models.positive_probability(m.transform(data.where("split = 'val'")), "rf_probability", "s")
+        want.append((i, roc_auc(scored, "Fraud", "s").first()["roc_auc"]))
+    assert got == want
+
+
+def test_many_partitions_get_few_fits_at_once(spark):
+    """The fits at once hold bags and node ids of all rows each: as many as fill the cores, two at least."""
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.range(64)
+    assert models.fits_at_once(df.coalesce(1), 8) == min(8, max(2, 2 * cores))
+    assert models.fits_at_once(df.repartition(cores), 8) == models.fits_at_once(df.repartition(50 * cores), 8) == 2
+    assert models.fits_at_once(df.repartition(50 * cores), 1) == 1
