@@ -277,3 +277,135 @@ def test_many_partitions_get_few_fits_at_once(spark):
     assert models.fits_at_once(df.coalesce(1), 8) == min(8, max(2, 2 * cores))
     assert models.fits_at_once(df.repartition(cores), 8) == models.fits_at_once(df.repartition(50 * cores), 8) == 2
     assert models.fits_at_once(df.repartition(50 * cores), 1) == 1
+
+
+@pytest.fixture(scope="module")
+def mixed(spark):
+    """Numbers, a nominal column of 5 levels and a binary one, as sparse vectors; and rows with values between the levels."""
+    from pyspark.ml.feature import VectorIndexer
+
+    rnd = random.Random(8)
+    rows = [(i, rnd.gauss(0, 1), float(rnd.randrange(5)), float(rnd.randrange(2)), rnd.random()) for i in range(1200)]
+    rows = [(i, a, k, b, c, int(rnd.random() < (0.8 if (k in (1, 3)) == (a > 0) else 0.2 + b / 4))) for i, a, k, b, c in rows]
+    df = spark.createDataFrame(rows, "id long, a double, k double, b double, c double, Fraud int")
+    vectors = VectorAssembler(inputCols=["a", "k", "b", "c"], outputCol="raw").transform(df).withColumn("weight", 1 + F.col("c"))
+    train = VectorIndexer(inputCol="raw", outputCol="features", maxCategories=5).fit(vectors).transform(vectors)
+    between = df.select("id", "a", "k", (F.col("b") * 0.3).alias("b"), F.when(F.col("id") % 50 > 0, F.col("c")).otherwise(float("nan")).alias("c"), "Fraud")
+    odd = VectorAssembler(inputCols=["a", "k", "b", "c"], outputCol="features", handleInvalid="keep").transform(between)
+    return train.select("id", "Fraud", "weight", "features").checkpoint(), odd.select("id", "Fraud", "features").checkpoint()
+
+
+def test_forest_walk_equals_transform_to_the_last_bit(spark, mixed):
+    from pyspark.ml.classification import RandomForestClassificationModel
+
+    from riskspark.operators import treewalk
+
+    train, odd = mixed
+    model = models.random_forest(numTrees=12, maxDepth=7).fit(train)
+    splits = [s for s in treewalk._nodes(spark, model)["categories"] if s >= 0]
+    assert 2 in splits and 5 in splits  # both kinds of categorical splits are walked
+    for df in (train, odd, odd.limit(0)):
+        want = models.positive_probability(model.transform(df), "rf_probability", "s").select("id", "s", "rf_prediction")
+        got = treewalk.forest_scores(model, df, "s", "p").select("id", "s", "p")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    # a model with thresholds of its own decides by them
+    model.write().overwrite().save(path := f"{spark.sparkContext.getCheckpointDir()}/forest-with-thresholds")
+    loaded = RandomForestClassificationModel.load(path)
+    loaded.set(loaded.thresholds, [0.2, 0.8])
+    got = treewalk.forest_scores(loaded, train, "s", "p").select("id", "p").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, loaded.transform(train).select("id", "rf_prediction").collect()))
+
+
+def test_staged_sums_are_those_of_the_trees(spark, mixed):
+    from riskspark.operators import treewalk
+
+    train, odd = mixed
+    model = models.boosted_trees(validation_col=None, maxIter=6, maxDepth=3).fit(train)
+    for df in (train, odd):
+        out = df
+        for i, tree in enumerate(model.trees):
+            out = tree.setFeaturesCol("features").setPredictionCol(f"t{i}").transform(out)
+        got = treewalk.staged_sums(model, df, "sums").select("id", "sums").collect()
+        want = {}
+        for r in out.collect():
+            total, want[r.id] = 0.0, []
+            for i, w in enumerate(model.treeWeights):
+                total += r[f"t{i}"] * w
+                want[r.id].append(total)
+        assert {r.id: r.sums for r in got} == want
+
+
+def test_ensemble_scores_by_the_walk_and_keeps_the_columns_of_transform(spark, labelled, monkeypatch):
+    from types import SimpleNamespace
+
+    from riskspark.operators import treewalk
+    from riskspark.plans import training
+
+    forest = models.random_forest(numTrees=3, maxDepth=3).fit(labelled)
+    boosted = models.boosted_trees(validation_col=None, maxIter=2, maxDepth=2).fit(labelled)
+    iforest = IsolationForest(n_trees=2, key_col="id").fit(labelled)
+    walked, walk = [], treewalk.forest_scores
+    monkeypatch.setattr(training.treewalk, "forest_scores", lambda m, *a: walked.append(m) or walk(m, *a))
+    got = training.score(SimpleNamespace(forest=forest, boosted=boosted, iforest=iforest, iso_bounds=iforest.score_bounds), labelled)
+    assert walked == [forest] and {"rf_raw", "rf_probability", "rf_prediction", "rf_score"} <= set(got.columns)
+    p = models.positive_probability(got, "rf_probability", "p").select("rf_score", "p", "rf_prediction").collect()
+    assert all(r.rf_score == r.p and r.rf_prediction == float(r.p > 0.5) for r in p)
+
+
+def test_forest_of_the_ensemble_keeps_node_ids(spark, labelled):
+    from types import SimpleNamespace
+
+    from riskspark.plans import training
+
+    data = labelled.withColumn("split", F.lit("train"))
+    model = training.fit_forest(SimpleNamespace(data=data, label="Fraud"), 5)
+    assert model.getOrDefault("cacheNodeIds") and model.getNumTrees == 5
+    assert model.toDebugString.split("\n")[1:] == models.random_forest(numTrees=5).fit(data).toDebugString.split("\n")[1:]
+
+
+def test_training_tasks_are_whole_rounds_over_the_cores(spark, monkeypatch):
+    from riskspark.plans import training
+
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.range(250 * cores).coalesce(1)
+    for name, n in (("ROWS_PER_TASK", 70), ("LEAST_ROWS", 50), ("MOST_ROWS", 100)):
+        monkeypatch.setattr(training, name, n)
+    sizes = [r[0] for r in training.spread(df, 250 * cores).groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert len(sizes) == 3 * cores and max(sizes) <= 100
+    assert training.spread(df, 70) is df
+    monkeypatch.setattr(training, "LEAST_ROWS", 90)  # too few rows for that: by rows, as before
+    assert training.spread(df, 250 * cores).rdd.getNumPartitions() == -(-250 * cores // 70)
+
+
+def test_preparation_computes_its_source_once(spark):
+    """Nulls, modes, labels, class counts and the split read the transactions as written, not the joins behind them."""
+    from pyspark.sql import types as T
+
+    from riskspark.plans import training
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        seen.add(1)
+        return x
+
+    rnd = random.Random(4)
+    rows = [(str(i), f"a{i % 40}", rnd.random() * 90, rnd.random() * 900, None if i % 7 == 0 else "web" if i % 3 else "atm", int(i % 5 == 0)) for i in range(300)]
+    df = spark.createDataFrame(rows, "TransactionID string, AccountID string, TransactionAmount double, AccountBalance double, Channel string, Fraud int")
+    data = training.prepare(df.withColumn("TransactionID", F.udf(count, T.StringType())("TransactionID"))).data
+    assert data.count() == 300 and seen.value == 300
+
+
+def test_boosted_search_runs_few_fits_of_a_large_table(spark, labelled, monkeypatch):
+    from types import SimpleNamespace
+
+    from riskspark.plans import extra
+
+    cores = spark.sparkContext.defaultParallelism
+    asked = []
+    monkeypatch.setattr(models, "search", lambda *a, **k: asked.append((k["parallelism"], k["n_trials"])) or models.SearchResult({}, 0.5, None, [(0, {}, 0.5)]))
+    for parts in (1, 2 * cores):
+        data = labelled.withColumn("split", F.when(F.col("id") % 4 == 0, "val").otherwise("train")).repartition(parts)
+        monkeypatch.setattr(extra, "trained", lambda *a: SimpleNamespace(prepared=SimpleNamespace(data=data, label="Fraud")))
+        assert extra.m4_boosted_search(spark, "d").count() == 1
+    assert asked == [(min(8, 2 * cores), 50), (2, 50)]
