@@ -409,3 +409,34 @@ def test_boosted_search_runs_few_fits_of_a_large_table(spark, labelled, monkeypa
         monkeypatch.setattr(extra, "trained", lambda *a: SimpleNamespace(prepared=SimpleNamespace(data=data, label="Fraud")))
         assert extra.m4_boosted_search(spark, "d").count() == 1
     assert asked == [(min(8, 2 * cores), 50), (2, 50)]
+
+
+def test_predictions_by_day_compute_their_source_once(spark, monkeypatch):
+    """Three runs write the table; the transactions' joins and windows run for the first only."""
+    from types import SimpleNamespace
+
+    from pyspark.sql import types as T
+
+    from riskspark.plans import cases, extra, scoring
+
+    seen, written = spark.sparkContext.accumulator(0), []
+
+    def count(x):
+        seen.add(1)
+        return x
+
+    rows = [(str(i), f"2024-01-0{1 + i % 3}", i / 30, int(i % 5 == 0)) for i in range(30)]
+    df = spark.createDataFrame(rows, "id string, d string, FraudScore double, Fraud int")
+    t = df.select(F.udf(count, T.StringType())("id").alias("TransactionID"), F.col("d").cast("timestamp_ntz").alias("TransactionDate"), "FraudScore", "Fraud")
+
+    def write(tr, some, path):
+        written.append(some.count())
+        some.select("TransactionID", "FraudScore", F.lit("m").alias("ModelScores"), (F.col("FraudScore") > 0.5).cast("int").alias("FraudPrediction"),
+                    F.col("TransactionDate").alias("Timestamp"), F.to_date("TransactionDate").alias("day")).write.mode("overwrite").parquet(path)
+
+    monkeypatch.setattr(extra, "trained", lambda *a: SimpleNamespace(threshold=0.5))
+    monkeypatch.setattr(cases.views, "transactions", lambda *a: t)
+    monkeypatch.setattr(scoring, "write_predictions", write)
+    got = cases.s5_predictions_by_day(spark, "d").collect()
+    assert written == [30, 24, 30] and seen.value == 30
+    assert sorted(r["rows"] for r in got) == [10, 10, 10] and all(r.against_cut == r.wrong_day == r.no_score == 0 for r in got)
